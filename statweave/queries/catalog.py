@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from statweave.queries import statistics  # noqa: F401
+from statweave.queries import evaluation, relational, statistics, vectors  # noqa: F401
 from statweave.queries.registry import ORACLES, QUERIES  # noqa: F401

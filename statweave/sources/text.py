@@ -7,6 +7,8 @@ text source) and use only column expressions. Lines that do not parse give nulls
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +48,9 @@ def shape_ratings(lines: DataFrame, separator: str = ",", shift: float = 0.0) ->
     )
 
 
-def shape_vectors(lines: DataFrame) -> DataFrame:
-    """Space-separated numbers to ``features ARRAY<DOUBLE>``."""
-    return lines.select(_numbers(F.col("value")).alias("features"))
+def shape_vectors(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Space-separated numbers to ``features ARRAY<DOUBLE>``, beside the columns in ``keep``."""
+    return lines.select(*keep, _numbers(F.col("value")).alias("features"))
 
 
 def shape_labeled_vectors(lines: DataFrame) -> DataFrame:
