@@ -6,33 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statweave.plans.prefix_sum import global_prefix_sum
-from statweave.plans.staging import stage
 
 
 class BinaryCurves:
     """Curves over the distinct scores of ``df``, highest score first.
 
-    The score histogram with its running totals is computed once and staged; every
-    method is a narrow projection or one aggregate of it. Labels above 0.5 are
-    positive. ``bins`` joins runs of consecutive scores so that about that many
-    points remain; 0 keeps every score.
+    The score histogram is computed once and staged; its running totals are bucketed
+    windows, and every method is a narrow projection or one aggregate of them. Labels
+    above 0.5 are positive. ``bins`` joins runs of consecutive scores so that about
+    that many points remain; 0 keeps every score.
     """
 
     def __init__(self, df: DataFrame, score: str = "score", label: str = "label", bins: int = 0):
         positive = F.col(label) > 0.5
+        counts = {
+            "pos": F.when(positive, 1).otherwise(0).cast("bigint"),
+            "neg": F.when(positive, 0).otherwise(1).cast("bigint"),
+        }
         scored = df.select(F.col(score).cast("double").alias("threshold"), F.col(label))
-        table = global_prefix_sum(
-            scored,
-            "threshold",
-            {
-                "pos": F.when(positive, 1).otherwise(0).cast("bigint"),
-                "neg": F.when(positive, 0).otherwise(1).cast("bigint"),
-            },
-            descending=True,
-        )
-        table = stage(table)
+        table = global_prefix_sum(scored, "threshold", counts, descending=True, rank=bins > 0)
         if bins > 0:
-            table = self._binned(table, bins)
+            run = F.greatest(F.floor(F.col("total_keys") / F.lit(bins)), F.lit(1))
+            table = table.groupBy(F.floor((F.col("cum_keys") - 1) / run).alias("_run")).agg(
+                F.min("threshold").alias("threshold"),
+                *[F.sum(c).alias(c) for c in ("pos", "neg")],
+                *[F.max(c).alias(c) for c in ("cum_pos", "cum_neg", "total_pos", "total_neg")],
+            )
         self.table = table.select(
             "threshold",
             F.col("cum_pos").alias("tp"),
@@ -43,29 +42,6 @@ class BinaryCurves:
             F.col("total_neg").alias("n"),
         )
 
-    @staticmethod
-    def _binned(table: DataFrame, bins: int) -> DataFrame:
-        points = table.agg(F.count(F.lit(1)).alias("c")).scalar()
-        run = F.floor(points / F.lit(bins)).cast("bigint")
-        ranked = global_prefix_sum(
-            table.withColumn("_points", points), "threshold", {"one": F.lit(1).cast("bigint")}, descending=True
-        ).select("threshold", F.col("cum_one").alias("_rank"))
-        joined = table.join(ranked, "threshold").withColumn("_run", F.greatest(run, F.lit(1)))
-        chunk = F.floor((F.col("_rank") - 1) / F.col("_run"))
-        totals = ["total_pos", "total_neg"]
-        return (
-            joined.groupBy(chunk.alias("_chunk"))
-            .agg(
-                F.min("threshold").alias("threshold"),
-                F.sum("pos").alias("pos"),
-                F.sum("neg").alias("neg"),
-                F.max("cum_pos").alias("cum_pos"),
-                F.max("cum_neg").alias("cum_neg"),
-                *[F.max(t).alias(t) for t in totals],
-            )
-            .drop("_chunk")
-        )
-
     @staticmethod
     def _precision() -> Column:
         return F.col("tp") / (F.col("tp") + F.col("fp"))

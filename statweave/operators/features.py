@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from statweave.functions.arrays import as_array, dot, literal_array, select_positions, with_vector
 from statweave.operators.hypothesis import chi2_by_feature
 from statweave.plans.staging import persisted
 
+EXPRESSION_CELLS = 256
+
 
 def scale_vectors(df: DataFrame, weights: list[float], features: str = "features", output: str = "scaled") -> DataFrame:
     """Hadamard product of an ML vector column with fixed weights (arrays: ``functions.arrays``)."""
@@ -62,9 +66,21 @@ def truncated_svd(df: DataFrame, k: int, features: str = "features", r_cond: flo
 
 
 def matrix_product(df: DataFrame, local: np.ndarray, features: str = "features", output: str = "product") -> DataFrame:
-    """Each row vector times a local d×k matrix, as ``ARRAY<DOUBLE>``."""
-    values = as_array(df, features)
-    return df.withColumn(output, F.array(*[dot(values, literal_array(column)) for column in np.asarray(local).T]))
+    """Each row vector times a local d×k matrix, as ``ARRAY<DOUBLE>``.
+
+    A small matrix is written out as JVM expressions; a larger one is applied to
+    whole Arrow batches, where one matrix product does the work of many interpreted
+    array functions.
+    """
+    values, matrix = as_array(df, features), np.asarray(local, dtype=float)
+    if matrix.size <= EXPRESSION_CELLS:
+        return df.withColumn(output, F.array(*[dot(values, literal_array(column)) for column in matrix.T]))
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def multiply(rows: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(rows.to_numpy()) @ matrix) if len(rows) else [])
+
+    return df.withColumn(output, multiply(values))
 
 
 def matrix_product_long(cells: DataFrame, local: DataFrame) -> DataFrame:

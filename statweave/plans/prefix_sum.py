@@ -55,16 +55,20 @@ def global_prefix_sum(
     sums: dict[str, Column],
     descending: bool = False,
     buckets: int | None = None,
+    rank: bool = False,
 ) -> DataFrame:
     """One row per distinct non-null ``key`` with its sums, running sums and grand totals.
 
     Columns: ``key``, and for each name in ``sums`` the columns ``name`` (sum at this
-    key), ``cum_name`` (sum up to and including this key) and ``total_name``.
+    key), ``cum_name`` (sum up to and including this key) and ``total_name``. With
+    ``rank`` the number of distinct keys is summed along as ``keys``.
     """
-    names = list(sums)
+    names = [*sums, *(["keys"] if rank else [])]
     histogram = stage(
         df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     )
+    if rank:
+        histogram = histogram.withColumn("keys", F.lit(1).cast("bigint"))
     tagged = bucketed(histogram, key, buckets)
     offsets = offset_buckets(tagged, names, descending)
     order = F.desc(key) if descending else F.asc(key)
