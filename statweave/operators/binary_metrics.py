@@ -14,22 +14,27 @@ class BinaryCurves:
     The score histogram is computed once and staged; its running totals are bucketed
     windows, and every method is a narrow projection or one aggregate of them. Labels
     above 0.5 are positive. ``bins`` joins runs of consecutive scores so that about
-    that many points remain; 0 keeps every score.
+    that many points remain; 0 keeps every score. With ``prediction`` the errors of the
+    hard predictions are counted in the same pass, for ``summary``.
     """
 
-    def __init__(self, df: DataFrame, score: str = "score", label: str = "label", bins: int = 0):
+    def __init__(self, df: DataFrame, score: str = "score", label: str = "label", bins: int = 0, prediction: str | None = None):
         positive = F.col(label) > 0.5
         counts = {
             "pos": F.when(positive, 1).otherwise(0).cast("bigint"),
             "neg": F.when(positive, 0).otherwise(1).cast("bigint"),
         }
-        scored = df.select(F.col(score).cast("double").alias("threshold"), F.col(label))
+        columns = [F.col(score).cast("double").alias("threshold"), F.col(label)]
+        if prediction is not None:
+            counts["wrong"] = F.when(F.col(prediction) != F.col(label), 1).otherwise(0).cast("bigint")
+            columns.append(F.col(prediction))
+        scored = df.select(*columns)
         table = global_prefix_sum(scored, "threshold", counts, descending=True, rank=bins > 0)
         if bins > 0:
             run = F.greatest(F.floor(F.col("total_keys") / F.lit(bins)), F.lit(1))
             table = table.groupBy(F.floor((F.col("cum_keys") - 1) / run).alias("_run")).agg(
                 F.min("threshold").alias("threshold"),
-                *[F.sum(c).alias(c) for c in ("pos", "neg")],
+                *[F.sum(c).alias(c) for c in counts],
                 *[F.max(c).alias(c) for c in ("cum_pos", "cum_neg", "total_pos", "total_neg")],
             )
         self.table = table.select(
@@ -40,6 +45,7 @@ class BinaryCurves:
             "neg",
             F.col("total_pos").alias("p"),
             F.col("total_neg").alias("n"),
+            *(["wrong"] if prediction is not None else []),
         )
 
     @staticmethod
@@ -93,16 +99,33 @@ class BinaryCurves:
         end = F.when(self._is_last(), F.array(point(1.0))).otherwise(none)
         return self.table.select(F.inline(F.concat(start, here, end)))
 
-    def area_under_pr(self) -> DataFrame:
+    def _pr_area(self) -> Column:
         """Trapezoids over ``pr``; the previous point of a row is its own totals less its own counts."""
         tp, fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
         before = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(self._precision())
-        area = F.sum(F.col("pos") / F.col("p") * (self._precision() + before) / 2.0)
-        return self.table.agg(area.alias("area_under_pr"))
+        return F.sum(F.col("pos") / F.col("p") * (self._precision() + before) / 2.0)
+
+    @staticmethod
+    def _roc_area() -> Column:
+        return F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2.0)) / F.max("p") / F.max("n")
+
+    def area_under_pr(self) -> DataFrame:
+        return self.table.agg(self._pr_area().alias("area_under_pr"))
 
     def area_under_roc(self) -> DataFrame:
-        area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2.0)) / F.max("p") / F.max("n")
-        return self.table.agg(area.alias("area_under_roc"))
+        return self.table.agg(self._roc_area().alias("area_under_roc"))
+
+    def summary(self) -> DataFrame:
+        """Error rate of the hard predictions and both areas of the score, in one aggregation."""
+        n = F.sum(F.col("pos") + F.col("neg"))
+        return self.table.agg(
+            n.alias("n"),
+            F.sum("wrong").alias("errors"),
+            (F.sum("wrong") / n).alias("error_rate"),
+            (1.0 - F.sum("wrong") / n).alias("accuracy"),
+            self._roc_area().alias("area_under_roc"),
+            self._pr_area().alias("area_under_pr"),
+        )
 
 
 def error_rate(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 2000
+MAX_CLASSES = 500
 
 
 def _ratio(top: Column, bottom: Column) -> Column:

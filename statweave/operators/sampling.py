@@ -12,6 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 HASH_DIGITS = 8
 STRATUM_DIGITS = 4
@@ -66,7 +67,7 @@ def stratified_exact(df: DataFrame, key: str, fractions: dict, ids: list[str], s
     spark = df.sparkSession
     quotas = spark.createDataFrame(
         [(k, Decimal(str(f))) for k, f in fractions.items()],
-        df.select(F.col(key).alias("_stratum")).schema.add("_fraction", "decimal(20,10)"),
+        StructType([StructField("_stratum", df.schema[key].dataType), StructField("_fraction", DecimalType(20, 10))]),
     )
     digest = key_digest(ids, seed)
     keyed = df.withColumn("_digest", digest)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
+from statweave.plans.staging import broadcast_if_small, stage
 from statweave.sources.models import save_model
 
 
@@ -168,9 +169,10 @@ def naive_bayes_parameters(counts: DataFrame, smoothing: float = 1.0) -> tuple[D
     holds the (label, term) pairs that occur; an absent pair has the label's
     ``log_absent``, a third column of the first table.
     """
-    vocabulary = counts.agg(F.count_distinct("term").alias("v")).scalar()
-    per_doc = counts.groupBy("label", "doc").agg(F.sum("n").alias("n"))
-    labels = per_doc.groupBy("label").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("tokens"))
+    sums = stage(counts.groupBy("label", "term").agg(F.sum("n").alias("n")))
+    vocabulary = sums.agg(F.count_distinct("term").alias("v")).scalar()
+    tokens = sums.groupBy("label").agg(F.sum("n").alias("tokens"))
+    labels = counts.groupBy("label").agg(F.count_distinct("doc").alias("docs")).join(tokens, "label")
     all_docs = labels.agg(F.struct(F.sum("docs").alias("d"), F.count(F.lit(1)).alias("k")).alias("t")).scalar()
     smooth = F.lit(float(smoothing))
     size = F.log(F.col("tokens") + smooth * vocabulary)
@@ -181,7 +183,6 @@ def naive_bayes_parameters(counts: DataFrame, smoothing: float = 1.0) -> tuple[D
         (F.log(smooth) - size).alias("log_absent"),
         size.alias("log_size"),
     )
-    # one row per label
-    pairs = counts.groupBy("label", "term").agg(F.sum("n").alias("n")).join(prior, "label")
+    pairs = sums.join(broadcast_if_small(prior, 10_000), "label")
     likelihood = pairs.select("label", "term", (F.log(F.col("n") + smooth) - F.col("log_size")).alias("log_likelihood"))
     return prior.drop("log_size"), likelihood

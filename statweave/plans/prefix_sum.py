@@ -21,7 +21,7 @@ MAX_BUCKETS = 4096
 def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Add ``_bucket``, an order-preserving bucket number of the numeric column ``key``.
 
-    ``df`` should be staged: its quantiles are computed here by an action.
+    The quantiles of ``key`` are computed here, by an action that reads that column.
     """
     count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = max(1, min(count, MAX_BUCKETS))
@@ -83,7 +83,7 @@ def global_prefix_sum(
 
 def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
     """Number the rows 0, 1, 2 … in the order of the unique numeric column ``key``."""
-    tagged = bucketed(stage(df), key, buckets)
+    tagged = bucketed(df, key, buckets)
     offsets = offset_buckets(tagged.withColumn("_one", F.lit(1).cast("bigint")), ["_one"])
     within = Window.partitionBy("_bucket").orderBy(key)
     joined = tagged.join(F.broadcast(offsets), "_bucket")

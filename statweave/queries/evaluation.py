@@ -177,7 +177,7 @@ def weighted_metrics(spark, sf):
     return rounded(class_metrics.weighted(predicted_priorities(spark, sf)))
 
 
-# per user and day: event types predicted (value above 60) and true (value above 30 in the same day's first 12 hours)
+# per user and day: event types with a value above 60, against those above 30 before noon; a set has at most one entry per type
 SETS_SQL = """WITH d AS (SELECT user_id, date_trunc('day', ts) AS day, coalesce(list(DISTINCT event_type) FILTER (WHERE value > 60), []) AS prediction,
     coalesce(list(DISTINCT event_type) FILTER (WHERE value > 30 AND hour(ts) < 12), []) AS label FROM events GROUP BY ALL),
     s AS (SELECT *, len(prediction)::DOUBLE AS np, len(label)::DOUBLE AS nt, len(list_intersect(prediction, label))::DOUBLE AS b FROM d)"""
@@ -214,11 +214,11 @@ def multilabel_per_class(spark, sf):
     return rounded(class_metrics.multilabel_per_class(daily_label_sets(spark, sf)))
 
 
-# per customer: the ten parts with most revenue, against the parts bought in quantity
-RANKING_SQL = """WITH b AS (SELECT o_custkey AS u, l_suppkey AS i, round(sum(l_extendedprice), 2) AS rev, sum(l_quantity) AS q
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+# per customer: the ten brands with most revenue, against the brands bought in quantity
+RANKING_SQL = """WITH b AS (SELECT o_custkey AS u, p_brand AS i, round(sum(l_extendedprice), 2) AS rev, sum(l_quantity) AS q
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL),
     p AS (SELECT * FROM (SELECT u, i, row_number() OVER (PARTITION BY u ORDER BY rev DESC, i) AS rank FROM b) WHERE rank <= 10),
-    t AS (SELECT u, i FROM b WHERE q > 40), s AS (SELECT u, count(*) AS r FROM t GROUP BY u),
+    t AS (SELECT u, i FROM b WHERE q > 60), s AS (SELECT u, count(*) AS r FROM t GROUP BY u),
     m AS (SELECT p.u, rank, CASE WHEN t.i IS NULL THEN 0 ELSE 1 END AS h FROM p LEFT JOIN t USING (u, i)),
     w AS (SELECT *, sum(h) OVER (PARTITION BY u ORDER BY rank) AS c FROM m),
     g AS (SELECT u, sum(h * c / rank::DOUBLE) / max(r) AS ap,
@@ -234,13 +234,14 @@ RANKING_SQL = """WITH b AS (SELECT o_custkey AS u, l_suppkey AS i, round(sum(l_e
 def customer_rankings(spark, sf):
     """(predictions ``user, item, rank``; truth ``user, item``)."""
     bought = (
-        table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_quantity")
+        table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
+        .join(table(spark, sf, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
+        .groupBy(F.col("o_custkey").alias("user"), F.col("p_brand").alias("item"))
         .agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"), F.sum("l_quantity").alias("quantity"))
     )
     top = relational.top_k_per_group(bought, ["user"], [F.desc("revenue"), F.col("item")], 10).select("user", "item", "rank")
-    return top, bought.where("quantity > 40").select("user", "item")
+    return top, bought.where("quantity > 60").select("user", "item")
 
 
 @query("ranking_metrics", RANKING_SQL)
@@ -251,7 +252,7 @@ def ranking_metrics_query(spark, sf):
 
 @query("ranking_metrics_lists", RANKING_SQL)
 def ranking_metrics_lists(spark, sf):
-    """The same metrics from one row per user with the ranked and the relevant list."""
+    """The same metrics from one row per user; both lists are at most as long as the list of brands."""
     from statweave.operators.recommendation import recommended_lists
 
     predictions, truth = customer_rankings(spark, sf)

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from statweave.operators import class_metrics, clustering, mining, recommendation, supervised
-from statweave.operators.binary_metrics import BinaryCurves, error_rate
+from statweave.operators.binary_metrics import BinaryCurves
 from statweave.operators.regression_metrics import regression_metrics
 from statweave.operators.sampling import hash_split
 from statweave.plans.prefix_sum import row_index
@@ -36,10 +36,8 @@ def counted(df):
 
 
 def evaluated(scored):
-    """Error rate of the hard predictions beside the areas of the score."""
-    curves = BinaryCurves(scored.select("score", "label"))
-    area = curves.area_under_roc().select("area_under_roc").scalar()
-    return error_rate(scored).withColumn("area_under_roc", area).withColumn("area_under_pr", curves.area_under_pr().scalar())
+    """Error rate of the hard predictions beside the areas of the score, from one pass over the scored rows."""
+    return BinaryCurves(scored.select("score", "label", "prediction"), prediction="prediction").summary()
 
 
 @query("naive_bayes_lifecycle")
@@ -137,6 +135,36 @@ def logistic_binary(spark, sf):
     return evaluated(supervised.score(supervised.fit_logistic(train), test))
 
 
+@query(
+    "logistic_group_rates",
+    """SELECT l_linestatus AS status, round(avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END), 4) AS probability FROM lineitem GROUP BY 1""",
+)
+def logistic_group_rates(spark, sf):
+    """With one indicator per group the fitted probability of a group is its observed rate."""
+    rows = table(spark, sf, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        F.array(*[(F.col("l_linestatus") == s).cast("double") for s in ("F", "O")]).alias("features"),
+    )
+    groups = spark.createDataFrame([("F", [1.0, 0.0]), ("O", [0.0, 1.0])], "status string, features array<double>")
+    return rounded(supervised.score(supervised.fit_logistic(rows), groups).select("status", F.col("score").alias("probability")), 4)
+
+
+@query(
+    "multinomial_group_rates",
+    """WITH t AS (SELECT o_orderstatus AS status, o_orderpriority AS p FROM orders), g AS (SELECT status, count(*)::DOUBLE AS n FROM t GROUP BY 1)
+    SELECT status, (substr(p, 1, 1)::INTEGER - 1)::INTEGER AS class_index, round(count(*) / max(n), 3) AS probability FROM t JOIN g USING (status) GROUP BY status, p""",
+)
+def multinomial_group_rates(spark, sf):
+    rows = table(spark, sf, "orders").select(
+        (F.substring("o_orderpriority", 1, 1).cast("double") - 1).alias("label"),
+        F.array(*[(F.col("o_orderstatus") == s).cast("double") for s in ("F", "O", "P")]).alias("features"),
+    )
+    groups = [(s, [float(s == t) for t in "FOP"]) for s in "FOP"]
+    model = supervised.fit_multinomial_logistic(rows)
+    scored = model.transform(supervised.with_vector(spark.createDataFrame(groups, "status string, features array<double>"), "features"))
+    return rounded(scored.select("status", F.posexplode(vector_to_array("probability")).alias("class_index", "probability")), 3)
+
+
 @query("logistic_multinomial")
 def logistic_multinomial(spark, sf):
     train, test = hash_split(digits(spark, sf), [0.6, 0.4], ["vec_id"])
@@ -161,6 +189,52 @@ def tree_classifier(spark, sf):
     return evaluated(supervised.score(supervised.fit_tree_classifier(train), test))
 
 
+def _stump_sql(impurity: str, source: str) -> str:
+    """Best split of the root over both features, at midpoints of neighbouring values."""
+    return f"""WITH t AS ({source}), f AS (SELECT 0 AS feature, a AS x, y FROM t UNION ALL SELECT 1, b, y FROM t),
+    v AS (SELECT feature, x, lead(x) OVER (PARTITION BY feature ORDER BY x) AS nx FROM (SELECT DISTINCT feature, x FROM f)),
+    s AS (SELECT v.feature, (v.x + nx) / 2 AS threshold, count(*) FILTER (WHERE f.x <= v.x)::DOUBLE AS nl, avg(y) FILTER (WHERE f.x <= v.x) AS ml,
+          avg(y * y) FILTER (WHERE f.x <= v.x) AS ql, count(*) FILTER (WHERE f.x > v.x)::DOUBLE AS nr, avg(y) FILTER (WHERE f.x > v.x) AS mr,
+          avg(y * y) FILTER (WHERE f.x > v.x) AS qr, avg(y) AS m, avg(y * y) AS q
+          FROM v JOIN f USING (feature) WHERE nx IS NOT NULL GROUP BY v.feature, v.x, nx),
+    g AS (SELECT *, {impurity.format(m='m', q='q')} AS impurity, {impurity.format(m='m', q='q')} - nl / (nl + nr) * ({impurity.format(m='ml', q='ql')})
+          - nr / (nl + nr) * ({impurity.format(m='mr', q='qr')}) AS gain FROM s)
+    SELECT feature, round(threshold, 6) AS threshold, round(impurity, 6) AS impurity, round(gain, 8) AS gain,
+    round(ml, 6) AS left_mean, round(mr, 6) AS right_mean FROM g ORDER BY gain DESC LIMIT 1"""
+
+
+def _stump(spark, model, rows, name):
+    nodes = supervised.tree_nodes(model, scratch(spark, name), rows)
+    return nodes.where("node_id = 0").select("feature", "threshold", "impurity", "gain")
+
+
+def stump_rows(spark, sf, label):
+    return table(spark, sf, "lineitem").select(label.alias("label"), F.array(F.col("l_discount") * 100, F.col("l_tax") * 100).alias("features"))
+
+
+@query(
+    "tree_stump_classifier",
+    "SELECT feature, threshold, impurity, gain FROM ("
+    + _stump_sql("2 * {m} * (1 - {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END AS y FROM lineitem")
+    + ")",
+)
+def tree_stump_classifier(spark, sf):
+    """The root of the classification tree: best feature, threshold, Gini impurity and gain."""
+    rows = stump_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    return rounded(_stump(spark, supervised.fit_tree_classifier(rows), rows, "stump"), 6, gain=8)
+
+
+@query(
+    "tree_stump_regressor",
+    "SELECT feature, threshold, impurity, gain FROM ("
+    + _stump_sql("({q} - {m} * {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, l_quantity / 10 AS y FROM lineitem")
+    + ")",
+)
+def tree_stump_regressor(spark, sf):
+    rows = stump_rows(spark, sf, F.col("l_quantity") / 10)
+    return rounded(_stump(spark, supervised.fit_tree_regressor(rows), rows, "stump"), 6, gain=8)
+
+
 @query("tree_nodes")
 def tree_nodes(spark, sf):
     return supervised.tree_nodes(supervised.fit_tree_classifier(returned_lines(spark, sf)), scratch(spark, "tree"), returned_lines(spark, sf))
@@ -352,30 +426,38 @@ def rules_from_itemsets(spark, sf):
 
 
 def daily_sequences(spark, sf):
-    """Event types in time order, one sequence per user and day, one event per element."""
-    ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type")))
-    return table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.transform(ordered, lambda e: F.array(e["event_type"])).alias("sequence")
-    )
+    """Per user, the set of event types of each active day, in date order.
+
+    A day's set has at most one entry per event type and a sequence one element per
+    date, however many events a user has; both are combined before the shuffle.
+    """
+    days = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_set("event_type")).alias("types"))
+    ordered = F.array_sort(F.collect_list(F.struct("day", "types")))
+    return days.groupBy("user_id").agg(F.transform(ordered, lambda e: e["types"]).alias("sequence"))
+
+
+def pattern_text(found):
+    """``a&b>c`` for the pattern ((a, b), (c))."""
+    elements = F.transform("sequence", lambda e: F.concat_ws("&", F.array_sort(e)))
+    return found.select(F.concat_ws(">", elements).alias("sequence"), "freq")
 
 
 @query(
     "prefixspan_pairs",
-    """WITH e AS (SELECT user_id, ts::DATE AS d, event_type AS t, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS p FROM events),
-    n AS (SELECT count(DISTINCT (user_id, d)) AS n FROM e),
-    s AS (SELECT t AS sequence, count(DISTINCT (user_id, d)) AS freq FROM e GROUP BY t
-    UNION ALL SELECT a.t || '>' || b.t, count(DISTINCT (a.user_id, a.d)) FROM e a JOIN e b ON a.user_id = b.user_id AND a.d = b.d AND a.p < b.p GROUP BY a.t, b.t)
-    SELECT sequence, freq FROM s, n WHERE freq >= 0.05 * n""",
+    """WITH e AS (SELECT DISTINCT user_id AS u, ts::DATE AS d, event_type AS t FROM events),
+    n AS (SELECT count(DISTINCT u) AS n FROM e),
+    s AS (SELECT t AS sequence, count(DISTINCT u) AS freq FROM e GROUP BY t
+    UNION ALL SELECT a.t || '&' || b.t, count(DISTINCT a.u) FROM e a JOIN e b ON a.u = b.u AND a.d = b.d AND a.t < b.t GROUP BY a.t, b.t
+    UNION ALL SELECT a.t || '>' || b.t, count(DISTINCT a.u) FROM e a JOIN e b ON a.u = b.u AND a.d < b.d GROUP BY a.t, b.t)
+    SELECT sequence, freq FROM s, n WHERE freq >= 0.5 * n""",
 )
 def prefixspan_pairs(spark, sf):
-    found = mining.sequential_patterns(daily_sequences(spark, sf), 0.05, 2)
-    return found.select(F.concat_ws(">", F.flatten("sequence")).alias("sequence"), "freq")
+    return pattern_text(mining.sequential_patterns(daily_sequences(spark, sf), 0.5, 2))
 
 
 @query("prefixspan")
 def prefixspan(spark, sf):
-    found = mining.sequential_patterns(daily_sequences(spark, sf), 0.02, 5)
-    return found.select(F.concat_ws(">", F.flatten("sequence")).alias("sequence"), "freq")
+    return pattern_text(mining.sequential_patterns(daily_sequences(spark, sf), 0.8, 5))
 
 
 def trade_edges(spark, sf):

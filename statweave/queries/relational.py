@@ -273,16 +273,16 @@ def bad_rating_lines(spark, sf):
 
 @query(
     "basket_lines",
-    """SELECT item, count(*) AS baskets FROM (SELECT DISTINCT l_orderkey, replace(p_brand, ' ', '') AS item
-    FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY item""",
+    """SELECT item, count(*) AS baskets FROM (SELECT unnest([replace(p_brand, ' ', ''), p_type]) AS item FROM lineitem JOIN part ON l_partkey = p_partkey)
+    GROUP BY item""",
 )
 def basket_lines(spark, sf):
-    """One line of brands per order, with repeats, shaped to baskets."""
+    """One line of brand, type and the brand again per sale, shaped to baskets without repeats."""
+    brand = F.replace("p_brand", F.lit(" "), F.lit(""))
     lines = (
-        table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-        .join(table(spark, sf, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_orderkey")
-        .agg(F.concat_ws(" ", F.collect_list(F.replace("p_brand", F.lit(" "), F.lit("")))).alias("value"))
+        table(spark, sf, "lineitem").select("l_partkey")
+        .join(table(spark, sf, "part").select("p_partkey", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(F.concat_ws(" ", brand, "p_type", brand).alias("value"))
     )
     return text.shape_baskets(lines).select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statweave.queries.registry import query, rounded, scratch
@@ -30,6 +31,7 @@ def _welch_sql(groups: str, source: str) -> str:
 
 
 def _run(spark, tests, output_mode: str = "complete"):
+    """Run the stream over the files that exist and return its saved results."""
     path, checkpoint = scratch(spark, "results"), scratch(spark, "progress")
     writer = ab_test.write_results(tests, path, checkpoint, None, output_mode)
     writer.awaitTermination()
@@ -57,9 +59,9 @@ def stream_welch(spark, sf):
 def stream_welch_windows(spark, sf):
     """Sliding windows of the last three daily batches, in event time."""
     tests = ab_test.streaming_welch(event_stream(spark, sf), F.col("event_type") == "error", "value", 3, DAY, "ts")
-    results = _run(spark, tests, "complete")
-    last = results.agg(F.max("batch_id").alias("b")).scalar()
-    rows = results.where(F.col("batch_id") == last).select(
+    results = _run(spark, tests, "update")
+    newest = Window.partitionBy("start").orderBy(F.desc("batch_id"))
+    rows = results.withColumn("_n", F.row_number().over(newest)).where("_n = 1").select(
         F.col("start").cast("timestamp_ntz").alias("start"), "n_control", "n_treatment", "statistic", "dof"
     )
     return rounded(rows, 6, dof=4)

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from statweave.operators.hypothesis import welch_statistics, welch_sums, with_t_p_value
 
@@ -72,7 +73,7 @@ def write_results(
 
 def read_results(tests: DataFrame, path: str) -> DataFrame:
     """The results ``write_results`` has saved so far, with ``batch_id``."""
-    schema = tests.schema.add("batch_id", "bigint")
+    schema = StructType([*tests.schema.fields, StructField("batch_id", LongType())])
     return tests.sparkSession.read.schema(schema).option("basePath", path).parquet(f"{path.rstrip('/')}/batch_id=*")
 
 
