@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
-from statweave.plans.prefix_sum import global_prefix_sum
-from statweave.plans.staging import broadcast_if_small, stage
+from statweave.plans.prefix_sum import ONE_WINDOW_ROWS, key_totals, running_totals
+from statweave.plans.staging import is_small
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,12 +62,8 @@ def _pair_rows(values: dict[tuple[str, str], Column], columns: Sequence[str]) ->
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """``i, j, r`` for every pair of columns, Pearson or Spearman."""
     if method == "spearman":
-        ranked = average_ranks(df, columns)
-        sums = {}
-        for i, j in combinations(columns, 2):
-            a, b, n = F.col(f"_rank_{i}"), F.col(f"_rank_{j}"), F.col("_n")
-            sums[i, j] = F.sum(n * a * b) / F.sqrt(F.sum(n * a * a) * F.sum(n * b * b))
-        return ranked.agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
+        sums = {(i, j): _rank_correlation(i, j) for i, j in combinations(columns, 2)}
+        return average_ranks(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
     pairs = {(i, j): F.corr(i, j) for i, j in combinations(columns, 2)}
     return df.agg(_pair_rows(pairs, columns).alias("m")).select(F.inline("m"))
 
@@ -81,29 +77,33 @@ def vector_correlation(df: DataFrame, features: str = "features", method: str =
 
 
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct rows of ``columns`` with their count ``_n`` and centred ranks ``_rank_<column>``.
+    """The rows of ``columns`` without nulls, with centred ranks ``_rank_<column>``.
 
     Ties share their average rank, and the mean rank is subtracted so that later
     sums of squares keep their precision. Each column is ranked over its distinct
-    values; a rank table is broadcast only when it is checked to be small.
+    values. A rank table is broadcast only when its rows were counted to be few; else
+    the join shuffles and adaptive execution splits a hot value's partition.
     """
-    for c in columns:
-        df = df.where(F.col(c).isNotNull())
-    rows = stage(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")))
+    rows = df.select(*columns).dropna()
     ranked = rows
     for c in columns:
-        running = global_prefix_sum(rows, c, {"n": F.col("_n")})
+        totals = key_totals(rows, c, {"n": F.lit(1).cast("bigint")})
+        few = is_small(totals, ONE_WINDOW_ROWS)
+        running = running_totals(totals, c, ["n"], buckets=1 if few else None)
         middle = F.col("cum_n") - (F.col("n") - 1) / 2.0 - (F.col("total_n") + 1) / 2.0
-        table = stage(running.select(c, middle.alias(f"_rank_{c}")))
-        ranked = ranked.join(broadcast_if_small(table), c)
+        ranks = running.select(c, middle.alias(f"_rank_{c}"))
+        ranked = ranked.join(F.broadcast(ranks) if few else ranks, c)
     return ranked
 
 
+def _rank_correlation(x: str, y: str) -> Column:
+    a, b = F.col(f"_rank_{x}"), F.col(f"_rank_{y}")
+    return F.sum(a * b) / F.sqrt(F.sum(a * a) * F.sum(b * b))
+
+
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation with average ranks for ties."""
-    a, b, n = F.col(f"_rank_{x}"), F.col(f"_rank_{y}"), F.col("_n")
-    ranked = average_ranks(df, [x, y])
-    return ranked.agg((F.sum(n * a * b) / F.sqrt(F.sum(n * a * a) * F.sum(n * b * b))).alias("r"))
+    return average_ranks(df, [x, y]).agg(_rank_correlation(x, y).alias("r"))
 
 
 def kernel_density(df: DataFrame, value: str, points: Sequence[float], bandwidth: float = 1.0) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each ``fit_*`` takes a DataFrame with ``label`` and ``features`` (vector or array)
 and returns a fitted ``pyspark.ml`` model. Linear models have no intercept unless
-asked for. The estimators persist their own input while they iterate.
+asked for. Linear estimators keep their own blocks while they iterate; tree
+estimators pass over their input several times first, so it is kept for them.
 """
 
 from __future__ import annotations
@@ -28,13 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
-from statweave.plans.staging import broadcast_if_small, stage
+from statweave.plans.staging import broadcast_if_small, persisted, stage
 from statweave.sources.models import save_model
 
 
-def _fit(estimator: Estimator, train: DataFrame) -> Model:
+def _fit(estimator: Estimator, train: DataFrame, keep: bool = False) -> Model:
+    """Fit on the columns that matter; ``keep`` holds them while an estimator passes over them several times."""
     columns = ["label", "features"] + (["weight"] if "weight" in train.columns else [])
-    return estimator.fit(with_vector(train.select(*columns), "features"))
+    rows = with_vector(train.select(*columns), "features")
+    if not keep:
+        return estimator.fit(rows)
+    with persisted(rows) as kept:
+        return estimator.fit(kept)
 
 
 def fit_logistic(train: DataFrame, intercept: bool = False, max_iter: int = 100, reg: float = 0.0) -> Model:
@@ -67,33 +73,33 @@ def fit_naive_bayes(train: DataFrame, smoothing: float = 1.0) -> Model:
 
 
 def fit_tree_classifier(train: DataFrame, depth: int = 5, bins: int = 32) -> Model:
-    return _fit(DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins), train)
+    return _fit(DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins), train, keep=True)
 
 
 def fit_tree_regressor(train: DataFrame, depth: int = 5, bins: int = 32) -> Model:
-    return _fit(DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins), train)
+    return _fit(DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins), train, keep=True)
 
 
 def fit_forest_classifier(train: DataFrame, trees: int = 3, depth: int = 5, bins: int = 32, seed: int = 12345) -> Model:
     estimator = RandomForestClassifier(
         numTrees=trees, featureSubsetStrategy="auto", impurity="gini", maxDepth=depth, maxBins=bins, seed=seed
     )
-    return _fit(estimator, train)
+    return _fit(estimator, train, keep=True)
 
 
 def fit_forest_regressor(train: DataFrame, trees: int = 3, depth: int = 4, bins: int = 32, seed: int = 12345) -> Model:
     estimator = RandomForestRegressor(
         numTrees=trees, featureSubsetStrategy="auto", impurity="variance", maxDepth=depth, maxBins=bins, seed=seed
     )
-    return _fit(estimator, train)
+    return _fit(estimator, train, keep=True)
 
 
 def fit_boosted_classifier(train: DataFrame, iterations: int = 3, depth: int = 5, seed: int = 12345) -> Model:
-    return _fit(GBTClassifier(maxIter=iterations, maxDepth=depth, lossType="logistic", seed=seed), train)
+    return _fit(GBTClassifier(maxIter=iterations, maxDepth=depth, lossType="logistic", seed=seed), train, keep=True)
 
 
 def fit_boosted_regressor(train: DataFrame, iterations: int = 3, depth: int = 5, seed: int = 12345) -> Model:
-    return _fit(GBTRegressor(maxIter=iterations, maxDepth=depth, lossType="squared", seed=seed), train)
+    return _fit(GBTRegressor(maxIter=iterations, maxDepth=depth, lossType="squared", seed=seed), train, keep=True)
 
 
 def fit_linear_regression(train: DataFrame, intercept: bool = False, reg: float = 0.0) -> Model:

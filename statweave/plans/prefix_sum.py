@@ -5,6 +5,7 @@ map-side combine. Approximate quantiles of the distinct keys cut the key range
 into buckets of about equal size; every bucket is one window partition and the
 totals of the earlier buckets are added as an offset. Only the per-bucket totals
 (at most ``MAX_BUCKETS`` rows) go through an unpartitioned window and a broadcast.
+A table counted to have few distinct keys is ranked in one window instead.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statweave.plans.staging import stage
+from statweave.plans.staging import is_small, stage
 
 MAX_BUCKETS = 4096
+ONE_WINDOW_ROWS = 100_000
 
 
 def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
@@ -49,6 +51,41 @@ def offset_buckets(tagged: DataFrame, names: list[str], descending: bool = False
     )
 
 
+def key_totals(df: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
+    """One staged row per distinct non-null ``key`` with the given sums."""
+    return stage(
+        df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    )
+
+
+def running_totals(
+    totals: DataFrame, key: str, names: list[str], descending: bool = False, buckets: int | None = None
+) -> DataFrame:
+    """``cum_*`` and ``total_*`` of the columns ``names`` over the order of the unique ``key``.
+
+    ``buckets`` 1 ranks everything in one window; it is for tables checked to be small.
+    """
+    order = F.desc(key) if descending else F.asc(key)
+    if buckets == 1:
+        whole = Window.partitionBy(F.lit(0))
+        upto = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return totals.select(
+            key,
+            *names,
+            *[F.sum(n).over(upto).alias(f"cum_{n}") for n in names],
+            *[F.sum(n).over(whole).alias(f"total_{n}") for n in names],
+        )
+    tagged = bucketed(totals, key, buckets)
+    offsets = offset_buckets(tagged, names, descending)
+    upto = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return tagged.join(F.broadcast(offsets), "_bucket").select(
+        key,
+        *names,
+        *[(F.col(f"_off_{n}") + F.sum(n).over(upto)).alias(f"cum_{n}") for n in names],
+        *[F.col(f"_total_{n}").alias(f"total_{n}") for n in names],
+    )
+
+
 def global_prefix_sum(
     df: DataFrame,
     key: str,
@@ -61,24 +98,17 @@ def global_prefix_sum(
 
     Columns: ``key``, and for each name in ``sums`` the columns ``name`` (sum at this
     key), ``cum_name`` (sum up to and including this key) and ``total_name``. With
-    ``rank`` the number of distinct keys is summed along as ``keys``.
+    ``rank`` the number of distinct keys is summed along as ``keys``. Up to
+    ``ONE_WINDOW_ROWS`` distinct keys (counted first) need no buckets.
     """
-    names = [*sums, *(["keys"] if rank else [])]
-    histogram = stage(
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    )
+    totals = key_totals(df, key, sums)
+    names = list(sums)
     if rank:
-        histogram = histogram.withColumn("keys", F.lit(1).cast("bigint"))
-    tagged = bucketed(histogram, key, buckets)
-    offsets = offset_buckets(tagged, names, descending)
-    order = F.desc(key) if descending else F.asc(key)
-    upto = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return tagged.join(F.broadcast(offsets), "_bucket").select(
-        key,
-        *names,
-        *[(F.col(f"_off_{n}") + F.sum(n).over(upto)).alias(f"cum_{n}") for n in names],
-        *[F.col(f"_total_{n}").alias(f"total_{n}") for n in names],
-    )
+        totals = totals.withColumn("keys", F.lit(1).cast("bigint"))
+        names.append("keys")
+    if buckets is None and is_small(totals, ONE_WINDOW_ROWS):
+        buckets = 1
+    return running_totals(totals, key, names, descending, buckets)
 
 
 def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:

@@ -15,13 +15,13 @@ from statweave.operators.sampling import hash_split
 from statweave.plans.prefix_sum import row_index
 from statweave.queries.registry import query, rounded, scratch
 from statweave.sources.models import coefficients_table, load_model, save_model
-from statweave.sources.tables import table
+from statweave.sources.tables import spread, table
 
 WORDS = r"[^\p{L}]+"
 
 
 def labeled_documents(spark, sf, label: str = "quality"):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.join(table(spark, sf, "labels").select("doc_id", F.col(label).cast("double").alias("label")), "doc_id")
 
 
@@ -98,7 +98,7 @@ def naive_bayes_model(spark, sf):
 
 def returned_lines(spark, sf):
     """Was a line returned, from its measures (features of similar size)."""
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
@@ -112,15 +112,15 @@ def line_split(spark, sf, weights):
 
 def digits(spark, sf):
     """Embeddings with their ten classes."""
-    return table(spark, sf, "embeddings").select(
+    return spread(table(spark, sf, "embeddings")).select(
         "vec_id", F.col("label").cast("double").alias("label"), F.col("embedding").cast("array<double>").alias("features")
     )
 
 
 def prices(spark, sf):
     """Line price from quantity and list price."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_extendedprice")
-    parts = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
+    lines = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))
+    parts = table(spark, sf, "part").select("p_partkey", "p_retailprice")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey",
         "l_linenumber",
@@ -209,7 +209,7 @@ def _stump(spark, model, rows, name):
 
 
 def stump_rows(spark, sf, label):
-    return table(spark, sf, "lineitem").select(label.alias("label"), F.array(F.col("l_discount") * 100, F.col("l_tax") * 100).alias("features"))
+    return spread(table(spark, sf, "lineitem")).select(label.alias("label"), F.array(F.col("l_discount") * 100, F.col("l_tax") * 100).alias("features"))
 
 
 @query(
@@ -490,7 +490,7 @@ def power_iteration(spark, sf):
 @query("lda_topics")
 def lda_topics(spark, sf):
     """Three topics of the documents: the ten heaviest terms of each."""
-    docs = counted(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = counted(spread(table(spark, sf, "documents").select("doc_id", "text")))
     return clustering.topic_terms(clustering.fit_lda(docs, 3, 10), 10)
 
 

@@ -61,18 +61,13 @@ def shape_labeled_vectors(lines: DataFrame) -> DataFrame:
 
 def shape_labeled_pairs(lines: DataFrame, num_features: int) -> DataFrame:
     """``label i:v i:v …`` lines (1-based index) to a dense array of ``num_features`` values."""
-    tokens = F.split(F.trim("value"), r"\s+")
-    pairs = F.filter(F.slice(tokens, 2, F.size(tokens)), lambda t: F.contains(t, F.lit(":")))
-    entries = F.transform(
-        pairs,
-        lambda t: F.struct(
-            F.split(t, ":")[0].try_cast("int").alias("key"), F.split(t, ":")[1].try_cast("double").alias("value")
-        ),
+    parts = F.split(F.trim("value"), r"\s+", 2)
+    by_index = F.str_to_map(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), F.lit(r"\s+"), F.lit(":"))
+    positions = F.transform(F.sequence(F.lit(1), F.lit(int(num_features))), lambda i: i.cast("string"))
+    found = F.transform(positions, lambda i: F.coalesce(F.try_element_at("_pairs", i).try_cast("double"), F.lit(0.0)))
+    return lines.select(parts[0].try_cast("double").alias("label"), by_index.alias("_pairs")).select(
+        "label", found.alias("features")
     )
-    by_index = F.map_from_entries(entries)
-    positions = F.sequence(F.lit(1), F.lit(int(num_features)))
-    dense = F.transform(positions, lambda i: F.coalesce(F.try_element_at(by_index, i), F.lit(0.0)))
-    return lines.select(tokens[0].try_cast("double").alias("label"), dense.alias("features"))
 
 
 def shape_baskets(lines: DataFrame) -> DataFrame:
