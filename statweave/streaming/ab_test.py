@@ -102,9 +102,9 @@ def run_until_significant(
         folder = f"{path.rstrip('/')}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
         saved = batch.sparkSession.read.schema(tests.schema).parquet(folder)
-        if not saved.where(F.col("p_value") < alpha).isEmpty():
-            seen["significant"] = True
+        significant = not saved.where(F.col("p_value") < alpha).isEmpty()
         seen["batches"] += 1
+        seen["significant"] = significant
 
     query = (
         tests.writeStream.outputMode(output_mode)
