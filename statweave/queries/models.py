@@ -385,9 +385,9 @@ def order_brands(spark, sf):
 
 ITEM_SQL = """WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey),
     n AS (SELECT count(DISTINCT o)::DOUBLE AS n FROM b),
-    s AS (SELECT i AS items, count(*) AS freq, 1 AS k, i AS x, NULL AS y FROM b GROUP BY i
-    UNION ALL SELECT a.i || ',' || c.i, count(*), 2, a.i, c.i FROM b a JOIN b c ON a.o = c.o AND a.i < c.i GROUP BY a.i, c.i
-    UNION ALL SELECT a.i || ',' || c.i || ',' || d.i, count(*), 3, a.i, c.i FROM b a JOIN b c ON a.o = c.o AND a.i < c.i JOIN b d ON a.o = d.o AND c.i < d.i GROUP BY a.i, c.i, d.i)"""
+    s AS (SELECT i AS items, count(*) AS freq, 1 AS k, i AS x, NULL AS y, NULL AS z FROM b GROUP BY i
+    UNION ALL SELECT a.i || ',' || c.i, count(*), 2, a.i, c.i, NULL FROM b a JOIN b c ON a.o = c.o AND a.i < c.i GROUP BY a.i, c.i
+    UNION ALL SELECT a.i || ',' || c.i || ',' || d.i, count(*), 3, a.i, c.i, d.i FROM b a JOIN b c ON a.o = c.o AND a.i < c.i JOIN b d ON a.o = d.o AND c.i < d.i GROUP BY a.i, c.i, d.i)"""
 
 
 @query("frequent_itemsets", f"{ITEM_SQL} SELECT items, freq FROM s, n WHERE freq >= ceil(0.01 * n)")
@@ -396,8 +396,10 @@ def frequent_itemsets(spark, sf):
     return mining.frequent_itemsets(model).select(F.concat_ws(",", "items").alias("items"), "freq")
 
 
-RULE_SQL = f"""{ITEM_SQL}, f AS (SELECT s.* FROM s, n WHERE k <= 2 AND freq >= ceil(0.01 * n)),
-    r AS (SELECT x AS antecedent, y AS consequent, freq FROM f WHERE k = 2 UNION ALL SELECT y, x, freq FROM f WHERE k = 2)"""
+RULE_SQL = f"""{ITEM_SQL}, f AS (SELECT s.* FROM s, n WHERE freq >= ceil(0.01 * n)),
+    r AS (SELECT x AS antecedent, y AS consequent, freq FROM f WHERE k = 2 UNION ALL SELECT y, x, freq FROM f WHERE k = 2
+    UNION ALL SELECT x || ',' || y, z, freq FROM f WHERE k = 3 UNION ALL SELECT x || ',' || z, y, freq FROM f WHERE k = 3
+    UNION ALL SELECT y || ',' || z, x, freq FROM f WHERE k = 3)"""
 
 
 @query(
