@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from statweave.functions.arrays import as_array, dot, literal_array, select_positions, with_vector
 from statweave.operators.hypothesis import chi2_by_feature
-from statweave.plans.staging import persisted
+from statweave.plans.staging import broadcast_if_small, persisted
 
 EXPRESSION_CELLS = 256
 
@@ -84,9 +84,13 @@ def matrix_product(df: DataFrame, local: np.ndarray, features: str = "features",
 
 
 def matrix_product_long(cells: DataFrame, local: DataFrame) -> DataFrame:
-    """Long form ``(row, j, value) × (j, k, weight)`` for a right matrix too large for literals."""
+    """Long form ``(row, j, value) × (j, k, weight)`` for a right matrix too large for an argument.
+
+    Every row has an entry at each ``j``, so a matrix counted to be small is broadcast;
+    a larger one meets the cells by a shuffle whose skewed partitions are split.
+    """
     return (
-        cells.join(local, "j")
+        cells.join(broadcast_if_small(local), "j")
         .groupBy("row", "k")
         .agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
     )

@@ -13,6 +13,7 @@ from statweave.operators.binary_metrics import BinaryCurves
 from statweave.operators.regression_metrics import regression_metrics
 from statweave.operators.sampling import hash_split
 from statweave.plans.prefix_sum import row_index
+from statweave.plans.staging import stage
 from statweave.queries.registry import query, rounded, scratch
 from statweave.sources.models import coefficients_table, load_model, save_model
 from statweave.sources.tables import spread, table
@@ -30,9 +31,13 @@ def words(column: str = "text"):
 
 
 def counted(df):
-    """Term-count vectors of whole documents; the vocabulary holds at most 2¹⁸ terms."""
+    """Term-count vectors of whole documents, staged so that texts are split no more than twice.
+
+    The vocabulary is driver state and holds at most 2¹⁸ terms.
+    """
     tokens = df.withColumn("_words", words())
-    return CountVectorizer(inputCol="_words", outputCol="features").fit(tokens).transform(tokens).drop("_words", "text")
+    model = CountVectorizer(inputCol="_words", outputCol="features", vocabSize=2**18).fit(tokens)
+    return stage(model.transform(tokens).drop("_words", "text"))
 
 
 def evaluated(scored):
