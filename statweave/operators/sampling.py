@@ -34,7 +34,7 @@ def key_digest(keys: list[str], seed: int) -> Column:
 def hash_fraction(keys: list[str], seed: int = 11) -> Column:
     """A number in [0, 1) that depends only on the key columns and the seed."""
     digits = F.substring(key_digest(keys, seed), 1, HASH_DIGITS)
-    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(16**HASH_DIGITS))
+    return F.coalesce(F.conv(digits, 16, 10).cast("bigint"), F.lit(0)) / F.lit(float(16**HASH_DIGITS))
 
 
 def hash_split(df: DataFrame, weights: list[float], keys: list[str], seed: int = 11) -> list[DataFrame]:
@@ -71,7 +71,8 @@ def stratified_exact(df: DataFrame, key: str, fractions: dict, ids: list[str], s
     )
     digest = key_digest(ids, seed)
     keyed = df.withColumn("_digest", digest)
-    keyed = keyed.withColumn("_slot", F.conv(F.substring("_digest", 1, STRATUM_DIGITS), 16, 10).cast("int"))
+    slot = F.conv(F.substring("_digest", 1, STRATUM_DIGITS), 16, 10).cast("int")
+    keyed = keyed.withColumn("_slot", F.coalesce(slot, F.lit(0)))
     per_slot = keyed.groupBy(F.col(key).alias("_stratum"), "_slot").agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.partitionBy("_stratum").orderBy("_slot")
     whole = Window.partitionBy("_stratum")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from statweave.operators import class_metrics, ranking_metrics, relational
 from statweave.operators.binary_metrics import BinaryCurves, error_rate
 from statweave.operators.regression_metrics import regression_metrics
+from statweave.plans.staging import stage
 from statweave.queries.registry import query, rounded
 from statweave.sources.tables import table
 
@@ -232,8 +233,8 @@ RANKING_SQL = """WITH b AS (SELECT o_custkey AS u, p_brand AS i, round(sum(l_ext
 
 
 def customer_rankings(spark, sf):
-    """(predictions ``user, item, rank``; truth ``user, item``)."""
-    bought = (
+    """(predictions ``user, item, rank``; truth ``user, item``), both from one staged join."""
+    bought = stage(
         table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
         .join(table(spark, sf, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -337,8 +337,8 @@ def isotonic_points(spark, sf):
 
 
 def part_ratings(spark, sf):
-    """How much of a part each customer bought."""
-    return (
+    """How much each customer bought of each supplier, staged for the passes of training and evaluation."""
+    return stage(
         table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_suppkey").cast("int").alias("item"))
