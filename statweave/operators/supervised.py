@@ -80,16 +80,20 @@ def fit_tree_regressor(train: DataFrame, depth: int = 5, bins: int = 32) -> Mode
     return _fit(DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins), train, keep=True)
 
 
-def fit_forest_classifier(train: DataFrame, trees: int = 3, depth: int = 5, bins: int = 32, seed: int = 12345) -> Model:
+def fit_forest_classifier(
+    train: DataFrame, trees: int = 3, depth: int = 5, bins: int = 32, seed: int = 12345, bootstrap: bool = True
+) -> Model:
     estimator = RandomForestClassifier(
-        numTrees=trees, featureSubsetStrategy="auto", impurity="gini", maxDepth=depth, maxBins=bins, seed=seed
+        numTrees=trees, featureSubsetStrategy="auto", impurity="gini", maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap
     )
     return _fit(estimator, train, keep=True)
 
 
-def fit_forest_regressor(train: DataFrame, trees: int = 3, depth: int = 4, bins: int = 32, seed: int = 12345) -> Model:
+def fit_forest_regressor(
+    train: DataFrame, trees: int = 3, depth: int = 4, bins: int = 32, seed: int = 12345, bootstrap: bool = True
+) -> Model:
     estimator = RandomForestRegressor(
-        numTrees=trees, featureSubsetStrategy="auto", impurity="variance", maxDepth=depth, maxBins=bins, seed=seed
+        numTrees=trees, featureSubsetStrategy="auto", impurity="variance", maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap
     )
     return _fit(estimator, train, keep=True)
 

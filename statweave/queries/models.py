@@ -210,36 +210,63 @@ def _stump_sql(impurity: str, source: str) -> str:
 
 def _stump(spark, model, rows, name):
     nodes = supervised.tree_nodes(model, scratch(spark, name), rows)
-    return nodes.where("node_id = 0").select("feature", "threshold", "impurity", "gain")
+    return nodes.where("tree_id = 0 AND node_id = 0").select("feature", "threshold", "impurity", "gain")
 
 
 def stump_rows(spark, sf, label):
     return spread(table(spark, sf, "lineitem")).select(label.alias("label"), F.array(F.col("l_discount") * 100, F.col("l_tax") * 100).alias("features"))
 
 
-@query(
-    "tree_stump_classifier",
-    "SELECT feature, threshold, impurity, gain FROM ("
-    + _stump_sql("2 * {m} * (1 - {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END AS y FROM lineitem")
-    + ")",
-)
+CLASS_STUMP_SQL = "SELECT feature, threshold, impurity, gain FROM (" + _stump_sql(
+    "2 * {m} * (1 - {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END AS y FROM lineitem"
+) + ")"
+SIGN_STUMP_SQL = "SELECT feature, threshold, impurity, gain FROM (" + _stump_sql(
+    "({q} - {m} * {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE -1.0 END AS y FROM lineitem"
+) + ")"
+VALUE_STUMP_SQL = "SELECT feature, threshold, impurity, gain FROM (" + _stump_sql(
+    "({q} - {m} * {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, l_quantity / 10 AS y FROM lineitem"
+) + ")"
+
+
+@query("tree_stump_classifier", CLASS_STUMP_SQL)
 def tree_stump_classifier(spark, sf):
     """The root of the classification tree: best feature, threshold, Gini impurity and gain."""
     rows = stump_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
     return rounded(_stump(spark, supervised.fit_tree_classifier(rows), rows, "stump"), 6, gain=8)
 
 
-@query(
-    "tree_stump_regressor",
-    "SELECT feature, threshold, impurity, gain FROM ("
-    + _stump_sql("({q} - {m} * {m})", "SELECT l_discount * 100 AS a, l_tax * 100 AS b, l_quantity / 10 AS y FROM lineitem")
-    + ")",
-)
+@query("tree_stump_regressor", VALUE_STUMP_SQL)
 def tree_stump_regressor(spark, sf):
     rows = stump_rows(spark, sf, F.col("l_quantity") / 10)
     return rounded(_stump(spark, supervised.fit_tree_regressor(rows), rows, "stump"), 6, gain=8)
 
 
+@query("forest_stump_classifier", CLASS_STUMP_SQL)
+def forest_stump_classifier(spark, sf):
+    """One tree without resampling considers every feature and row, so its root is the single tree's."""
+    rows = stump_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    return rounded(_stump(spark, supervised.fit_forest_classifier(rows, trees=1, bootstrap=False), rows, "stump"), 6, gain=8)
+
+
+@query("forest_stump_regressor", VALUE_STUMP_SQL)
+def forest_stump_regressor(spark, sf):
+    rows = stump_rows(spark, sf, F.col("l_quantity") / 10)
+    return rounded(_stump(spark, supervised.fit_forest_regressor(rows, trees=1, bootstrap=False), rows, "stump"), 6, gain=8)
+
+
+@query("boosted_stump_classifier", SIGN_STUMP_SQL)
+def boosted_stump_classifier(spark, sf):
+    """The first boosted tree is a regression on labels −1 and 1."""
+    rows = stump_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    return rounded(_stump(spark, supervised.fit_boosted_classifier(rows), rows, "stump"), 6, gain=8)
+
+
+@query("boosted_stump_regressor", VALUE_STUMP_SQL)
+def boosted_stump_regressor(spark, sf):
+    rows = stump_rows(spark, sf, F.col("l_quantity") / 10)
+    return rounded(_stump(spark, supervised.fit_boosted_regressor(rows), rows, "stump"), 6, gain=8)
+
+
 @query("tree_nodes")
 def tree_nodes(spark, sf):
     return supervised.tree_nodes(supervised.fit_tree_classifier(returned_lines(spark, sf)), scratch(spark, "tree"), returned_lines(spark, sf))
@@ -358,6 +385,15 @@ def als_recommend(spark, sf):
     return recommendation.recommend(recommendation.fit_als(part_ratings(spark, sf)), 10, scale=True)
 
 
+@query(
+    "als_recommend_ranks",
+    """SELECT DISTINCT o_custkey::INTEGER AS "user", k::INTEGER AS rank FROM lineitem JOIN orders ON l_orderkey = o_orderkey, (SELECT unnest(range(1, 11)) AS k)""",
+)
+def als_recommend_ranks(spark, sf):
+    """Every user with a rating gets ranks 1 to 10."""
+    return recommendation.recommend(recommendation.fit_als(part_ratings(spark, sf), iterations=2), 10).select("user", "rank")
+
+
 @query("als_ranking")
 def als_ranking(spark, sf):
     """Ranking metrics of ten recommendations per user against the items rated above 0."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from statweave.functions.arrays import append_bias, elementwise_product
+from statweave.functions.arrays import append_bias, elementwise_product, with_vector
 from statweave.operators import clustering, features
 from statweave.queries.registry import query, rounded, scratch
 from statweave.sources.models import centers_table, load_model, save_model
@@ -30,7 +30,6 @@ def elementwise(spark, sf):
 @query("elementwise_vector", f"SELECT vec_id, round(sum(v * (i % 3)), 6) + 0.0 AS total FROM {LONG_SQL} GROUP BY vec_id")
 def elementwise_vector(spark, sf):
     from pyspark.ml.functions import vector_to_array
-    from statweave.functions.arrays import with_vector
 
     scaled = features.scale_vectors(with_vector(vectors(spark, sf), "features"), [i % 3 for i in range(WIDTH)])
     total = F.aggregate(vector_to_array("scaled"), F.lit(0.0), lambda s, v: s + v)
@@ -173,6 +172,16 @@ def kmeans(spark, sf):
     return centers_table(spark, model.clusterCenters()).withColumn("cost", F.lit(cost))
 
 
+@query("kmeans_agreement", "SELECT count(*) AS n, 0::BIGINT AS different FROM embeddings")
+def kmeans_agreement(spark, sf):
+    """Clusters of a fitted model beside the nearest of its centres, row by row."""
+    rows = vectors(spark, sf)
+    model = clustering.fit_kmeans(rows, 10, 20)
+    mine = clustering.assign_clusters(rows, [list(map(float, c)) for c in model.clusterCenters()])
+    both = model.transform(with_vector(mine, "features"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cluster") != F.col("prediction")).alias("different"))
+
+
 @query("bisecting_kmeans")
 def bisecting_kmeans(spark, sf):
     model = clustering.fit_bisecting_kmeans(vectors(spark, sf), 4)
