@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def save_model(model: Model, path: str, overwrite: bool = True) -> str:

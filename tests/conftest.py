@@ -10,7 +10,7 @@ from statweave.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", 8, "4g")
+    session = build_session("local[8]", 4, "4g")
     yield session
     session.stop()
 

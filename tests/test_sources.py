@@ -3,7 +3,6 @@
 import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from statweave.operators import clustering, supervised
 from statweave.sources import text
