@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -38,6 +39,20 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint this keeps column pruning, filter pushdown and sizes for the
+    plans that read it. The files outlive a lost executor and go when the session ends.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` on memory and disk while several actions run over it."""
