@@ -6,14 +6,25 @@ the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statweave.llm import decontaminate, secrets
+from statweave.llm import decontaminate, near_dedup, packing, secrets, toxicity
 from statweave.plans.staging import stage_table
 from statweave.sources.tables import table
 
 
+def remove_toxic_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove documents that score as toxic; the model learns from the labelled ones."""
+    return toxicity.remove_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class: five-word shingles, similarity 0.8 or more."""
+    return near_dedup.near_dedup(docs, words=5, percent=80)
+
+
 def remove_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove every document that holds a ten-word window of the benchmark."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -27,9 +38,17 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return masked.select(*docs.columns)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all kept documents in length buckets and token-budget batches."""
+    return packing.packed(packing.token_lengths(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 STAGES = [
+    ("toxicity", remove_toxic_text),
+    ("near duplicates", keep_one_of_each),
     ("benchmark decontamination", remove_benchmark_text),
     ("secret scans", mask_secrets),
+    ("packing", pack),
 ]
 
 ORACLE_SQL = None  # the stages learn models and cluster texts, which SQL cannot express

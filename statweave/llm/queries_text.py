@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statweave.llm import decontaminate, quality
+from statweave.llm import decontaminate, near_dedup, packing, quality, token_files, toxicity
 from statweave.llm.registry import query
 from statweave.sources.tables import table
 
@@ -70,3 +72,36 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontamination", LEAK_SQL)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows whose crc32(doc_id) mod 4 is not 2; scores every row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.class_report(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = packing.token_lengths(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(lengths)
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents encoded, written as compressed shards, read back and digested."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    shards = token_files.write_shards(table(spark, sf_dir, "documents"), path)
+    return token_files.read_documents(shards).withColumnRenamed("key", "doc_id")

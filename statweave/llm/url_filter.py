@@ -86,13 +86,16 @@ def skeleton_of(path: Column, levels: int) -> Column:
 
 
 def template_table(skeletons: DataFrame, levels: int, support: int, delta: float) -> DataFrame:
-    """(host, skeleton) → template, from rows host, skeleton, n, labelled, blocked."""
+    """(host, skeleton) → template, from rows host, skeleton, n, labelled, blocked.
+
+    A level reads its nodes twice, so each level's tables are staged; plans stay short.
+    """
     node = skeletons.withColumn("prefix", F.array().cast("array<string>"))
     for level in range(levels + 1):
         here = F.coalesce(F.get("skeleton", F.lit(level)), F.lit(""))
         after = F.get("skeleton", F.lit(level + 1))
         kind = F.when(after.isNull(), "end").when(after.rlike(r"^\{|^\*\*"), "var").otherwise("word")
-        branch = (
+        branch = stage_table(
             node.withColumns({"here": here, "kind": kind})
             .groupBy("host", "prefix", "here")
             .agg(
@@ -120,7 +123,7 @@ def template_table(skeletons: DataFrame, levels: int, support: int, delta: float
             "here",
             F.when(literal, F.col("here")).when((F.col("n") < support) | alike, "*").otherwise(F.col("here")).alias("step"),
         )
-        node = (
+        node = stage_table(
             node.withColumn("here", here)
             .join(judged, ["host", "prefix", "here"])
             .withColumn("prefix", F.concat("prefix", F.array("step")))
