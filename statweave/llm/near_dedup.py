@@ -108,7 +108,7 @@ def _draw(sets: list[np.ndarray], signature: np.ndarray) -> None:
             order = None if order is None else order[keep]
         if not len(element):
             return
-        drawn = mix(element + GOLDEN * np.uint64(2 * step + 1))
+        drawn = mix(element + np.uint64((2 * step + 1) * int(GOLDEN) % 2**64))
         other = step + (((drawn & np.uint64(0xFFFFFFFF)) * np.uint64(slots - step)) >> np.uint64(32)).astype(np.int64)
         rows = np.arange(len(element))
         if order is None:
