@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statweave.llm import decontaminate, near_dedup, packing, quality, token_files, toxicity
+from statweave.llm import context_tree, decontaminate, near_dedup, packing, quality, token_files, toxicity
 from statweave.llm.registry import query
 from statweave.sources.tables import table
 
@@ -105,3 +105,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     shards = token_files.write_shards(table(spark, sf_dir, "documents"), path)
     return token_files.read_documents(shards).withColumnRenamed("key", "doc_id")
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from rows whose crc32(doc_id) mod 7 is not 2; scores every row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return context_tree.score_report(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
