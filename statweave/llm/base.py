@@ -98,3 +98,18 @@ def mix(values: np.ndarray) -> np.ndarray:
 def by_arrow(df: DataFrame, function: Callable, schema: str, *passed: str) -> DataFrame:
     """``mapInArrow`` over the named columns only."""
     return df.select(*passed).mapInArrow(function, schema)
+
+
+class Renamed:
+    """A DataFrame under names that no working column has; ``back`` restores the caller's."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.safe = [f"column_{i}_" for i in range(len(self.names))]
+        self.df = df.toDF(*self.safe)
+
+    def name(self, column: str) -> str:
+        return self.safe[self.names.index(column)]
+
+    def back(self, df: DataFrame) -> DataFrame:
+        return df.select(*self.safe).toDF(*self.names)

@@ -66,7 +66,7 @@ def windows(conversations: DataFrame, budget: int = 512, history: int = 128) ->
         .withColumns({"ends": F.sum("tokens").over(upto), "pos": F.row_number().over(order).cast("bigint")})
         .withColumn("starts", F.col("ends") - F.col("tokens"))
         .withColumns({"first": F.floor(F.col("starts") / budget), "last": F.floor((F.col("ends") - 1) / budget)})
-        .withColumn("span", 2 * F.col("last") + (F.col("first") < F.col("last")).cast("bigint"))
+        .withColumn("span", 2 * F.col("last") - (F.col("first") < F.col("last")).cast("bigint"))
         .withColumn("said", said)
     )
     by_place = Window.partitionBy("conv_id").orderBy("starts")

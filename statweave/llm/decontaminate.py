@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import chunks, per_text, text_bytes
+from statweave.llm.base import Renamed, chunks, text_bytes
 
 SIZE = 10
 BLOCK_WORDS = 1_000_000
@@ -298,9 +298,9 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows without any window of the benchmark, with their own columns."""
-    columns = docs.columns
-    kept = contamination(docs.withColumn("_judged", F.col(text)), benchmark, "_judged", **options)
-    return kept.where("_n_hit = 0").select(*columns)
+    own = Renamed(docs)
+    kept = contamination(own.df.withColumn("_judged", F.col(own.name(text))), benchmark, "_judged", **options)
+    return own.back(kept.where("_n_hit = 0"))
 
 
 def longest_matches(

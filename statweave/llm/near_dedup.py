@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import WordTable, ascii_lower, chunks, mix, text_bytes
+from statweave.llm.base import Renamed, WordTable, ascii_lower, chunks, mix, text_bytes
 from statweave.plans.staging import stage_table
 
 SLOTS, BANDS = 160, 32
@@ -338,14 +338,16 @@ def classes(
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of every class, with its own columns; rows without words all stay."""
-    return classes(docs, key, text, **options).where("_first").select(*docs.columns)
+    own = Renamed(docs)
+    return own.back(classes(own.df, own.name(key), own.name(text), **options).where("_first"))
 
 
 def class_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    found = classes(docs.select(key, text), key, text, **options)
+    own = Renamed(docs.select(key, text))
+    found = classes(own.df, own.name(key), own.name(text), **options)
     return found.select(
-        key,
+        F.col(own.name(key)).alias(key),
         F.col("_n").alias("n_shingles"),
         F.col("_class").alias("component_id"),
-        F.col(key).eqNullSafe(F.col("_class")).alias("kept"),
+        F.col(own.name(key)).eqNullSafe(F.col("_class")).alias("kept"),
     )

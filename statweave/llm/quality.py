@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import WordTable, chunks, mix, per_text, text_bytes
+from statweave.llm.base import Renamed, WordTable, chunks, mix, per_text, text_bytes
 
 BLANK = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -171,9 +171,9 @@ def judged(
 
 def cascade(docs: DataFrame, text: str = "text", rules: tuple[QualityRule, ...] = DEFAULT_RULES, sample: int = 300) -> DataFrame:
     """The rows that every rule passes, with their own columns."""
-    columns = docs.columns
-    keep = docs.withColumn("_judged", F.col(text))
-    return judged(keep, "_judged", rules, sample).where("_passed").select(*columns)
+    own = Renamed(docs)
+    keep = own.df.withColumn("_judged", F.col(own.name(text)))
+    return own.back(judged(keep, "_judged", rules, sample).where("_passed"))
 
 
 def quality_report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

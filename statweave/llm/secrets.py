@@ -26,6 +26,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statweave.llm.base import Renamed
+
 SECRET_WORDS = "token secret password passwd pwd passphrase apikey api_key access_key private_key auth credential bearer"
 HARMLESS_WORDS = "commit sha sha1 sha256 md5 hash checksum digest uuid guid revision etag integrity example sample dummy test"
 # Common words of identifiers and of text, for dictionary coverage.
@@ -212,11 +214,15 @@ def scan(
     )
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", **options) -> DataFrame:
+def redact(
+    docs: DataFrame, text: str = "text", path: str | None = "source", mark: str = "[secret]", **options
+) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; the same columns, all rows kept."""
-    columns = docs.columns
-    scanned = scan(docs, text, **options).withColumn("_bad", F.filter("_findings", lambda x: x["secret"]))
-    whole = F.col(text)
+    own = Renamed(docs)
+    place = own.name(path) if path in docs.columns else None
+    scanned = scan(own.df, own.name(text), place, **options)
+    scanned = scanned.withColumn("_bad", F.filter("_findings", lambda x: x["secret"]))
+    whole = F.col(own.name(text))
     cut = F.aggregate(
         "_bad",
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
@@ -230,4 +236,4 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", **option
         ),
         lambda acc: F.concat(acc["out"], F.substring(whole, (acc["at"] + 1).cast("int"), F.length(whole))),
     )
-    return scanned.withColumn(text, F.when(F.size("_bad") > 0, cut).otherwise(whole)).select(*columns)
+    return own.back(scanned.withColumn(own.name(text), F.when(F.size("_bad") > 0, cut).otherwise(whole)))

@@ -203,7 +203,7 @@ def write_shards(
 
         for batch in batches:
             texts = [v or b"" for v in batch.column("bytes").to_pylist()]
-            for first, last in chunks(texts, 1 << 20):
+            for first, last in chunks(texts, min(1 << 20, shard_tokens)):
                 ids, sizes = encoder.encode(texts[first:last], end)
                 held.append((batch.column("key").slice(first, last - first), ids, sizes))
                 if sum(len(i) for _, i, _ in held) >= shard_tokens:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import WordTable, chunks, mix, per_text, text_bytes
+from statweave.llm.base import Renamed, WordTable, chunks, mix, per_text, text_bytes
 
 WINDOW = 2
 BUCKETS, DIM = 1 << 16, 8
@@ -300,7 +300,6 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def remove_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows that score below ``threshold``, with their own columns."""
-    columns = docs.columns
-    return scored(docs.withColumn("_judged", F.col(text)), model, "_judged").where(
-        F.col("_score") < threshold
-    ).select(*columns)
+    own = Renamed(docs)
+    judged = scored(own.df.withColumn("_judged", F.col(own.name(text))), model, "_judged")
+    return own.back(judged.where(F.col("_score") < threshold))

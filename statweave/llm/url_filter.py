@@ -21,12 +21,13 @@ alike. An empty table gives no rows. Columns other than the id and the URL are n
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import ascii_lower
+from statweave.llm.base import Renamed, ascii_lower
 from statweave.plans.staging import stage_table
 
 
@@ -144,10 +145,8 @@ def judge_urls(
     threshold: float = 0.8,
 ) -> DataFrame:
     """key, host, path, rule, template, purity, verdict of every row of ``pages``."""
-    import math
-
     host, path = host_and_path(F.col(url))
-    parsed = pages.select(F.col(key), host.alias("host"), path.alias("path"))
+    parsed = pages.select(F.col(key).alias("_key"), host.alias("host"), path.alias("path"))
     pattern, listed = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumns({"rule": pattern, "listed": listed, "skeleton": skeleton_of(F.col("path"), levels)})
     skeletons = stage_table(
@@ -179,7 +178,7 @@ def judge_urls(
         templates.select("host", "skeleton", "template").join(purity, ["host", "template"])
     )
     return ruled.join(judged, ["host", "skeleton"], "left").select(
-        key,
+        F.col("_key").alias(key),
         "host",
         "path",
         "rule",
@@ -197,4 +196,5 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url: str = "url", **options
     named = pages.select(F.coalesce(F.col(url), F.lit("")).alias("_url")).distinct()
     verdicts = judge_urls(named.withColumn("_id", F.col("_url")), rules, "_url", "_id", **options)
     allowed = verdicts.where(F.col("verdict") == "allow").select(F.col("_id").alias("_allowed"))
-    return pages.join(allowed, F.coalesce(F.col(url), F.lit("")) == F.col("_allowed"), "left_semi")
+    own = Renamed(pages)
+    return own.back(own.df.join(allowed, F.coalesce(F.col(own.name(url)), F.lit("")) == F.col("_allowed"), "left_semi"))
