@@ -13,7 +13,7 @@ class BinaryCurves:
 
     The score histogram is computed once and staged; its running totals are bucketed
     windows, and every method is a narrow projection or one aggregate of them. Labels
-    above 0.5 are positive. ``bins`` joins runs of consecutive scores so that about
+    above 0.5 are positive. An area that needs a class without rows is null. ``bins`` joins runs of consecutive scores so that about
     that many points remain; 0 keeps every score. With ``prediction`` the errors of the
     hard predictions are counted in the same pass, for ``summary``.
     """
@@ -103,11 +103,12 @@ class BinaryCurves:
         """Trapezoids over ``pr``; the previous point of a row is its own totals less its own counts."""
         tp, fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
         before = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(self._precision())
-        return F.sum(F.col("pos") / F.col("p") * (self._precision() + before) / 2.0)
+        return F.sum(F.try_divide(F.col("pos"), F.col("p")) * (self._precision() + before) / 2.0)
 
     @staticmethod
     def _roc_area() -> Column:
-        return F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2.0)) / F.max("p") / F.max("n")
+        area = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") / 2.0))
+        return F.try_divide(F.try_divide(area, F.max("p")), F.max("n"))
 
     def area_under_pr(self) -> DataFrame:
         return self.table.agg(self._pr_area().alias("area_under_pr"))
@@ -129,10 +130,14 @@ class BinaryCurves:
 
 
 def error_rate(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """``n, errors, error_rate, accuracy`` of hard predictions."""
-    wrong = F.when(F.col(prediction) != F.col(label), 1.0).otherwise(0.0)
+    """``n, missing, errors, error_rate, accuracy`` of hard predictions.
+
+    Rows without a prediction or label are ``missing`` and in no other figure.
+    """
+    wrong = (F.col(prediction) != F.col(label)).cast("double")
     return df.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(wrong).alias("n"),
+        F.count_if(wrong.isNull()).alias("missing"),
         F.sum(wrong).cast("bigint").alias("errors"),
         F.avg(wrong).alias("error_rate"),
         (1.0 - F.avg(wrong)).alias("accuracy"),

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
-from statweave.plans.prefix_sum import ONE_WINDOW_ROWS, key_totals, running_totals
-from statweave.plans.staging import is_small
+from statweave.plans.prefix_sum import key_totals, running_totals
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,8 +44,15 @@ def vector_summary(df: DataFrame, features: str = "features") -> DataFrame:
     )
 
 
+def _correlation(x: str, y: str) -> Column:
+    """Pearson's r over the rows where both are given; null if one of them is constant."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.corr(x, y).alias("r"))
+    return df.agg(_correlation(x, y).alias("r"))
 
 
 def _pair_rows(values: dict[tuple[str, str], Column], columns: Sequence[str]) -> Column:
@@ -60,11 +66,15 @@ def _pair_rows(values: dict[tuple[str, str], Column], columns: Sequence[str]) ->
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """``i, j, r`` for every pair of columns, Pearson or Spearman."""
+    """``i, j, r`` for every pair of columns, Pearson or Spearman.
+
+    Both leave out the rows where any of the columns is null; r with a constant column is null.
+    """
+    df = df.dropna(subset=list(columns))
     if method == "spearman":
         sums = {(i, j): _rank_correlation(i, j) for i, j in combinations(columns, 2)}
         return average_ranks(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
-    pairs = {(i, j): F.corr(i, j) for i, j in combinations(columns, 2)}
+    pairs = {(i, j): _correlation(i, j) for i, j in combinations(columns, 2)}
     return df.agg(_pair_rows(pairs, columns).alias("m")).select(F.inline("m"))
 
 
@@ -81,24 +91,21 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Ties share their average rank, and the mean rank is subtracted so that later
     sums of squares keep their precision. Each column is ranked over its distinct
-    values. A rank table is broadcast only when its rows were counted to be few; else
-    the join shuffles and adaptive execution splits a hot value's partition.
+    values. Spark broadcasts a rank table whose measured size is small; else the join
+    shuffles and adaptive execution splits a hot value's partition.
     """
     rows = df.select(*columns).dropna()
     ranked = rows
     for c in columns:
-        totals = key_totals(rows, c, {"n": F.lit(1).cast("bigint")})
-        few = is_small(totals, ONE_WINDOW_ROWS)
-        running = running_totals(totals, c, ["n"], buckets=1 if few else None)
+        running = running_totals(key_totals(rows, c, {"n": F.lit(1).cast("bigint")}), c, ["n"])
         middle = F.col("cum_n") - (F.col("n") - 1) / 2.0 - (F.col("total_n") + 1) / 2.0
-        ranks = running.select(c, middle.alias(f"_rank_{c}"))
-        ranked = ranked.join(F.broadcast(ranks) if few else ranks, c)
+        ranked = ranked.join(running.select(c, middle.alias(f"_rank_{c}")), c)
     return ranked
 
 
 def _rank_correlation(x: str, y: str) -> Column:
     a, b = F.col(f"_rank_{x}"), F.col(f"_rank_{y}")
-    return F.sum(a * b) / F.sqrt(F.sum(a * a) * F.sum(b * b))
+    return F.try_divide(F.sum(a * b), F.sqrt(F.sum(a * a) * F.sum(b * b)))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

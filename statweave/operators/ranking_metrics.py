@@ -60,11 +60,18 @@ def ranking_summary(df: DataFrame, prediction: str = "prediction", label: str =
 
 
 def ranking_summary_long(
-    predictions: DataFrame, truth: DataFrame, user: str = "user", item: str = "item", rank: str = "rank", ks: Sequence[int] = (1, 3, 5)
+    predictions: DataFrame,
+    truth: DataFrame,
+    user: str = "user",
+    item: str = "item",
+    rank: str = "rank",
+    ks: Sequence[int] = (1, 3, 5),
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """The same metrics from ``user, rank, item`` (rank from 1) and ``user, item`` tables.
 
-    Users are those found in both tables. The match is on (user, item), so a heavy
+    The average is over every user of ``users`` (column ``user``), or else of either
+    table; one without recommended or without relevant items scores 0. The match is on (user, item), so a heavy
     user's items spread over all tasks; only the ranked list of a user, at most as
     long as the list asked for, meets in one window.
     """
@@ -80,12 +87,18 @@ def ranking_summary_long(
         within = F.when(position <= k, F.col("_h")).otherwise(0)
         parts.append((F.sum(within) / F.lit(float(k))).alias(precision))
         parts.append(F.sum(within / F.log(position + 1.0)).alias(ndcg))
-    users = walked.groupBy(user).agg(*parts).join(sizes, user)
-    return users.agg(
+    scored = walked.groupBy(user).agg(*parts).join(sizes, user, "full")
+    if users is not None:
+        scored = users.select(user).distinct().join(scored, user, "left")
+
+    def mean(value: Column, name: str) -> Column:
+        return F.avg(F.when(F.col("_r") > 0, F.coalesce(value, F.lit(0.0))).otherwise(0.0)).alias(name)
+
+    return scored.agg(
         *[
             m
             for k, precision, ndcg in _named(ks)
-            for m in (F.avg(precision).alias(precision), F.avg(F.col(ndcg) / _ideal_gain(k, F.col("_r"))).alias(ndcg))
+            for m in (mean(F.col(precision), precision), mean(F.col(ndcg) / _ideal_gain(k, F.col("_r")), ndcg))
         ],
-        F.avg(F.col("_ap") / F.col("_r")).alias("mean_average_precision"),
+        mean(F.col("_ap") / F.col("_r"), "mean_average_precision"),
     )

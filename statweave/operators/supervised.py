@@ -2,8 +2,7 @@
 
 Each ``fit_*`` takes a DataFrame with ``label`` and ``features`` (vector or array)
 and returns a fitted ``pyspark.ml`` model. Linear models have no intercept unless
-asked for. Linear estimators keep their own blocks while they iterate; tree
-estimators pass over their input several times first, so it is kept for them.
+asked for. Estimators pass over their input several times, so it is kept while they fit.
 """
 
 from __future__ import annotations
@@ -33,12 +32,10 @@ from statweave.plans.staging import broadcast_if_small, persisted, stage
 from statweave.sources.models import save_model
 
 
-def _fit(estimator: Estimator, train: DataFrame, keep: bool = False) -> Model:
-    """Fit on the columns that matter; ``keep`` holds them while an estimator passes over them several times."""
+def _fit(estimator: Estimator, train: DataFrame) -> Model:
+    """Fit on the columns that matter, held while the estimator passes over them."""
     columns = ["label", "features"] + (["weight"] if "weight" in train.columns else [])
     rows = with_vector(train.select(*columns), "features")
-    if not keep:
-        return estimator.fit(rows)
     with persisted(rows) as kept:
         return estimator.fit(kept)
 
@@ -73,11 +70,11 @@ def fit_naive_bayes(train: DataFrame, smoothing: float = 1.0) -> Model:
 
 
 def fit_tree_classifier(train: DataFrame, depth: int = 5, bins: int = 32) -> Model:
-    return _fit(DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins), train, keep=True)
+    return _fit(DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins), train)
 
 
 def fit_tree_regressor(train: DataFrame, depth: int = 5, bins: int = 32) -> Model:
-    return _fit(DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins), train, keep=True)
+    return _fit(DecisionTreeRegressor(impurity="variance", maxDepth=depth, maxBins=bins), train)
 
 
 def fit_forest_classifier(
@@ -86,7 +83,7 @@ def fit_forest_classifier(
     estimator = RandomForestClassifier(
         numTrees=trees, featureSubsetStrategy="auto", impurity="gini", maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap
     )
-    return _fit(estimator, train, keep=True)
+    return _fit(estimator, train)
 
 
 def fit_forest_regressor(
@@ -95,15 +92,15 @@ def fit_forest_regressor(
     estimator = RandomForestRegressor(
         numTrees=trees, featureSubsetStrategy="auto", impurity="variance", maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap
     )
-    return _fit(estimator, train, keep=True)
+    return _fit(estimator, train)
 
 
 def fit_boosted_classifier(train: DataFrame, iterations: int = 3, depth: int = 5, seed: int = 12345) -> Model:
-    return _fit(GBTClassifier(maxIter=iterations, maxDepth=depth, lossType="logistic", seed=seed), train, keep=True)
+    return _fit(GBTClassifier(maxIter=iterations, maxDepth=depth, lossType="logistic", seed=seed), train)
 
 
 def fit_boosted_regressor(train: DataFrame, iterations: int = 3, depth: int = 5, seed: int = 12345) -> Model:
-    return _fit(GBTRegressor(maxIter=iterations, maxDepth=depth, lossType="squared", seed=seed), train, keep=True)
+    return _fit(GBTRegressor(maxIter=iterations, maxDepth=depth, lossType="squared", seed=seed), train)
 
 
 def fit_linear_regression(train: DataFrame, intercept: bool = False, reg: float = 0.0) -> Model:

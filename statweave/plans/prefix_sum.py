@@ -1,41 +1,33 @@
 """Running totals over the global order of a column, without a one-task window.
 
 Rows are first summed per distinct key, so one hot key is a single row after the
-map-side combine. Approximate quantiles of the distinct keys cut the key range
-into buckets of about equal size; every bucket is one window partition and the
-totals of the earlier buckets are added as an offset. Only the per-bucket totals
-(at most ``MAX_BUCKETS`` rows) go through an unpartitioned window and a broadcast.
-A table counted to have few distinct keys is ranked in one window instead.
+map-side combine. The distinct keys are range-partitioned, whatever orderable type
+they have; every range is one window partition and the totals of the earlier ranges
+are added as an offset. Only the totals, one row per range, go through an
+unpartitioned window and a broadcast. The path is the same at every size. A NaN key
+is an error.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statweave.plans.staging import is_small, stage
-
-MAX_BUCKETS = 4096
-ONE_WINDOW_ROWS = 100_000
+from statweave.plans.staging import stage_table
 
 
 def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``, an order-preserving bucket number of the numeric column ``key``.
+    """Staged ``df`` with ``_bucket``, the number of its range of ``key``, in the order of the keys.
 
-    The quantiles of ``key`` are computed here, by an action that reads that column.
+    There are as many ranges as shuffle partitions unless ``buckets`` says otherwise.
     """
-    count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = max(1, min(count, MAX_BUCKETS))
-    cuts: list[float] = []
-    if count > 1:
-        cuts = sorted(set(df.approxQuantile(key, [i / count for i in range(1, count)], 0.25 / count)))
-    if not cuts:
-        return df.withColumn("_bucket", F.lit(0.0))
-    splits = [float("-inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
-    keyed = df.withColumn("_bucket_key", F.col(key).cast("double"))
-    cutter = Bucketizer(splits=splits, inputCol="_bucket_key", outputCol="_bucket", handleInvalid="error")
-    return cutter.transform(keyed).drop("_bucket_key")
+    count = max(1, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    checked = F.col(key)
+    if dict(df.dtypes)[key] in ("double", "float"):
+        nan = F.raise_error(F.lit(f"{key} is NaN, which has no place in the order")).cast("double")
+        checked = F.when(F.isnan(key), nan).otherwise(F.col(key))
+    ranged = df.withColumn(key, checked).repartitionByRange(count, key)
+    return stage_table(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 
 def offset_buckets(tagged: DataFrame, names: list[str], descending: bool = False) -> DataFrame:
@@ -52,29 +44,15 @@ def offset_buckets(tagged: DataFrame, names: list[str], descending: bool = False
 
 
 def key_totals(df: DataFrame, key: str, sums: dict[str, Column]) -> DataFrame:
-    """One staged row per distinct non-null ``key`` with the given sums."""
-    return stage(
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    )
+    """One row per distinct non-null ``key`` with the given sums."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
 
 
 def running_totals(
     totals: DataFrame, key: str, names: list[str], descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """``cum_*`` and ``total_*`` of the columns ``names`` over the order of the unique ``key``.
-
-    ``buckets`` 1 ranks everything in one window; it is for tables checked to be small.
-    """
+    """``cum_*`` and ``total_*`` of the columns ``names`` over the order of the unique ``key``."""
     order = F.desc(key) if descending else F.asc(key)
-    if buckets == 1:
-        whole = Window.partitionBy(F.lit(0))
-        upto = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return totals.select(
-            key,
-            *names,
-            *[F.sum(n).over(upto).alias(f"cum_{n}") for n in names],
-            *[F.sum(n).over(whole).alias(f"total_{n}") for n in names],
-        )
     tagged = bucketed(totals, key, buckets)
     offsets = offset_buckets(tagged, names, descending)
     upto = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -98,23 +76,23 @@ def global_prefix_sum(
 
     Columns: ``key``, and for each name in ``sums`` the columns ``name`` (sum at this
     key), ``cum_name`` (sum up to and including this key) and ``total_name``. With
-    ``rank`` the number of distinct keys is summed along as ``keys``. Up to
-    ``ONE_WINDOW_ROWS`` distinct keys (counted first) need no buckets.
+    ``rank`` the number of distinct keys is summed along as ``keys``.
     """
     totals = key_totals(df, key, sums)
     names = list(sums)
     if rank:
         totals = totals.withColumn("keys", F.lit(1).cast("bigint"))
         names.append("keys")
-    if buckets is None and is_small(totals, ONE_WINDOW_ROWS):
-        buckets = 1
     return running_totals(totals, key, names, descending, buckets)
 
 
 def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2 … in the order of the unique numeric column ``key``."""
+    """Number the rows 0, 1, 2 … in the order of the unique column ``key``; equal keys are an error."""
     tagged = bucketed(df, key, buckets)
     offsets = offset_buckets(tagged.withColumn("_one", F.lit(1).cast("bigint")), ["_one"])
     within = Window.partitionBy("_bucket").orderBy(key)
     joined = tagged.join(F.broadcast(offsets), "_bucket")
-    return joined.withColumn(name, F.col("_off__one") + F.row_number().over(within) - 1).select(*df.columns, name)
+    place = F.col("_off__one") + F.row_number().over(within) - 1
+    twice = F.raise_error(F.lit(f"{key} is not unique")).cast("bigint")
+    number = F.when(F.col(key) == F.lag(key).over(within), twice).otherwise(place)
+    return joined.withColumn(name, number).select(*df.columns, name)

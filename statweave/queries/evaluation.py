@@ -124,7 +124,8 @@ def area_hard_labels(spark, sf):
 
 @query(
     "error_rate",
-    """SELECT count(*) AS n, count(*) FILTER (WHERE (l_quantity > 25) <> (l_returnflag = 'R')) AS errors,
+    """SELECT count(*) AS n, count(*) FILTER (WHERE l_quantity IS NULL OR l_returnflag IS NULL) AS missing,
+    count(*) FILTER (WHERE (l_quantity > 25) <> (l_returnflag = 'R')) AS errors,
     round(avg(CASE WHEN (l_quantity > 25) <> (l_returnflag = 'R') THEN 1.0 ELSE 0.0 END), 8) AS error_rate,
     round(1 - avg(CASE WHEN (l_quantity > 25) <> (l_returnflag = 'R') THEN 1.0 ELSE 0.0 END), 8) AS accuracy FROM lineitem""",
 )
@@ -223,12 +224,12 @@ RANKING_SQL = """WITH b AS (SELECT o_custkey AS u, p_brand AS i, round(sum(l_ext
     t AS (SELECT u, i FROM b WHERE q > 60), s AS (SELECT u, count(*) AS r FROM t GROUP BY u),
     m AS (SELECT p.u, rank, CASE WHEN t.i IS NULL THEN 0 ELSE 1 END AS h FROM p LEFT JOIN t USING (u, i)),
     w AS (SELECT *, sum(h) OVER (PARTITION BY u ORDER BY rank) AS c FROM m),
-    g AS (SELECT u, sum(h * c / rank::DOUBLE) / max(r) AS ap,
+    g AS (SELECT u, coalesce(sum(h * c / rank::DOUBLE) / max(r), 0) AS ap,
           """ + ", ".join(
-    f"""sum(CASE WHEN rank <= {k} THEN h ELSE 0 END) / {k}.0 AS p{k}, sum(CASE WHEN rank <= {k} THEN h / ln(rank + 1) ELSE 0 END)
-          / list_sum(list_transform(range(0, least(max(r), {k})), lambda x: 1 / ln(x + 2))) AS n{k}"""
+    f"""sum(CASE WHEN rank <= {k} THEN h ELSE 0 END) / {k}.0 AS p{k}, coalesce(sum(CASE WHEN rank <= {k} THEN h / ln(rank + 1) ELSE 0 END)
+          / list_sum(list_transform(range(0, least(max(r), {k})), lambda x: 1 / ln(x + 2))), 0) AS n{k}"""
     for k in (1, 3, 5)
-) + """ FROM w JOIN s USING (u) GROUP BY u)
+) + """ FROM w LEFT JOIN s USING (u) GROUP BY u)
     SELECT round(avg(p1), 6) AS precision_at_1, round(avg(n1), 6) AS ndcg_at_1, round(avg(p3), 6) AS precision_at_3, round(avg(n3), 6) AS ndcg_at_3,
     round(avg(p5), 6) AS precision_at_5, round(avg(n5), 6) AS ndcg_at_5, round(avg(ap), 6) AS mean_average_precision FROM g"""
 
@@ -257,7 +258,8 @@ def ranking_metrics_lists(spark, sf):
     """The same metrics from one row per user; both lists are at most as long as the list of brands."""
     predictions, truth = customer_rankings(spark, sf)
     relevant = truth.groupBy("user").agg(F.collect_list("item").alias("label"))
-    return rounded(ranking_metrics.ranking_summary(recommended_lists(predictions).join(relevant, "user")))
+    lists = recommended_lists(predictions).join(relevant, "user", "left")
+    return rounded(ranking_metrics.ranking_summary(lists.withColumn("label", F.coalesce("label", F.array().cast("array<string>")))))
 
 
 @query(

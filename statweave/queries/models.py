@@ -401,7 +401,7 @@ def als_ranking(spark, sf):
     """Ranking metrics of ten recommendations per user against the items rated above 0."""
     ratings = part_ratings(spark, sf)
     recommended = recommendation.recommend(recommendation.fit_als(ratings), 10)
-    return ranking_summary_long(recommended, ratings.where("rating > 0").select("user", "item"))
+    return ranking_summary_long(recommended, ratings.where("rating > 0").select("user", "item"), users=ratings.select("user"))
 
 
 @query("als_factors")

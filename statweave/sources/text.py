@@ -7,7 +7,8 @@ text source) and use only column expressions. Lines that do not parse give nulls
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,13 +39,18 @@ def _numbers(text: Column, separator: str = r"\s+") -> Column:
     return F.transform(F.split(F.trim(text), separator), lambda t: t.try_cast("double"))
 
 
+def _part(parts: Column) -> Callable[[int], Column]:
+    """The trimmed i-th part of a line; null on a line that is too short."""
+    return lambda i: F.trim(F.get(parts, F.lit(i)))
+
+
 def shape_ratings(lines: DataFrame, separator: str = ",", shift: float = 0.0) -> DataFrame:
     """``user,item,rating`` lines (or ``::`` separated); ``shift`` is added to the rating."""
-    parts = F.split("value", separator.replace("|", r"\|"))
+    part = _part(F.split("value", re.escape(separator)))
     return lines.select(
-        F.trim(parts[0]).try_cast("int").alias("user"),
-        F.trim(parts[1]).try_cast("int").alias("item"),
-        (F.trim(parts[2]).try_cast("double") + F.lit(float(shift))).alias("rating"),
+        part(0).try_cast("int").alias("user"),
+        part(1).try_cast("int").alias("item"),
+        (part(2).try_cast("double") + F.lit(float(shift))).alias("rating"),
     )
 
 
@@ -55,19 +61,25 @@ def shape_vectors(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def shape_labeled_vectors(lines: DataFrame) -> DataFrame:
     """``label,f1 f2 …`` lines; every feature is kept."""
-    parts = F.split("value", ",", 2)
-    return lines.select(F.trim(parts[0]).try_cast("double").alias("label"), _numbers(parts[1]).alias("features"))
+    part = _part(F.split("value", ",", 2))
+    return lines.select(part(0).try_cast("double").alias("label"), _numbers(part(1)).alias("features"))
 
 
 def shape_labeled_pairs(lines: DataFrame, num_features: int) -> DataFrame:
-    """``label i:v i:v …`` lines (1-based index) to a dense array of ``num_features`` values."""
+    """``label i:v i:v …`` lines (1-based index) to a dense array of ``num_features`` values.
+
+    The first value of a repeated index counts.
+    """
     parts = F.split(F.trim("value"), r"\s+", 2)
-    by_index = F.str_to_map(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), F.lit(r"\s+"), F.lit(":"))
-    positions = F.transform(F.sequence(F.lit(1), F.lit(int(num_features))), lambda i: i.cast("string"))
-    found = F.transform(positions, lambda i: F.coalesce(F.try_element_at("_pairs", i).try_cast("double"), F.lit(0.0)))
-    return lines.select(parts[0].try_cast("double").alias("label"), by_index.alias("_pairs")).select(
-        "label", found.alias("features")
+    pairs = F.split(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s+")
+    named = lines.select(
+        F.get(parts, F.lit(0)).try_cast("double").alias("label"),
+        F.transform(pairs, lambda p: F.substring_index(p, ":", 1)).alias("_index"),
+        F.transform(pairs, lambda p: F.substring_index(p, ":", -1)).alias("_value"),
     )
+    positions = F.transform(F.sequence(F.lit(1), F.lit(int(num_features))), lambda i: i.cast("string"))
+    value = lambda i: F.get("_value", (F.array_position("_index", i) - 1).cast("int")).try_cast("double")
+    return named.select("label", F.transform(positions, lambda i: F.coalesce(value(i), F.lit(0.0))).alias("features"))
 
 
 def shape_baskets(lines: DataFrame) -> DataFrame:
@@ -77,10 +89,10 @@ def shape_baskets(lines: DataFrame) -> DataFrame:
 
 def shape_ab_samples(lines: DataFrame) -> DataFrame:
     """``true,1.5`` lines to ``is_treatment BOOLEAN, value DOUBLE``; any other flag text is false."""
-    parts = F.split("value", ",")
+    part = _part(F.split("value", ","))
     return lines.select(
-        F.coalesce(F.lower(F.trim(parts[0])) == "true", F.lit(False)).alias("is_treatment"),
-        F.trim(parts[1]).try_cast("double").alias("value"),
+        F.coalesce(F.lower(part(0)) == "true", F.lit(False)).alias("is_treatment"),
+        part(1).try_cast("double").alias("value"),
     )
 
 
