@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 500
-
 
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(0.0)
@@ -17,22 +15,18 @@ def confusion_counts(df: DataFrame, prediction: str = "prediction", label: str =
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(counts: DataFrame, max_classes: int = MAX_CLASSES) -> DataFrame:
-    """``counts`` completed with the zero cells.
+def confusion_matrix(counts: DataFrame) -> DataFrame:
+    """``counts`` completed with the zero cells, of any number of classes.
 
-    The full matrix has (classes)² cells and is built from one row holding the class
-    list, so the number of classes is checked; beyond it use the counts themselves.
+    The result has (classes)² rows by definition; the class list, one side of it, is
+    combined per task and opened again, and the counts meet it in a join.
     """
     classes = F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction")))
-    cells = F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "n")))
-    labels = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct().limit(max_classes + 1)
-    if labels.count() > max_classes:
-        raise ValueError(f"more than {max_classes} classes: use confusion_counts")
-    one = counts.agg(classes.alias("classes"), cells.alias("cells"))
-    rows = one.select(F.explode("classes").alias("label"), "classes", "cells")
-    full = rows.select("label", F.explode("classes").alias("prediction"), "cells")
-    found = F.try_element_at("cells", F.struct("label", "prediction"))
-    return full.select("label", "prediction", F.coalesce(found, F.lit(0)).cast("bigint").alias("n"))
+    rows = counts.agg(classes.alias("classes")).select(F.explode("classes").alias("label"), "classes")
+    full = rows.select("label", F.explode("classes").alias("prediction"))
+    return full.join(counts, ["label", "prediction"], "left").select(
+        "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    )
 
 
 def class_table(counts: DataFrame) -> DataFrame:

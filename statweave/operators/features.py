@@ -70,17 +70,19 @@ def matrix_product(df: DataFrame, local: np.ndarray, features: str = "features",
 
     A small matrix is written out as JVM expressions; a larger one is applied to
     whole Arrow batches, where one matrix product does the work of many interpreted
-    array functions.
+    array functions. A null vector has a null product.
     """
     values, matrix = as_array(df, features), np.asarray(local, dtype=float)
     if matrix.size <= EXPRESSION_CELLS:
-        return df.withColumn(output, F.array(*[dot(values, literal_array(column)) for column in matrix.T]))
+        products = F.array(*[dot(values, literal_array(column)) for column in matrix.T])
+        return df.withColumn(output, F.when(values.isNotNull(), products))
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def multiply(rows: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(rows.to_numpy()) @ matrix) if len(rows) else [])
+        block = [np.zeros(len(matrix)) if r is None else r for r in rows]
+        return pd.Series(list(np.stack(block) @ matrix) if len(rows) else [])
 
-    return df.withColumn(output, multiply(values))
+    return df.withColumn(output, F.when(values.isNotNull(), multiply(values)))
 
 
 def matrix_product_long(cells: DataFrame, local: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def stratified_exact(df: DataFrame, key: str, fractions: dict, ids: list[str], s
     spark = df.sparkSession
     quotas = spark.createDataFrame(
         [(k, Decimal(str(f))) for k, f in fractions.items()],
-        StructType([StructField("_stratum", df.schema[key].dataType), StructField("_fraction", DecimalType(20, 10))]),
+        StructType([StructField("_stratum", df.schema[key].dataType), StructField("_fraction", DecimalType(19, 18))]),
     )
     digest = key_digest(ids, seed)
     keyed = df.withColumn("_digest", digest)
@@ -83,7 +83,7 @@ def stratified_exact(df: DataFrame, key: str, fractions: dict, ids: list[str], s
         F.sum("_n").over(in_order).alias("_upto"),
         F.sum("_n").over(whole).alias("_size"),
     ).join(F.broadcast(quotas), "_stratum")
-    quota = F.ceil(F.col("_fraction") * F.col("_size").cast("decimal(19,0)")).cast("bigint")
+    quota = F.ceil(F.col("_fraction") * F.col("_size").cast("decimal(18,0)")).cast("bigint")
     cuts = (
         running.withColumn("_quota", quota)
         .where((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_upto")))

@@ -193,3 +193,29 @@ def naive_bayes_parameters(counts: DataFrame, smoothing: float = 1.0) -> tuple[D
     pairs = sums.join(broadcast_if_small(prior, 10_000), "label")
     likelihood = pairs.select("label", "term", (F.log(F.col("n") + smooth) - F.col("log_size")).alias("log_likelihood"))
     return prior.drop("log_size"), likelihood
+
+
+def score_naive_bayes(prior: DataFrame, likelihood: DataFrame, counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``prediction`` and ``score`` (probability of label 1), from the long parameters.
+
+    ``counts`` has ``doc, term, n`` and ``docs`` the column ``doc``. Terms outside the training
+    vocabulary count for no label; a document without terms gets the priors. What the
+    driver reads is one row per label.
+    """
+    labels = prior.orderBy("label").collect()
+    by_term = likelihood.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", "log_likelihood"))).alias("_l"))
+    terms = counts.select("doc", "term", "n").join(by_term, "term")
+    value = lambda r: F.coalesce(F.try_element_at("_l", F.lit(r.label)), F.lit(r.log_absent))
+    sums = terms.groupBy("doc").agg(*[F.sum(F.col("n") * value(r)).alias(f"_s{i}") for i, r in enumerate(labels)])
+    logs = [F.coalesce(f"_s{i}", F.lit(0.0)) + F.lit(r.log_prior) for i, r in enumerate(labels)]
+    joined = docs.join(sums, "doc", "left").withColumn("_logs", F.array(*logs))
+    top = F.array_max("_logs")
+    odds = F.transform("_logs", lambda x: F.exp(x - top))
+    whole = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
+    one = next((i for i, r in enumerate(labels) if r.label == 1.0), None)
+    named = F.array(*[F.lit(float(r.label)) for r in labels])
+    return joined.select(
+        *docs.columns,
+        F.get(named, (F.array_position("_logs", top) - 1).cast("int")).alias("prediction"),
+        (F.get(odds, F.lit(one)) / whole if one is not None else F.lit(0.0)).alias("score"),
+    )

@@ -14,7 +14,7 @@ from statweave.operators.ranking_metrics import ranking_summary_long
 from statweave.operators.regression_metrics import regression_metrics
 from statweave.operators.sampling import hash_split
 from statweave.plans.prefix_sum import row_index
-from statweave.plans.staging import stage
+from statweave.plans.staging import stage, stage_table
 from statweave.queries.registry import query, rounded, scratch
 from statweave.sources import text
 from statweave.sources.models import coefficients_table, load_model, save_model
@@ -33,13 +33,15 @@ def words(column: str = "text"):
 
 
 def counted(df):
-    """Term-count vectors of whole documents, staged so that texts are split no more than twice.
+    """Term-count vectors of whole documents over every term that occurs.
 
-    The vocabulary is driver state and holds at most 2¹⁸ terms.
+    The distinct terms are counted first, so that none is left out of the vocabulary,
+    which a topic model holds on the driver like its topics.
     """
-    tokens = df.withColumn("_words", words())
-    model = CountVectorizer(inputCol="_words", outputCol="features", vocabSize=2**18).fit(tokens)
-    return stage(model.transform(tokens).drop("_words", "text"))
+    tokens = stage_table(df.withColumn("_words", words()).drop("text"))
+    terms = tokens.select(F.explode("_words").alias("term")).distinct().count()
+    model = CountVectorizer(inputCol="_words", outputCol="features", vocabSize=max(1, terms)).fit(tokens)
+    return model.transform(tokens).drop("_words")
 
 
 def evaluated(scored):
@@ -49,8 +51,14 @@ def evaluated(scored):
 
 @query("naive_bayes_lifecycle")
 def naive_bayes_lifecycle(spark, sf):
-    train, test = hash_split(counted(labeled_documents(spark, sf)), [0.75, 0.25], ["doc_id"])
-    return evaluated(supervised.score(supervised.fit_naive_bayes(train), test))
+    """Long term counts from first to last: no vocabulary is gathered, whatever its size."""
+    counts = stage_table(term_counts(spark, sf))
+    train, test = hash_split(counts, [0.75, 0.25], ["doc"])
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("doc"), F.col("quality").cast("double").alias("label"))
+    docs = labels.join(table(spark, sf, "documents").select(F.col("doc_id").alias("doc")), "doc")
+    prior, likelihood = supervised.naive_bayes_parameters(train)
+    held = hash_split(docs, [0.75, 0.25], ["doc"])[1]
+    return evaluated(supervised.score_naive_bayes(prior, likelihood, test, held))
 
 
 TERM_SQL = r"""WITH c AS (SELECT doc_id, quality::DOUBLE AS label, term, count(*) AS n FROM
@@ -366,11 +374,11 @@ def isotonic_points(spark, sf):
 
 
 def part_ratings(spark, sf):
-    """How much each customer bought of each supplier, staged for the passes of training and evaluation."""
+    """How much each customer bought of each part, staged for the passes of training and evaluation."""
     return stage(
-        table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+        table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_suppkey").cast("int").alias("item"))
+        .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
         .agg((F.sum("l_quantity") / 10 - 2.5).alias("rating"))
     )
 
@@ -393,7 +401,7 @@ def als_recommend(spark, sf):
 )
 def als_recommend_ranks(spark, sf):
     """Every user with a rating gets ranks 1 to 10."""
-    return recommendation.recommend(recommendation.fit_als(part_ratings(spark, sf), iterations=2), 10).select("user", "rank")
+    return recommendation.recommend(recommendation.fit_als(part_ratings(spark, sf)), 10).select("user", "rank")
 
 
 @query("als_ranking")
@@ -406,7 +414,7 @@ def als_ranking(spark, sf):
 
 @query("als_factors")
 def als_factors(spark, sf):
-    model = recommendation.fit_als(part_ratings(spark, sf), blocks=4)
+    model = recommendation.fit_als(part_ratings(spark, sf))
     users, items = scratch(spark, "users"), scratch(spark, "items")
     text.write_features_text(recommendation.user_factors(model), users)
     text.write_features_text(recommendation.item_factors(model), items)
@@ -431,7 +439,7 @@ ITEM_SQL = """WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM line
 
 @query("frequent_itemsets", f"{ITEM_SQL} SELECT items, freq FROM s, n WHERE freq >= ceil(0.01 * n)")
 def frequent_itemsets(spark, sf):
-    model = mining.fit_fp_growth(order_brands(spark, sf), 0.01, 0.1, partitions=10)
+    model = mining.fit_fp_growth(order_brands(spark, sf), 0.01, 0.1)
     return mining.frequent_itemsets(model).select(F.concat_ws(",", "items").alias("items"), "freq")
 
 
@@ -530,9 +538,9 @@ def power_iteration(spark, sf):
 
 @query("lda_topics")
 def lda_topics(spark, sf):
-    """Three topics of the documents: the ten heaviest terms of each."""
+    """Three topics of the documents: every term's weight in each."""
     docs = counted(spread(table(spark, sf, "documents").select("doc_id", "text")))
-    return clustering.topic_terms(clustering.fit_lda(docs, 3, 10), 10)
+    return clustering.topic_terms(clustering.fit_lda(docs, 3))
 
 
 @query(

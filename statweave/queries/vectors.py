@@ -187,9 +187,8 @@ def bisecting_kmeans(spark, sf):
 
 @query("gaussian_mixture")
 def gaussian_mixture(spark, sf):
-    """Two components over the first three principal components, saved, loaded and listed."""
-    pca_model = features.principal_components(vectors(spark, sf), 3)
-    low = features.project_components(pca_model, vectors(spark, sf)).select("vec_id", F.col("pca").alias("features"))
-    model = clustering.fit_gaussian_mixture(low, 2)
+    """Two components over all columns, saved, loaded and listed."""
+    rows = vectors(spark, sf)
+    model = clustering.fit_gaussian_mixture(rows, 2)
     loaded = load_model(GaussianMixtureModel, save_model(model, scratch(spark, "mixture")))
-    return clustering.mixture_table(loaded, low)
+    return clustering.mixture_table(loaded, rows)

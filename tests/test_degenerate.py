@@ -6,16 +6,21 @@ import subprocess
 import sys
 import textwrap
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.mllib.evaluation import RankingMetrics
 from pyspark.sql import functions as F
 
 from statweave.functions.distributions import _gamma_upper, _kolmogorov_upper
-from statweave.operators import descriptive
+from statweave.operators import descriptive, supervised
 from statweave.operators.binary_metrics import BinaryCurves, error_rate
+from statweave.operators.clustering import assign_clusters
+from statweave.operators.features import matrix_product
 from statweave.operators.ranking_metrics import ranking_summary, ranking_summary_long
 from statweave.operators.regression_metrics import regression_metrics
+from statweave.operators.sampling import stratified_exact
 from statweave.plans.prefix_sum import global_prefix_sum, row_index
 from statweave.sources import text
 
@@ -73,6 +78,34 @@ def test_prefix_sums_over_text_and_nan(spark):
         row_index(rows, "k").collect()
 
 
+def test_null_vectors_on_both_sides_of_the_expression_size(spark):
+    for width in (3, 40):
+        rows = spark.createDataFrame([(1, [1.0] * width), (2, None)], "id int, features array<double>")
+        near = {r.id: (r.cluster, r.distance) for r in assign_clusters(rows, [[0.0] * width, [1.0] * width] * 4).collect()}
+        assert near == {1: (1, 0.0), 2: (None, None)}
+        product = {r.id: r["product"] for r in matrix_product(rows, np.ones((width, 10))).collect()}
+        assert product == {1: [float(width)] * 10, 2: None}
+
+
+def test_long_naive_bayes_equals_the_estimator(spark):
+    docs = [(1, 0.0, "a a b"), (2, 0.0, "a c"), (3, 1.0, "b b d"), (4, 1.0, "d e"), (5, 1.0, "")]
+    df = spark.createDataFrame(docs, "doc int, label double, text string").withColumn("w", F.filter(F.split("text", " "), lambda x: x != ""))
+    counts = df.select("doc", "label", F.explode("w").alias("term")).groupBy("doc", "label", "term").agg(F.count("*").alias("n"))
+    prior, likelihood = supervised.naive_bayes_parameters(counts)
+    got = {r.doc: (r.prediction, r.score) for r in supervised.score_naive_bayes(prior, likelihood, counts, df.select("doc", "label")).collect()}
+    vectors = CountVectorizer(inputCol="w", outputCol="features").fit(df).transform(df)
+    model = supervised.fit_naive_bayes(vectors.where("doc < 5"))
+    want = {r.doc: (r.prediction, r.score) for r in supervised.score(model, vectors).collect()}
+    assert set(got) == set(want)
+    for doc in want:
+        assert got[doc][0] == want[doc][0] and got[doc][1] == pytest.approx(want[doc][1])
+
+
+def test_exact_strata_of_tiny_fractions(spark):
+    rows = spark.range(100).select(F.lit("a").alias("k"), "id")
+    assert stratified_exact(rows, "k", {"a": 1e-11}, ["id"]).count() == 1
+
+
 @pytest.mark.parametrize("n", [150, 500, 3000])
 def test_kolmogorov_tail_equals_spark(spark, n):
     sample = spark.range(n).select((F.randn(3) * 1.03 + 0.04).alias("v"))
