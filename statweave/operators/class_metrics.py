@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statweave.plans.staging import stage_table
 
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(0.0)
@@ -62,8 +63,11 @@ def accuracy(counts: DataFrame) -> DataFrame:
 
 
 def weighted(counts: DataFrame, beta: float = 1.0) -> DataFrame:
-    """Means over classes weighted by how often each label occurs."""
-    classes = class_table(counts)
+    """Means over classes weighted by how often each label occurs.
+
+    The class table, one row per class, is staged; the rows behind ``counts`` are read once.
+    """
+    classes = stage_table(class_table(counts))
     total = classes.agg(F.sum("actual").alias("n")).scalar()
     p, r, f = _scores(beta)
     rows = classes.withColumn("_n", total)
@@ -89,22 +93,28 @@ def _label_sets(df: DataFrame, prediction: str, label: str) -> DataFrame:
 
 
 def multilabel_summary(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Document averages, micro averages, Hamming loss and subset accuracy of two label-set columns."""
-    classes = df.select(F.explode(label).alias("c")).agg(F.count_distinct("c").alias("n")).scalar()
+    """Document averages, micro averages, Hamming loss and subset accuracy of two label-set columns.
+
+    One aggregation: labels are opened to count the different ones, and a document's
+    own figures count on its first label only.
+    """
     both, n_p, n_t = F.col("both"), F.col("np"), F.col("nt")
-    sums = _label_sets(df, prediction, label).agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.avg(_ratio(both, n_p)).alias("precision"),
-        F.avg(_ratio(both, n_t)).alias("recall"),
-        F.avg(_ratio(2 * both, n_p + n_t)).alias("f1"),
-        F.avg(_ratio(both, n_p + n_t - both)).alias("accuracy"),
-        F.sum(both).alias("tp"),
-        F.sum(n_p).alias("predicted"),
-        F.sum(n_t).alias("actual"),
-        F.avg(F.when((both == n_p) & (both == n_t), 1.0).otherwise(0.0)).alias("subset_accuracy"),
+    opened = _label_sets(df, prediction, label).select("both", "np", "nt", F.posexplode_outer("_t").alias("_at", "_label"))
+    once = lambda value: F.when(F.coalesce("_at", F.lit(0)) == 0, value)
+    sums = opened.agg(
+        F.count(once(F.lit(1))).alias("docs"),
+        F.avg(once(_ratio(both, n_p))).alias("precision"),
+        F.avg(once(_ratio(both, n_t))).alias("recall"),
+        F.avg(once(_ratio(2 * both, n_p + n_t))).alias("f1"),
+        F.avg(once(_ratio(both, n_p + n_t - both))).alias("accuracy"),
+        F.sum(once(both)).alias("tp"),
+        F.sum(once(n_p)).alias("predicted"),
+        F.sum(once(n_t)).alias("actual"),
+        F.avg(once(F.when((both == n_p) & (both == n_t), 1.0).otherwise(0.0))).alias("subset_accuracy"),
+        F.count_distinct("_label").alias("_k"),
     )
     wrong = F.col("predicted") + F.col("actual") - 2 * F.col("tp")
-    return sums.withColumn("_k", classes).select(
+    return sums.select(
         "precision",
         "recall",
         "f1",

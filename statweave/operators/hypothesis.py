@@ -71,7 +71,8 @@ def _independence(cells: DataFrame, group: list[str]) -> DataFrame:
     cols = cells.groupBy(*group, "b").agg(F.sum("o").alias("c"))
     if group:
         size = rows.groupBy(*group).agg(F.sum("r").alias("n"), F.count(F.lit(1)).alias("n_rows"))
-        filled = cells.join(rows, [*group, "a"]).join(cols, [*group, "b"]).join(size, group)
+        # the sizes meet the row totals, not the cells, so no group's cells share a task for them
+        filled = cells.join(rows.join(size, group), [*group, "a"]).join(cols, [*group, "b"])
     else:
         totals = rows.agg(F.struct(F.sum("r").alias("n"), F.count(F.lit(1)).alias("n_rows"))).scalar()
         filled = cells.join(rows, "a").join(cols, "b").withColumn("_t", totals)

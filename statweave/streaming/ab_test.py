@@ -97,10 +97,10 @@ def run_until_significant(
     seen = {"batches": 0, "significant": False}
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        if seen["significant"] or seen["batches"] >= max_batches:
-            return
         folder = f"{path.rstrip('/')}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
+        if seen["significant"] or seen["batches"] >= max_batches:
+            return  # the query is being stopped; Spark commits this batch, so its result is kept
         saved = batch.sparkSession.read.schema(tests.schema).parquet(folder)
         significant = not saved.where(F.col("p_value") < alpha).isEmpty()
         seen["batches"] += 1
