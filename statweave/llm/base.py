@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BLOCK_BYTES = 16 << 20
 
 
@@ -50,7 +50,7 @@ class WordTable(dict):
     bounds a memo only; every word is numbered.
     """
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit, self.fresh = limit, []
 

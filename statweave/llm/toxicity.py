@@ -97,11 +97,13 @@ class Model:
 class _Bags:
     """Texts as words, words as subwords, and windows over them."""
 
-    def __init__(self, texts: list[list[bytes]]):
+    def __init__(self, texts: list[bytes]):
         words = WordTable()
-        numbers, sizes = words.number(texts)
+        parts = [words.number([t.split() for t in texts[first:last]]) for first, last in chunks(texts)]
+        numbers, sizes = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
         self.numbers, self.sizes, self.window_size, self.window_many = windows(numbers, sizes)
-        self.grams, self.many = subwords(words.take_fresh())
+        grams, self.many = subwords(words.take_fresh())
+        self.grams = grams.astype(np.int32)
         self.start = np.cumsum(self.many) - self.many
         self.window_start = np.cumsum(self.window_size) - self.window_size
         self.text_of = np.repeat(np.arange(len(texts)), self.window_many)
@@ -114,12 +116,11 @@ class _Bags:
 
     def texts_with(self, chosen: np.ndarray) -> np.ndarray:
         """In how many of the chosen texts each subword occurs."""
-        inside = np.repeat(chosen, self.sizes)
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[inside]
-        pair = np.unique(owner * len(self.many) + self.numbers[inside])
-        grams, many = self.spread(pair % len(self.many))
-        seen = np.unique(np.repeat(pair // len(self.many), many) * BUCKETS + grams)
-        return np.bincount(seen % BUCKETS, minlength=BUCKETS)
+        total, ends = np.zeros(BUCKETS, np.int64), np.cumsum(self.sizes)
+        for text in np.flatnonzero(chosen):
+            own = np.unique(self.numbers[ends[text] - self.sizes[text] : ends[text]])
+            total[np.unique(self.spread(own)[0])] += 1
+        return total
 
     def window_values(self, projected: np.ndarray) -> np.ndarray:
         """Average of the projected subwords over every window."""
@@ -168,7 +169,7 @@ def _descend(grams, sizes, target, table, weights, bias, steps: int, rate: float
 
 
 def fit(
-    texts: list[list[bytes]], labels: np.ndarray, rounds: int = 6, steps: int = 60, share: float | None = None, seed: int = 5
+    texts: list[bytes], labels: np.ndarray, rounds: int = 6, steps: int = 60, share: float | None = None, seed: int = 5
 ) -> Model:
     """Train on three quarters of the texts, set scale and bias on the other quarter.
 
@@ -209,6 +210,7 @@ def fit(
         values = bags.window_values(_projected(table, weights, bad + good))
         cut = float(np.quantile(values[clean], 0.999)) if len(clean) else 0.0
     projected = _projected(table, weights, bad + good)
+    del bags, values
     held = _Bags([texts[i] for i in np.flatnonzero(fold)])
     slope, bias_of = _calibrate(held.worst(held.window_values(projected)), labels[fold])
     if share is not None:
@@ -236,7 +238,7 @@ def _calibrate(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, usable: Column, per_label: int, max_chars: int
-) -> tuple[list[list[bytes]], np.ndarray, float]:
+) -> tuple[list[bytes], np.ndarray, float]:
     """Texts, their labels and the share of label 1 among all labelled rows."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     source = docs.where(usable & F.col(text).isNotNull() & (F.length(text) <= max_chars))
@@ -247,7 +249,7 @@ def labelled_sample(
     for value in (0, 1):
         part = joined.where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(per_label)
         for row in part.select(F.col("_text").cast("binary").alias("t")).toLocalIterator():
-            texts.append(bytes(row.t).split())
+            texts.append(bytes(row.t))
             values.append(value)
     return texts, np.array(values), counted.get(1, 0) / max(1, sum(counted.values()))
 
