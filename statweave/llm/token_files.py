@@ -33,12 +33,12 @@ from statweave.llm.tokens import WordEncoder
 from statweave.plans.staging import stage_table
 
 SHARD_TOKENS = 1 << 20
-MIN_PAIRS = 16
-BINS = 1 << 18
+MIN_PAIRS = 32
+BINS = 1 << 19
 
 
 def _pair_bins(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return ((left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(46)).astype(np.int64)
+    return ((left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(45)).astype(np.int64)
 
 
 def repair(ids: np.ndarray, sizes: np.ndarray, min_pairs: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -47,41 +47,31 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_pairs: int = MIN_PAIRS) -> tu
     base = int(ids.max()) + 1 if len(ids) else 1
     ends = np.zeros(len(ids), bool)
     ends[np.cumsum(sizes)[np.asarray(sizes) > 0] - 1] = True
-    rules, count = [], 0
+    rules, count, least = [], 0, None
     while len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
         open_ = ~ends[:-1]
         bins = _pair_bins(left, right)
-        amount = np.bincount(bins[open_], minlength=BINS)
-        least = max(min_pairs, int(amount.max()) // 2)
+        amount = np.bincount(bins[open_], minlength=BINS)  # no pair occurs more often than its bin
+        top = int(amount.max()) // 2
+        least = max(min_pairs, top if least is None else min(top, least))
         place = np.flatnonzero(open_ & (amount[bins] >= least))
         pair = left[place].astype(np.uint64) << np.uint64(32) | right[place]
         found, which, times = np.unique(pair, return_inverse=True, return_counts=True)
+        often = times >= least
+        place, which = place[often[which]], which[often[which]]
         # of neighbouring candidates every second one is taken, from the left
         head = np.flatnonzero(np.diff(place, prepend=-2) != 1)
         run = np.repeat(np.arange(len(head)), np.diff(head, append=len(place)))
-        taken = ((np.arange(len(place)) - head[run]) % 2 == 0) & (times[which] >= min(least, min_pairs))
+        taken = (np.arange(len(place)) - head[run]) % 2 == 0
         used = np.bincount(which[taken], minlength=len(found))
-        taken &= used[which] >= min(4, min_pairs)
+        taken &= used[which] >= 2
         chosen = np.unique(which[taken])
         if not len(chosen):
             if least <= min_pairs:
                 break
-            min_bin = least  # collisions only: nothing at this level, look below it
-            amount_left = amount[amount < min_bin]
-            if not len(amount_left) or amount_left.max() < min_pairs:
-                break
-            place = np.flatnonzero(open_)
-            pair = left[place].astype(np.uint64) << np.uint64(32) | right[place]
-            found, times = np.unique(pair, return_counts=True)
-            if times.max() < min_pairs:
-                break
-            first = np.flatnonzero(pair == found[np.argmax(times)])
-            place = place[first]
-            head = np.flatnonzero(np.diff(place, prepend=-2) != 1)
-            run = np.repeat(np.arange(len(head)), np.diff(head, append=len(place)))
-            taken = (np.arange(len(place)) - head[run]) % 2 == 0
-            which, found, chosen = np.zeros(len(place), np.int64), found[[np.argmax(times)]], np.array([0])
+            least //= 2
+            continue
         number = np.zeros(len(found), np.int64)
         number[chosen] = np.arange(len(chosen))
         at = place[taken]

@@ -1,18 +1,21 @@
 """Token ids of whole texts by a public tokenizer, one call for many distinct words.
 
 The tokenizer never joins across white space, so a text's ids are its words' ids one after
-the other; words are cut at ASCII white space. Its file's path is a parameter and must
-exist on every node.
+the other. Words are cut at ASCII white space; a full stop or comma that ends a word of
+ASCII letters is a token run of its own in this tokenizer and is cut off as well, so that
+a word has one entry in the memo. The tokenizer's file must exist on every node.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from statweave.llm.base import WordTable, per_text
 
-
 MARK = "\x01"  # stands between words that are encoded in one call
+ENDING = re.compile(rb"(?<=[A-Za-z])([.,])(?!\S)")
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -23,58 +26,14 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
     return values[at], many
 
 
-class PieceMemo:
-    """Ids of pieces of words: a word of letters in one case, its full stop or comma, or a whole word."""
-
-    def __init__(self, tokenizer, limit: int = 200_000):
-        self.tokenizer, self.numbers = tokenizer, WordTable(limit)
-        self.mark = tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def trim(self) -> None:
-        if self.numbers.trim():
-            self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    @staticmethod
-    def split(word: bytes) -> list[bytes]:
-        """Letters are one token run, and so is what follows them; only A-Z may change case alone."""
-        core, last = (word[:-1], word[-1:]) if word[-1:] in (b".", b",") else (word, b"")
-        if core.isalpha():
-            return [core.lower(), last] if last else [core.lower()]
-        if last and core.decode("utf-8", "replace").isalpha():
-            return [core, last]
-        return [word]
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after the other, and how many each has."""
-        numbers, pieces = self.numbers.number([self.split(w) for w in words])
-        fresh = [w.decode("utf-8", "replace") for w in self.numbers.take_fresh()]
-        if fresh:
-            ids, sizes = self._encoded(fresh)
-            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        ids, many = gather(self.ids, self.sizes, numbers)
-        return ids, per_text(many, pieces)
-
-    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = len(self.mark) == 1 and not any(MARK in w or "<|" in w for w in words)
-        if not plain:
-            found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
-        lines = [f" {MARK} ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-        flat = np.concatenate([np.array(e.ids + self.mark, np.uint32) for e in encoded])
-        ends = flat == self.mark[0]
-        return flat[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
-
-
 class WordEncoder:
-    """Ids of texts; holds bounded memos of words and of their pieces."""
+    """Ids of texts; holds a bounded memo of words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
-        self.pieces, self.words = PieceMemo(Tokenizer.from_file(path)), WordTable()
+        self.tokenizer, self.words = Tokenizer.from_file(path), WordTable(limit)
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
@@ -83,14 +42,25 @@ class WordEncoder:
     def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self.words.trim():
             self._forget()
-        self.pieces.trim()
-        numbers, sizes = self.words.number([t.split() for t in texts])
-        fresh = self.words.take_fresh()
+        numbers, sizes = self.words.number([ENDING.sub(rb" \1", t).split() for t in texts])
+        fresh = [w.decode("utf-8", "replace") for w in self.words.take_fresh()]
         if fresh:
-            ids, many = self.pieces.look_up(fresh)
+            ids, many = self._encoded(fresh)
             self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, many])
         return numbers, sizes
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        if len(self.mark) != 1 or any(MARK in w or "<|" in w for w in words):
+            found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+        lines = [f" {MARK} ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids + self.mark, np.uint32) for e in encoded])
+        ends = flat == self.mark[0]
+        return flat[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
     def count(self, texts: list[bytes]) -> np.ndarray:
         """Number of ids of each text."""
         numbers, sizes = self._numbered(texts)
@@ -102,8 +72,7 @@ class WordEncoder:
         ids, many = gather(self.ids, self.sizes, numbers)
         lengths = per_text(many, sizes)
         result = np.full(int(lengths.sum()) + len(texts), end, np.uint32)
-        ends = np.cumsum(lengths + 1) - 1
         inside = np.ones(len(result), bool)
-        inside[ends] = False
+        inside[np.cumsum(lengths + 1) - 1] = False
         result[inside] = ids
         return result, lengths + 1
