@@ -122,7 +122,7 @@ def returned_lines(spark, sf):
 
 
 def line_split(spark, sf, weights):
-    return hash_split(returned_lines(spark, sf), weights, ["l_orderkey", "l_linenumber"])
+    return hash_split(stage_table(returned_lines(spark, sf)), weights, ["l_orderkey", "l_linenumber"])
 
 
 def digits(spark, sf):
@@ -298,9 +298,64 @@ def model_round_trip(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("copied")).alias("different"))
 
 
+ROUND_TRIPS = (
+    "als bisecting_kmeans boosted_classifier boosted_regressor forest_classifier forest_regressor gaussian_mixture isotonic kmeans "
+    "lda linear_regression linear_svm logistic naive_bayes tree_classifier tree_regressor"
+)
+
+
+@query(
+    "model_round_trips",
+    f"""SELECT model, CASE model WHEN 'lda' THEN 10 ELSE (SELECT count(DISTINCT user_id) FROM events) END AS n, 0::BIGINT AS different
+    FROM (SELECT unnest(string_split('{ROUND_TRIPS}', ' ')) AS model)""",
+)
+def model_round_trips(spark, sf):
+    """Every model type saved, loaded and compared with the original, prediction by prediction.
+
+    A topic model's mixtures start from random values, so its topics' term weights are compared.
+    """
+    rows = stage_table(user_profiles(spark, sf).withColumn("spent", F.get("features", F.lit(2))))
+    values = rows.select("user_id", F.col("spent").alias("label"), "features")
+    points = values.select("user_id", "label", F.slice("features", 1, 1).alias("features"))
+    rated = rows.select(F.col("user_id").cast("int").alias("user"), F.lit(0).alias("item"), F.col("spent").alias("rating"), "user_id")
+    fitted = {
+        "als": (recommendation.fit_als(rated, iterations=2), rated, "prediction"),
+        "bisecting_kmeans": (clustering.fit_bisecting_kmeans(rows, 2), rows, "prediction"),
+        "boosted_classifier": (supervised.fit_boosted_classifier(rows), rows, "probability"),
+        "boosted_regressor": (supervised.fit_boosted_regressor(values), values, "prediction"),
+        "forest_classifier": (supervised.fit_forest_classifier(rows), rows, "probability"),
+        "forest_regressor": (supervised.fit_forest_regressor(values), values, "prediction"),
+        "gaussian_mixture": (clustering.fit_gaussian_mixture(rows, 2), rows, "probability"),
+        "isotonic": (supervised.fit_isotonic(points), points, "prediction"),
+        "kmeans": (clustering.fit_kmeans(rows), rows, "prediction"),
+        "lda": (clustering.fit_lda(rows, 2, 5), None, "weight"),
+        "linear_regression": (supervised.fit_linear_regression(values), values, "prediction"),
+        "linear_svm": (supervised.fit_linear_svm(rows), rows, "rawPrediction"),
+        "logistic": (supervised.fit_logistic(rows), rows, "probability"),
+        "naive_bayes": (supervised.fit_naive_bayes(rows), rows, "probability"),
+        "tree_classifier": (supervised.fit_tree_classifier(rows), rows, "probability"),
+        "tree_regressor": (supervised.fit_tree_regressor(values), values, "prediction"),
+    }
+    parts = []
+    for name, (model, source, column) in fitted.items():
+        copy = load_model(type(model), save_model(model, scratch(spark, name)))
+        if source is None:
+            keys, one, two = ["topic", "term_index"], clustering.topic_terms(model), clustering.topic_terms(copy)
+        else:
+            vectors = supervised.with_vector(source, "features") if "features" in source.columns else source
+            keys, one, two = ["user_id"], model.transform(vectors), copy.transform(vectors)
+        both = one.select(*keys, F.col(column).alias("_one")).join(two.select(*keys, F.col(column).alias("_two")), keys)
+        differ = ~F.col("_one").cast("string").eqNullSafe(F.col("_two").cast("string"))
+        parts.append(both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n"), F.count_if(differ).alias("different")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 @query("tree_regressor")
 def tree_regressor(spark, sf):
-    train, test = hash_split(prices(spark, sf), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
+    train, test = hash_split(stage_table(prices(spark, sf)), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
     return regression_metrics(supervised.score(supervised.fit_tree_regressor(train), test))
 
 
@@ -312,7 +367,7 @@ def forest_classifier(spark, sf):
 
 @query("forest_regressor")
 def forest_regressor(spark, sf):
-    train, test = hash_split(prices(spark, sf), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
+    train, test = hash_split(stage_table(prices(spark, sf)), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
     return regression_metrics(supervised.score(supervised.fit_forest_regressor(train), test))
 
 
@@ -324,7 +379,7 @@ def boosted_classifier(spark, sf):
 
 @query("boosted_regressor")
 def boosted_regressor(spark, sf):
-    train, test = hash_split(prices(spark, sf), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
+    train, test = hash_split(stage_table(prices(spark, sf)), [0.7, 0.3], ["l_orderkey", "l_linenumber"])
     return regression_metrics(supervised.score(supervised.fit_boosted_regressor(train), test))
 
 

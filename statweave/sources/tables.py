@@ -12,8 +12,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use every task slot for an input of few files, before per-row work or iterative training.
 
-    An input with at least as many files as slots is returned as it is, so a large
+    An input of at least as many partitions as slots is returned as it is, so a large
     table is not shuffled for this.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if 0 < len(df.inputFiles()) < slots else df
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
