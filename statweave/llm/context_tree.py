@@ -73,9 +73,12 @@ def shard_of_words(words: list[bytes], shards: int) -> np.ndarray:
 def counted(texts: list[bytes], held_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of a block in rising order and how often training texts have them."""
     keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for first, last in chunks(texts, 8 << 20):
+    for first, last in chunks(texts):
         key, sizes = grams(texts[first:last])
-        part, where = np.unique(key << 1 | np.repeat(held_out[first:last].astype(np.int64), sizes), return_counts=True)
+        key <<= 1
+        key |= np.repeat(held_out[first:last], sizes)
+        part, where = np.unique(key, return_counts=True)
+        del key
         where = np.where(part & 1, 0, where)
         keys, times = summed([keys, part >> 1], [times, where])
     return keys, times

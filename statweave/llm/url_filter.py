@@ -162,13 +162,13 @@ def judge_urls(
         F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")
     )
     by_template = by_host.groupBy("template").agg(F.sum("labelled").alias("t_labelled"), F.sum("blocked").alias("t_blocked"))
-    overall = by_host.agg(F.sum("labelled").alias("g_labelled"), F.sum("blocked").alias("g_blocked"))
+    overall = by_host.agg(F.sum("labelled"), F.sum("blocked")).first()
 
     def smoothed(blocked: Column, labelled: Column, prior: Column) -> Column:
         return (blocked + weight * prior) / (labelled + weight)
 
-    rate = smoothed(F.col("g_blocked"), F.col("g_labelled"), F.lit(0.5))
-    shared = by_template.join(F.broadcast(overall)).select(
+    rate = smoothed(F.lit(overall[1] or 0), F.lit(overall[0] or 0), F.lit(0.5))
+    shared = by_template.select(
         "template", smoothed(F.col("t_blocked"), F.col("t_labelled"), rate).alias("shared")
     )
     purity = by_host.join(shared, "template").select(
