@@ -32,7 +32,7 @@ from statweave.llm.base import block_count, chunks, text_bytes
 from statweave.llm.tokens import WordEncoder
 from statweave.plans.staging import stage_table
 
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 MIN_PAIRS = 32
 BINS = 1 << 19
 

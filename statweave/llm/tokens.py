@@ -8,6 +8,7 @@ a word has one entry in the memo. The tokenizer's file must exist on every node.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -30,6 +31,8 @@ class WordEncoder:
     """Ids of texts; holds a bounded memo of words."""
 
     def __init__(self, path: str, limit: int = 250_000):
+        # Spark runs one task per core; threads of a task's own cost CPU time and memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words = Tokenizer.from_file(path), WordTable(limit)
@@ -45,12 +48,25 @@ class WordEncoder:
         numbers, sizes = self.words.number([ENDING.sub(rb" \1", t).split() for t in texts])
         fresh = [w.decode("utf-8", "replace") for w in self.words.take_fresh()]
         if fresh:
-            ids, many = self._encoded(fresh)
+            plain = np.array([w.isascii() and w.isalpha() for w in fresh])
+            parts = [self._letters([w for w, p in zip(fresh, plain) if p]), self._encoded([w for w, p in zip(fresh, plain) if not p])]
+            place = np.empty(len(fresh), np.int64)  # where each word's ids are among the two parts
+            place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(fresh))
+            ids, many = gather(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)), place)
             self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, many])
         return numbers, sizes
 
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ASCII letters are one token run, which only lower-casing changes: the merges alone are left to do."""
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(w.lower())] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.mark) != 1 or any(MARK in w or "<|" in w for w in words):
             found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
