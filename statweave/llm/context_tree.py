@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -205,18 +206,31 @@ def top_sums(tree: Subtree) -> tuple[np.ndarray, ...]:
 PARTS = "block bigint, shard bigint, kind string, keys binary, times binary"
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Eight-byte numbers, rising ones as their steps, with equal bytes side by side, compressed."""
+    whole = values.dtype.kind == "i"
+    steps = np.diff(values, prepend=0) if whole else values
+    return zstandard.compress((b"i" if whole else b"f") + steps.astype("<i8" if whole else "<f8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    columns = np.frombuffer(raw, np.uint8, offset=1).reshape(8, -1)
+    values = np.ascontiguousarray(columns.T).reshape(-1)
+    return np.cumsum(values.view("<i8")) if raw[:1] == b"i" else values.view("<f8")
+
+
 def _pack(kind: str, block: int, shard: np.ndarray, keys, times: np.ndarray) -> Iterator[dict]:
     order = np.argsort(shard, kind="stable")
     cut = np.flatnonzero(np.diff(shard[order], prepend=-1))
     for a, b in zip(cut, [*cut[1:], len(order)]):
         own = order[a:b]
-        data = keys[own].astype("<i8").tobytes() if kind == "gram" else b"\n".join(keys[i] for i in own)
-        yield {"block": block, "shard": int(shard[own[0]]), "kind": kind, "keys": data, "times": times[own].astype("<i8").tobytes()}
+        data = squeeze(keys[own]) if kind == "gram" else zstandard.compress(b"\n".join(keys[i] for i in own), 1)
+        yield {"block": block, "shard": int(shard[own[0]]), "kind": kind, "keys": data, "times": squeeze(times[own])}
 
 
-def _unpack(kind: str, row: dict) -> tuple:
-    keys = np.frombuffer(row["keys"], "<i8") if kind == "gram" else row["keys"].split(b"\n")
-    return keys, np.frombuffer(row["times"], "<i8")
+def _words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b"\n")
 
 
 def _table(rows, fields: list[tuple[str, pa.DataType]]) -> pa.Table:
@@ -247,8 +261,8 @@ def _block_parts(shards: int):
 
 
 def _sum_tree(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    parts = [_unpack("gram", {"keys": k, "times": t}) for k, t in zip(table.column("keys").to_pylist(), table.column("times").to_pylist())]
-    return summed([k for k, _ in parts], [t for _, t in parts])
+    keys, times = (list(map(unsqueeze, table.column(c).to_pylist())) for c in ("keys", "times"))
+    return summed(keys, times)
 
 
 def _tree_top(table: pa.Table) -> pa.Table:
@@ -264,8 +278,8 @@ def _answers(shared):
         value = Subtree(keys, times).log_probability(shared.value) / math.log(10)
         rows = []
         for block, data in zip(table.column("block").to_pylist(), table.column("keys").to_pylist()):
-            own = value[np.searchsorted(keys, np.frombuffer(data, "<i8"))]
-            rows.append({"block": block, "kind": "gram", "keys": data, "values": own.astype("<f8").tobytes()})
+            own = value[np.searchsorted(keys, unsqueeze(data))]
+            rows.append({"block": block, "kind": "gram", "keys": data, "values": squeeze(own)})
         return _table(rows, _ANSWER_FIELDS)
 
     return run
@@ -276,19 +290,19 @@ def _word_answers(table: pa.Table) -> pa.Table:
     rows = table.select(["block", "keys", "times"]).to_pylist()
     total: dict[bytes, int] = {}
     for row in rows:
-        for word, times in zip(row["keys"].split(b"\n"), np.frombuffer(row["times"], "<i8").tolist()):
+        for word, times in zip(_words(row["keys"]), unsqueeze(row["times"]).tolist()):
             total[word] = total.get(word, 0) + times
     answers = [
         {
             "block": row["block"],
             "kind": "word",
             "keys": row["keys"],
-            "values": np.array([total[w] for w in row["keys"].split(b"\n")], "<i8").tobytes(),
+            "values": squeeze(np.array([total[w] for w in _words(row["keys"])], np.int64)),
         }
         for row in rows
     ]
     known = np.array([sum(total.values()), sum(1 for v in total.values() if v)], "<i8")
-    return _table([*answers, {"block": -1, "kind": "total", "keys": b"", "values": known.tobytes()}], _ANSWER_FIELDS)
+    return _table([*answers, {"block": -1, "kind": "total", "keys": b"", "values": squeeze(known)}], _ANSWER_FIELDS)
 
 
 class Lookup:
@@ -323,12 +337,12 @@ def _block_scores(schema, others: list[str], train_tokens: int, vocabulary: int)
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         texts = left.column("lower").to_pylist()
         answers = right.select(["kind", "keys", "values"]).to_pylist()
-        pairs = [(np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["values"], "<f8")) for r in answers if r["kind"] == "gram"]
+        pairs = [(unsqueeze(r["keys"]), unsqueeze(r["values"])) for r in answers if r["kind"] == "gram"]
         find = Lookup(np.concatenate([k for k, _ in pairs]), np.concatenate([v for _, v in pairs])) if pairs else None
         known: dict[bytes, int] = {}
         for r in answers:
             if r["kind"] == "word":
-                known.update(zip(r["keys"].split(b"\n"), np.frombuffer(r["values"], "<i8").tolist()))
+                known.update(zip(_words(r["keys"]), unsqueeze(r["values"]).tolist()))
         score, tokens, seen, logs = [], [], [], []
         for first, last in chunks(texts):
             key, sizes = grams(texts[first:last])
@@ -367,7 +381,7 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> tuple[
     words = stage_table(word_parts.groupBy("shard").applyInArrow(_word_answers, answer_schema))
     totals = np.zeros(2, np.int64)
     for row in words.where("kind = 'total'").select("values").toLocalIterator():  # two numbers per shard
-        totals += np.frombuffer(bytes(row[0]), "<i8")
+        totals += unsqueeze(bytes(row[0]))
     answers = gram_parts.groupBy("shard").applyInArrow(_answers(shared), answer_schema).unionByName(words.where("kind = 'word'"))
     zero, real = F.lit(0).cast("bigint"), F.lit(0.0)
     schema = docs.select(
