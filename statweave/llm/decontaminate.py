@@ -72,7 +72,7 @@ def suffix_array(tokens: np.ndarray, places: np.ndarray, run: np.ndarray) -> np.
     while length < longest:
         second = rank[np.minimum(inner + length, len(tokens))]
         second = np.where(run[inner] > length, second, 0)
-        key = rank[inner] * np.int64(len(tokens) + 2) + second
+        key = rank[inner] * (rank.max() + 1) + second  # the first ranks are word numbers, maybe above len(tokens)
         values, new = np.unique(key, return_inverse=True)
         fresh = np.zeros_like(rank)
         fresh[inner] = new + 1

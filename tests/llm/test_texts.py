@@ -145,6 +145,33 @@ def test_suffix_array_is_sorted():
         assert suffixes == sorted(suffixes) and sorted(array) == places.tolist()
 
 
+def test_suffix_array_of_fewer_words_than_the_vocabulary():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        sequence = rng.integers(1, 5000, 60).astype(np.int32)
+        sequence[rng.integers(0, 60, 3)] = sequence[-1] = 0
+        sequence[20:30] = sequence[:10]
+        run = np.zeros(60, np.int64)
+        for i in range(58, -1, -1):
+            run[i] = run[i + 1] + 1 if sequence[i] else 0
+        array = decontaminate.suffix_array(sequence, np.flatnonzero(run), run)
+        suffixes = [tuple(sequence[p : p + run[p]]) for p in array]
+        assert suffixes == sorted(suffixes)
+
+
+def test_decontamination_of_shards_shorter_than_the_vocabulary(spark):
+    rng = np.random.default_rng(3)
+    items = [(i, " ".join(f"v{w}" for w in rng.integers(0, 4000, 40))) for i in range(150)]
+    texts = []
+    for _ in range(60):
+        picked = [items[i][1].split()[8:22] for i in rng.integers(0, 150, 3)]
+        texts.append(" stop ".join(" ".join(p) for p in picked))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    report = decontaminate.contamination_report(frame(spark, texts).repartition(30), bench)
+    got = {r.doc_id: tuple(r)[1:] for r in report.collect()}
+    assert [got[i] for i in range(len(texts))] == brute_leaks(texts, items)
+
+
 # ---- near duplicates
 
 
