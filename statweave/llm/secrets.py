@@ -44,7 +44,8 @@ DICTIONARY = (
     "sheet size source start state status string style system table tag target task template test text that the "
     "this time title token tree type update url user utils value version view web width window with word write you"
 )
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
+# Up to two = are padding unless a value follows them.
+CANDIDATE = r"""(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+(?:={1,2}+(?![^\s"'`,;)}\]]))?"""
 FEATURES = (
     "length changes digits upper vowels distinct covered hex in_path named harmless assigned quoted test_path"
 ).split()
@@ -87,7 +88,10 @@ def features(value: Column, before: Column, after: Column, path: Column) -> dict
 
 
 def with_candidates(docs: DataFrame, text: str = "text", path: str | None = "source", context: int = 40) -> DataFrame:
-    """Add ``_found``: an array of (start, value, features); start counts code points from 0."""
+    """Add ``_found``: an array of (start, value, features); start counts code points from 0.
+
+    The ``context`` characters before and after a candidate may hold other candidates.
+    """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     some = whole.rlike(CANDIDATE)
     none_text = F.array().cast("array<string>")
@@ -95,32 +99,49 @@ def with_candidates(docs: DataFrame, text: str = "text", path: str | None = "sou
     between = F.when(some, F.split(whole, CANDIDATE, -1)).otherwise(none_text)
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     df = docs.withColumns({"_values": values, "_between": between, "_place": place})
-    starts = F.aggregate(
-        F.zip_with("_values", F.slice("_between", 1, F.size("_values")), lambda v, b: F.struct(v.alias("v"), b.alias("b"))),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts")),
+    pieces = lambda first: F.zip_with(
+        "_values", F.slice("_between", first, F.size("_values")), lambda v, b: F.struct(v.alias("v"), b.alias("b"))
+    )
+    places = F.aggregate(
+        pieces(1),
+        F.struct(
+            F.lit(0).cast("bigint").alias("at"),
+            F.lit("").alias("seen"),
+            F.array().cast("array<struct<start:bigint,before:string>>").alias("out"),
+        ),
         lambda acc, p: F.struct(
             (acc["at"] + F.length(p["b"]) + F.length(p["v"])).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + F.length(p["b"]))).alias("starts"),
+            F.substring(F.concat(acc["seen"], p["b"], p["v"]), -context, context).alias("seen"),
+            F.concat(
+                acc["out"],
+                F.array(
+                    F.struct(
+                        (acc["at"] + F.length(p["b"])).alias("start"),
+                        F.substring(F.concat(acc["seen"], p["b"]), -context, context).alias("before"),
+                    )
+                ),
+            ).alias("out"),
         ),
-        lambda acc: acc["starts"],
+        lambda acc: acc["out"],
     )
-    zipped = F.arrays_zip(
-        F.col("_starts").alias("start"),
-        F.col("_values").alias("value"),
-        F.slice("_between", 1, F.size("_values")).alias("before"),
-        F.slice("_between", 2, F.size("_values")).alias("after"),
+    afters = F.aggregate(
+        F.reverse(pieces(2)),
+        F.struct(F.lit("").alias("seen"), F.array().cast("array<string>").alias("out")),
+        lambda acc, p: F.struct(
+            F.substring(F.concat(p["v"], p["b"], acc["seen"]), 1, context).alias("seen"),
+            F.concat(F.array(F.substring(F.concat(p["b"], acc["seen"]), 1, context)), acc["out"]).alias("out"),
+        ),
+        lambda acc: acc["out"],
     )
+    zipped = F.arrays_zip(F.col("_places").alias("p"), F.col("_values").alias("value"), F.col("_afters").alias("after"))
     found = F.transform(
         zipped,
         lambda x: F.struct(
-            x["start"].alias("start"),
-            x["value"].alias("value"),
-            F.substring(x["before"], -context, context).alias("before"),
-            F.substring(x["after"], 1, context).alias("after"),
+            x["p"]["start"].alias("start"), x["value"].alias("value"), x["p"]["before"].alias("before"), x["after"].alias("after")
         ),
     )
     empty = F.array().cast("array<struct<start:bigint,value:string,before:string,after:string>>")
-    raw = df.withColumn("_starts", starts).withColumn(
+    raw = df.withColumns({"_places": places, "_afters": afters}).withColumn(
         "_raw", F.when(F.size("_values") > 0, found).otherwise(empty)
     )
     featured = lambda c: F.struct(
@@ -128,7 +149,7 @@ def with_candidates(docs: DataFrame, text: str = "text", path: str | None = "sou
         c["value"].alias("value"),
         F.struct(*[x.alias(n) for n, x in features(c["value"], c["before"], c["after"], F.col("_place")).items()]).alias("f"),
     )
-    return raw.withColumn("_found", F.transform("_raw", featured)).drop("_values", "_between", "_place", "_starts", "_raw")
+    return raw.withColumn("_found", F.transform("_raw", featured)).drop("_values", "_between", "_place", "_places", "_afters", "_raw")
 
 
 def seed_labels(value: Column, f: Column) -> Column:

@@ -124,6 +124,34 @@ def test_secret_scan_finds_places_and_drops_false_positives(spark):
             assert not r._findings
 
 
+def test_secret_after_a_long_name(spark):
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "DATABASE_PASSWORD={} next", "aws_secret_access_key = '{}'", "database_master_password: \"{}\"", "SOME_SERVICE_ACCESS_TOKEN= {}"]
+    keys = [KEY[i:] + KEY[:i] for i in range(len(forms))]
+    texts = [f.format(k) for f, k in zip(forms, keys)] + [f"see commit {KEY[i:] + KEY[:i]} for it" for i in range(12)]
+    df = spark.createDataFrame([(i, "ünï 𝔘 " + t, "src", 0.5, "keep") for i, t in enumerate(texts)], DOCS)
+    found = secrets.with_candidates(df.where("doc_id < 5")).select("doc_id", F.explode("_found").alias("c")).collect()
+    key = {r.doc_id: r.c for r in found if r.c.value == keys[r.doc_id]}
+    assert [key[i].f.named for i in range(5)] == [1.0] * 5 == [key[i].f.assigned for i in range(5)]
+    assert all(texts[i][key[i].start - 6 :].startswith(keys[i]) for i in range(5))
+    got = {r.doc_id: r.text[6:] for r in secrets.redact(df).collect()}
+    assert [got[i] for i in range(5)] == [f.format("[secret]") for f in forms] and [got[i] for i in range(5, 17)] == texts[5:]
+
+
+def test_secret_context_is_the_text_around(spark):
+    text = "".join(f"{w:0>17}{s}" for w, s in zip("abcdefgh", ["=", " ", ": ", "|", " = ", " 𝔘 ", ", ", "."]))
+    seen = []
+    keep, secrets.features = secrets.features, lambda v, b, a, p: {"before": b, "after": a}
+    try:
+        df = spark.createDataFrame([(1, text, "src", 0.5, "keep")], DOCS)
+        seen = secrets.with_candidates(df).first()._found
+    finally:
+        secrets.features = keep
+    assert len(seen) == 8
+    for c in seen:
+        assert c.f.before == text[max(0, c.start - 40) : c.start]
+        assert c.f.after == text[c.start + len(c.value) :][:40]
+
+
 def test_redaction_keeps_rows_columns_and_other_text(spark):
     df, texts = secret_docs(spark)
     out = secrets.redact(df)
