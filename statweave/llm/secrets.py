@@ -4,6 +4,12 @@ Native: candidates, features and the fitted forest are column expressions over a
 the document's own row, so a scan needs no shuffle, join or row key. The forest is fitted
 by Spark's estimator and then written out as conditional expressions.
 
+Candidates: runs of letters, digits and + / _ - with at least 16 in one of the parts that
+single dots join (a JWT is one candidate); six or more characters without blanks and quotes
+that are assigned to a secret name (= : := => ==, on one line); six or more before the @ of
+``user:password@host``. Nothing shorter, no pass phrase beyond its first blank, and no name
+outside ``SECRET_WORDS`` is looked at.
+
 Features of a candidate: length, changes of character class, digit, upper-case, vowel and
 distinct-character shares, share covered by dictionary words, hex only, part of a path,
 words before it that name a secret or that name a harmless identifier, assignment, quotes,
@@ -11,8 +17,8 @@ and a path column that looks like tests or examples.
 
 Labelled findings are an argument (the feature columns and ``label``). Without them,
 ``seed_labels`` labels the clear cases among the corpus's own candidates by rule (assigned to
-a name such as ``token`` or a known key form: real; letters only, digits only, parts of a
-path, named as a commit or checksum: false) and leaves the rest unlabelled.
+a name such as ``token`` or a known key form: real; letters only, digits only, calls and
+placeholders, parts of a path, named as a commit or checksum: false) and leaves the rest unlabelled.
 
 Null text gives no findings; repeated rows are scanned alike; an empty table gives no rows.
 A table without candidates of both labels has no forest: then the seed rule alone decides.
@@ -44,8 +50,6 @@ DICTIONARY = (
     "sheet size source start state status string style system table tag target task template test text that the "
     "this time title token tree type update url user utils value version view web width window with word write you"
 )
-# Up to two = are padding unless a value follows them.
-CANDIDATE = r"""(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+(?:={1,2}+(?![^\s"'`,;)}\]]))?"""
 FEATURES = (
     "length changes digits upper vowels distinct covered hex in_path named harmless assigned quoted test_path"
 ).split()
@@ -55,6 +59,26 @@ def _among(words: str) -> str:
     return "|".join(sorted(words.split(), key=lambda w: (-len(w), w)))
 
 
+_RUN = r"A-Za-z0-9+/_\-"
+_SET = rf"""(?:{_among(SECRET_WORDS)})["'`\]]{{0,2}}[ \t]{{0,8}}(?::=|=>|==|=|:)[ \t]{{0,8}}["'`]?"""
+# Assigned to a secret name: up to a blank or quote; without a quote at the end, closing punctuation stays out.
+ASSIGNED = (
+    rf"""(?<=[=:> \t"'`])(?<=[=:>][ \t]{{0,8}}["'`]?)(?![=:>])(?=[^\s"'`]{{6}})(?<=(?i:{_SET}))(?![A-Za-z][A-Za-z0-9+.\-]{{0,20}}://)"""
+    r"""(?:[^\s"'`]{6,}+(?=["'`])|[^\s"'`]{5,}[^\s"'`.,;)}\]]|[^\s"'`]{6,})"""
+)
+# user:password@host, with or without a scheme; a password ends at the last @ before the host.
+USERINFO = (
+    r"""(?<=:)(?<=(?:\A|[\s"'`/=])[A-Za-z0-9_.%+\-]{1,64}:|//:)(?<!(?i:mailto):)"""
+    r"""[^\s"'`/]{6,}(?=@[A-Za-z0-9\[])"""
+)
+# Runs joined by single dots are one candidate when one of them has 16 characters; up to two = are padding unless a value follows.
+TOKEN = (
+    rf"(?<![{_RUN}])(?<![{_RUN}]\.)(?=(?:[{_RUN}]++\.)*?[{_RUN}]{{16}})[{_RUN}]++(?:\.[{_RUN}]++)*+"
+    r"""(?:={1,2}+(?![^\s"'`,;)}\]]))?"""
+)
+CANDIDATE = f"{ASSIGNED}|{USERINFO}|{TOKEN}"
+
+
 def _share(text: Column, kept: str) -> Column:
     """Share of characters outside the class ``kept`` removed."""
     return F.length(F.regexp_replace(text, kept, "")) / F.length(text)
@@ -78,8 +102,11 @@ def features(value: Column, before: Column, after: Column, path: Column) -> dict
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.length(value),
         "covered": 1 - F.length(covered) / F.length(value),
         "hex": yes(value.rlike("^[0-9a-fA-F]+$")),
-        "in_path": yes(before.rlike(r"[/\\.:]$") | after.rlike(r"^[/\\.]?[A-Za-z0-9]") | value.contains("/")),
-        "named": yes(near.rlike(rf"({_among(SECRET_WORDS)})\W{{0,8}}$")),
+        "in_path": yes(before.rlike(r"[/\\.:]$") | after.rlike(r"^[/\\.]?[A-Za-z0-9]") | value.contains("/") | value.rlike(r"^[A-Za-z_\-]{1,15}\.|\.[A-Za-z_\-]{1,15}(\.|$)")),
+        "named": yes(
+            near.rlike(rf"(({_among(SECRET_WORDS)})\W{{0,8}}|{_SET}|//[^\s:/@]*:)$")
+            | F.lower(value).rlike(rf"({_among(SECRET_WORDS)})\.[^.]+$")
+        ),
         "harmless": yes(near.rlike(rf"\b({_among(HARMLESS_WORDS)})\W{{0,8}}$")),
         "assigned": yes(before.rlike(r"""[=:]\s*["'`]?$""")),
         "quoted": yes(before.rlike(r"""["'`]$""") & after.rlike(r"""^["'`]""")),
@@ -154,11 +181,12 @@ def with_candidates(docs: DataFrame, text: str = "text", path: str | None = "sou
 
 def seed_labels(value: Column, f: Column) -> Column:
     """1, 0 or null by rule."""
-    plain = value.rlike("^[A-Za-z_\\-]+=*$") | value.rlike("^[0-9_\\-]+=*$")
+    plain = value.rlike(r"^[A-Za-z_.\-]+=*$") | value.rlike(r"^[0-9_.\-]+=*$")
+    filled_in = value.rlike(r"^(\$\{|\$\(|\{\{|<|%[({])|^[A-Za-z_][A-Za-z0-9_.]*[(\[]")
     return (
-        F.when((f["harmless"] == 1) | plain | (f["covered"] > 0.5), 0)
+        F.when((f["harmless"] == 1) | plain | filled_in | (f["covered"] > 0.5), 0)
         .when((f["named"] == 1) & (f["digits"] > 0), 1)
-        .when(value.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abp]-|^sk_live_"), 1)
+        .when(value.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abp]-|^sk_live_|^eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+[.]"), 1)
         .when((f["in_path"] == 1) & (f["covered"] > 0.2), 0)
     )
 

@@ -152,6 +152,38 @@ def test_secret_context_is_the_text_around(spark):
         assert c.f.after == text[c.start + len(c.value) :][:40]
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+SHORT = {
+    'password = "S3cr3t!pw9"': "S3cr3t!pw9",
+    'token = "abc123def456ghi" # x': "abc123def456ghi",
+    "DB_PASSWORD=p&ss@w0.rd$7, next": "p&ss@w0.rd$7",
+    '{"password": "q1!w2?e3."}': "q1!w2?e3.",
+    "see postgres://admin:hunter2!x@db.example.com/x": "hunter2!x",
+    "redis://:r3d1spw@cache": "r3d1spw",
+    "login bob:hunter22b@host.example": "hunter22b",
+    f"token={JWT} end": JWT,
+    f"Authorization: Bearer {JWT}": JWT,
+    f"({JWT}).": JWT,
+}
+
+
+def test_secret_candidates_of_all_forms(spark):
+    quiet = ["password: none", "see https://example.com/a/b", "mailto:john.smith12@example.com", "at 12:30, a.b.c.d e=f", "token: https://a.example/x"]
+    texts = list(SHORT) + quiet
+    df = spark.createDataFrame([(i, "𝔘 " + t, "src", 0.5, "keep") for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: [(c.start - 2, c.value) for c in r._found] for r in secrets.with_candidates(df).collect()}
+    assert [found[i] for i in range(len(SHORT))] == [[(t.index(v), v)] for t, v in SHORT.items()]
+    assert not any(found[i] for i in range(len(SHORT), len(texts)))
+
+
+def test_short_and_dotted_secrets_are_masked(spark):
+    texts = [t for t in SHORT if "bob" not in t]
+    false = [f"see commit {KEY[i:] + KEY[:i]} for it" for i in range(12)] + ["token = request.headers['x']", "password = required"]
+    df = spark.createDataFrame([(i, t, "src", 0.5, "keep") for i, t in enumerate(texts + false)], DOCS)
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert [got[i] for i in range(len(texts) + len(false))] == [t.replace(SHORT[t], "[secret]") for t in texts] + false
+
+
 def test_redaction_keeps_rows_columns_and_other_text(spark):
     df, texts = secret_docs(spark)
     out = secrets.redact(df)
