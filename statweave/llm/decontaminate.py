@@ -8,13 +8,14 @@ then binary-searched: the range of suffixes that begin with its window gives all
 occurrences and their places, the neighbours of its place in the order the longest match.
 
 The benchmark is read in blocks of at most ``BLOCK_WORDS`` words (a longer item is a block
-of its own); a block is broadcast, and with several blocks each is matched to all rows and
-the hits are united per row. Documents are not shuffled for one block.
+of its own); a block is broadcast, and with several blocks each is matched to all rows, its
+hits are written before the next block is read, and all hits are united per row. Documents are not shuffled for one block.
 
 Words: runs of ASCII letters and digits and of all non-ASCII characters, A-Z lowered. A
 window is ``size`` consecutive words of an item; an item with fewer words, but not none, is
 one window. Null or empty text has no words, no hits, and stays. Repeated rows are judged
-alike. Without benchmark rows nothing is hit. Equal item ids count once.
+alike. Without benchmark rows nothing is hit. Equal item ids count once; items with a null
+id hit like others and count as one item, which the digest of ids leaves out.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class BenchmarkBlock:
     """Items of one block: vocabulary, word numbers, suffixes and windows."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], size: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], size: int):
         self.names = [name for name, _ in items]
         self.vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for _, ws in items for w in ws))}
         lengths = np.array([len(ws) for _, ws in items], np.int64)
@@ -177,7 +178,7 @@ def benchmark_blocks(
     """Blocks of bounded size, read one after the other; items without words are left out."""
     items, words = [], 0
     named = benchmark.select(F.col(key).cast("string").alias("k"), text_bytes(F.col(text)).alias("t"))
-    for row in named.where("k IS NOT NULL AND t IS NOT NULL").toLocalIterator():
+    for row in named.where("t IS NOT NULL").toLocalIterator():
         own = words_of(bytes(row.t))
         if not own:
             continue
@@ -199,7 +200,7 @@ def _hits(docs: DataFrame, block: BenchmarkBlock) -> DataFrame:
         zero.alias("_n_words"),
         F.array(zero).alias("_from"),
         F.array(zero).alias("_to"),
-        F.array(F.lit("")).alias("_items"),
+        F.array(F.lit(None).cast("string")).alias("_items"),
     ).schema
     arrow = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())]
 
@@ -250,9 +251,10 @@ def contamination(
     """``docs`` without ``text``, with ``_n_words``, ``_n_hit`` and ``_items`` (sorted ids)."""
     others = [c for c in docs.columns if c != text]
     source = docs.select(*others, text_bytes(F.col(text)).alias("_text"))
-    blocks = list(benchmark_blocks(benchmark, size, item_key, item_text, block_words))
-    if len(blocks) == 1:
-        found = _hits(source, blocks[0])
+    blocks = benchmark_blocks(benchmark, size, item_key, item_text, block_words)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        found = _hits(source, block)
         n_hit = F.aggregate(
             F.zip_with("_from", "_to", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda acc, x: acc + x
         )
@@ -263,7 +265,10 @@ def contamination(
     from statweave.plans.staging import stage_table
 
     numbered = stage_table(source.withColumn("_row", F.monotonically_increasing_id()))
-    parts = [_hits(numbered.select("_row", "_text"), b) for b in blocks]
+    parts = []
+    while block is not None:
+        parts.append(stage_table(_hits(numbered.select("_row", "_text"), block)))
+        block, following = following, next(blocks, None)
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)

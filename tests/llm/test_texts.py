@@ -121,6 +121,18 @@ def test_decontamination(spark, block_words):
     assert decontaminate.decontaminate(frame(spark, texts).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("block_words", [1_000_000, 3])
+def test_decontamination_by_items_without_an_id(spark, block_words):
+    bench = spark.createDataFrame([(None, "x y z"), (None, "p q r"), (4, "m n o")], "item_id bigint, text string")
+    df = frame(spark, ["an x y z here", "p q r x y z", "m n o p q r", "nothing"])
+    rows = {r.doc_id: r for r in decontaminate.contamination_report(df, bench, block_words=block_words).collect()}
+    sha = lambda ids: hashlib.sha256(ids.encode()).hexdigest()
+    assert [(rows[i].n_hit, rows[i].n_items, rows[i].items_sha256) for i in range(4)] == [
+        (3, 1, sha("")), (6, 1, sha("")), (6, 2, sha("4")), (0, 0, sha("")),
+    ]
+    assert [r.doc_id for r in decontaminate.decontaminate(df, bench, block_words=block_words).collect()] == [3]
+
+
 def test_longest_matches(spark):
     item = " ".join(f"b{i}" for i in range(30))
     bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
