@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+_owners: list[list[str]] = []
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -43,16 +44,31 @@ def stage_table(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Unlike a checkpoint this keeps column pruning, filter pushdown and sizes for the
-    plans that read it. The files outlive a lost executor and go when the session ends.
+    plans that read it. The files outlive a lost executor and go when the session ends, or
+    with the enclosing ``freeing_tables``.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    if _owners:
+        _owners[-1].append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def freeing_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove on exit the tables that ``stage_table`` wrote inside; results must be written by then."""
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for folder in _owners.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """Keep ``df`` on memory and disk while several actions run over it."""
