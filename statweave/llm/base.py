@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +102,16 @@ def by_arrow(df: DataFrame, function: Callable, schema: str, *passed: str) -> Da
     return df.select(*passed).mapInArrow(function, schema)
 
 
+def shared(df: DataFrame, value: object) -> Callable[[], object]:
+    """Broadcast any object; the result reads it inside a task.
+
+    The object travels as bytes that carry the code of its classes, so workers need not
+    have this package installed.
+    """
+    data = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 class Renamed:
     """A DataFrame under names that no working column has; ``back`` restores the caller's."""
 

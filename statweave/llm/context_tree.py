@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import WordTable, ascii_lower, block_count, chunks, mix, per_text, text_bytes
+from statweave.llm.base import WordTable, ascii_lower, block_count, chunks, mix, per_text, shared, text_bytes
 from statweave.plans.staging import stage_table
 
 DEPTH = 5
@@ -270,12 +270,12 @@ def _tree_top(table: pa.Table) -> pa.Table:
     return pa.table({"name": name, "ones": ones, "zeros": zeros, "log": log})
 
 
-def _answers(shared):
+def _answers(top):
     """Code lengths of each block's grams."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, times = _sum_tree(table)
-        value = Subtree(keys, times).log_probability(shared.value) / math.log(10)
+        value = Subtree(keys, times).log_probability(top()) / math.log(10)
         rows = []
         for block, data in zip(table.column("block").to_pylist(), table.column("keys").to_pylist()):
             own = value[np.searchsorted(keys, unsqueeze(data))]
@@ -376,13 +376,12 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> tuple[
     tops = gram_parts.groupBy("shard").applyInArrow(_tree_top, "name bigint, ones double, zeros double, log double")
     rows = tops.groupBy("name").agg(*[F.sum(c).alias(c) for c in ("ones", "zeros", "log")]).collect()  # ≤ 65,536 nodes
     top = Top(*[np.array([r[c] for r in rows], np.int64 if c == "name" else float) for c in ("name", "ones", "zeros", "log")])
-    shared = docs.sparkSession.sparkContext.broadcast(top)
     answer_schema = "block bigint, kind string, keys binary, values binary"
     words = stage_table(word_parts.groupBy("shard").applyInArrow(_word_answers, answer_schema))
     totals = np.zeros(2, np.int64)
     for row in words.where("kind = 'total'").select("values").toLocalIterator():  # two numbers per shard
         totals += unsqueeze(bytes(row[0]))
-    answers = gram_parts.groupBy("shard").applyInArrow(_answers(shared), answer_schema).unionByName(words.where("kind = 'word'"))
+    answers = gram_parts.groupBy("shard").applyInArrow(_answers(shared(docs, top)), answer_schema).unionByName(words.where("kind = 'word'"))
     zero, real = F.lit(0).cast("bigint"), F.lit(0.0)
     schema = docs.select(
         *others, zero.alias("_tokens"), zero.alias("_known"), real.alias("_base"), real.alias("_score")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import Renamed, chunks, text_bytes
+from statweave.llm.base import Renamed, chunks, shared, text_bytes
 
 SIZE = 10
 BLOCK_WORDS = 1_000_000
@@ -192,7 +192,7 @@ def benchmark_blocks(
 
 def _hits(docs: DataFrame, block: BenchmarkBlock) -> DataFrame:
     """Columns of ``docs`` without ``_text``, with _n_words, _hit (runs start, end) and _items."""
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    sent = shared(docs, block)
     others = [F.col(c) for c in docs.columns if c != "_text"]
     zero = F.lit(0).cast("bigint")
     schema = docs.select(
@@ -205,7 +205,7 @@ def _hits(docs: DataFrame, block: BenchmarkBlock) -> DataFrame:
     arrow = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
+        block = sent()
         for batch in batches:
             values = batch.column(batch.num_columns - 1).to_pylist()
             rows = [[], [], [], []]
@@ -327,10 +327,10 @@ def longest_matches(
     doc_type = source.schema["doc"].dataType.simpleString()
     parts = []
     for block in benchmark_blocks(benchmark, size, item_key, item_text, block_words):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        sent = shared(docs, block)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = shared.value
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = sent()
             begin = np.flatnonzero(np.diff(block.owner, prepend=-1)) if len(block.owner) else block.owner
             for batch in batches:
                 values = batch.column(1).to_pylist()

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statweave.llm.base import Renamed, WordTable, chunks, mix, per_text, text_bytes
+from statweave.plans.staging import stage_table
 
 WINDOW = 2
 BUCKETS, DIM = 1 << 16, 8
@@ -239,18 +240,29 @@ def _calibrate(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, usable: Column, per_label: int, max_chars: int
 ) -> tuple[list[bytes], np.ndarray, float]:
-    """Texts, their labels and the share of label 1 among all labelled rows."""
+    """Texts, their labels and the share of label 1 among all labelled rows.
+
+    Keys are chosen first, from keys and labels alone; texts are then fetched for the at
+    most ``2 * per_label`` chosen keys, so no text is shuffled to find the sample. A key
+    with several rows gives its smallest text.
+    """
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    source = docs.where(usable & F.col(text).isNotNull() & (F.length(text) <= max_chars))
-    joined = source.select(F.col(key).alias("_key"), F.lower(text).alias("_text")).join(known, "_key")
-    counts = docs.where(usable).select(F.col(key).alias("_key")).join(known, "_key").groupBy("_label").count()
-    counted = {r["_label"]: r["count"] for r in counts.collect()}
+    fits = F.coalesce(F.length(text) <= max_chars, F.lit(False))
+    rows = docs.where(usable).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"), F.max(fits).alias("_fits"))
+    joined = stage_table(rows.join(known, "_key"))
+    counted = {r["_label"]: r["n"] for r in joined.groupBy("_label").agg(F.sum("_rows").alias("n")).collect()}
+    parts = [
+        joined.where("_fits").where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(per_label)
+        for value in (0, 1)
+    ]
+    chosen = stage_table(parts[0].union(parts[1]).select("_key", "_label"))
+    source = docs.where(usable & fits).select(F.col(key).alias("_key"), F.lower(text).cast("binary").alias("_text"))
+    fetched = source.join(F.broadcast(chosen), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
+    sample = fetched.orderBy("_label", F.xxhash64("_key"), "_key").toLocalIterator()  # at most 2 * per_label rows
     texts, values = [], []
-    for value in (0, 1):
-        part = joined.where(F.col("_label") == value).orderBy(F.xxhash64("_key"), "_key").limit(per_label)
-        for row in part.select(F.col("_text").cast("binary").alias("t")).toLocalIterator():
-            texts.append(bytes(row.t))
-            values.append(value)
+    for row in sample:
+        texts.append(bytes(row["_text"]))
+        values.append(row["_label"])
     return texts, np.array(values), counted.get(1, 0) / max(1, sum(counted.values()))
 
 
