@@ -6,12 +6,14 @@ the columns of documents.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statweave.llm import decontaminate, near_dedup, packing, secrets, toxicity
-from statweave.plans.staging import stage_table
+from statweave.plans.staging import ensure_checkpoint_dir, freeing_tables
 from statweave.sources.tables import table
 
 
@@ -54,11 +56,20 @@ STAGES = [
 ORACLE_SQL = None  # the stages learn models and cluster texts, which SQL cannot express
 
 
+def written(docs: DataFrame) -> DataFrame:
+    """``docs`` as a table of its own, which no enclosing ``freeing_tables`` removes."""
+    path = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    docs.write.parquet(path)
+    return docs.sparkSession.read.schema(docs.schema).parquet(path)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read again."""
+    """All stages over ``documents``; each stage's rows are written and read again.
+
+    What a stage staged for itself is removed when its rows are written.
+    """
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stage_table(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with freeing_tables(spark):
+            docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
