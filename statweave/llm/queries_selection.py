@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statweave.llm import importance
+from statweave.llm import filter_audit, importance
 from statweave.llm.registry import query
 from statweave.sources.tables import table
 
@@ -50,6 +50,51 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN
 FROM scores LEFT JOIN places USING (r)
 """
 
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+m AS (
+  SELECT doc_id, part,
+         (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t),
+                         min(doc_id) OVER (PARTITION BY t) IS NOT NULL)::INT AS mask
+  FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+perm AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+plan AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM (SELECT filter_order, bits, unnest(range(1, 6))::INT AS step FROM perm)),
+per AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM counts, plan GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM per
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
 
 @query("op13_importance_resampling", IMPORTANCE_SQL)
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
