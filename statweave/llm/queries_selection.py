@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statweave.llm import filter_audit, importance
+from statweave.llm import filter_audit, html_content, importance
 from statweave.llm.registry import query
 from statweave.sources.tables import table
 
@@ -90,6 +91,12 @@ FROM per
 """
 
 
+@query("op11_html_extraction")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_content.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op12_filter_audit", AUDIT_SQL)
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
