@@ -8,7 +8,8 @@ of a document with a smaller key, anywhere in the table. Duplicates are found by
    passes a text on only for the rows with its smallest key; all others are duplicates
    already. A group of copies thus sends at most one text per batch, however large it is.
 2. The texts that are left are range-partitioned by prefixes of adaptive length: a prefix
-   with more than ``block_bytes`` of text below it is lengthened fourfold until it is not.
+   with more than a block of text below it (``block_bytes``, or a 64th of all text where that is
+   less) is lengthened fourfold until it is not.
    Equal texts have equal prefixes, so they meet in one task. A prefix whose rows are all
    one text needs no further splitting: its smallest key is a plain aggregate, combined
    before its shuffle, so copies beyond a block never meet in one task.
@@ -42,6 +43,7 @@ FILTERS = "ABCDE"
 DUPLICATE = 16  # the bit of filter E
 BLOCK_BYTES = 16 << 20
 FIRST_PREFIX = 16
+RANGES = 64  # at least
 ROW_BYTES = 64  # what a row counts for beside its text
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = b"#$%&*|"
@@ -189,6 +191,7 @@ def settled(rows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     names = ["_key", "_part", "_mask", "_n"]
     texts = rows.where(F.col("_text").isNotNull())
     size = texts.agg(F.sum(F.col("_bytes") + ROW_BYTES)).first()[0] or 0
+    block_bytes = min(block_bytes, max(size // RANGES, 1))
     schema = rows.select(*names).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
