@@ -8,6 +8,7 @@ from statweave.operators import pooled_isotonic, recommendation
 from statweave.operators.sequence_growth import grow_patterns
 from statweave.queries.models import daily_sequences, part_ratings, pattern_text
 from statweave.queries.registry import query, rounded, scratch
+from statweave.queries.statistics import t_two_sided_sql
 from statweave.sources.tables import table
 from statweave.streaming import batch_windows
 
@@ -85,16 +86,14 @@ FILES = 4  # per batch
     w AS (SELECT q.b, k.t, k.value FROM counts q JOIN kept k ON k.b BETWEEN q.b - 2 AND q.b AND NOT late),
     a AS (SELECT b, count(*) FILTER (NOT t) AS n_control, avg(value) FILTER (NOT t) AS mc, var_samp(value) FILTER (NOT t) AS vc,
       count(*) FILTER (t) AS n_treatment, avg(value) FILTER (t) AS mt, var_samp(value) FILTER (t) AS vt FROM w GROUP BY b),
-    p AS (SELECT *, vc / n_control AS x, vt / n_treatment AS y FROM a)
-    SELECT b::BIGINT AS batch_id, late_rows, late_total, n_control, n_treatment, round((mc - mt) / sqrt(x + y), 6) + 0.0 AS statistic,
-    round((x + y) * (x + y) / (x * x / (n_control - 1) + y * y / (n_treatment - 1)), 4) AS dof FROM p JOIN counts USING (b)""",
+    p AS (SELECT *, vc / n_control AS x, vt / n_treatment AS y FROM a),
+    q AS (SELECT *, (mc - mt) / sqrt(x + y) AS z, (x + y) * (x + y) / (x * x / (n_control - 1) + y * y / (n_treatment - 1)) AS k FROM p)
+    SELECT b::BIGINT AS batch_id, late_rows, late_total, n_control, n_treatment, round(z, 6) + 0.0 AS statistic, round(k, 4) AS dof,
+    round({t_two_sided_sql("z", "k")}, 6) AS p_value FROM q JOIN counts USING (b)""",
 )
 def stream_batch_windows(spark, sf):
     """The test over the last three processing batches; rows twenty days behind are counted as late."""
-    events, folder = table(spark, sf, "events"), scratch(spark, "samples")
-    for part in range(BATCHES):  # one write after the other, so the files have the order of the batches
-        events.where(F.col("user_id") % BATCHES == part).repartition(FILES).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(folder)
+    stream = _batches(spark, table(spark, sf, "events"))
     path = scratch(spark, "windows")
     running = batch_windows.write_batch_windows(
         stream, F.col("event_type") == "error", "value", path, scratch(spark, "progress"), 3, ts="ts", late_seconds=20 * 86400
@@ -103,4 +102,39 @@ def stream_batch_windows(spark, sf):
     if running.exception() is not None:
         raise running.exception()
     results = batch_windows.read_batch_windows(spark, path)
-    return rounded(results.select("batch_id", "late_rows", "late_total", "n_control", "n_treatment", "statistic", "dof"), 6, dof=4)
+    return rounded(results.select("batch_id", "late_rows", "late_total", "n_control", "n_treatment", "statistic", "dof", "p_value"), 6, dof=4)
+
+
+def _batches(spark, rows):
+    """Events as a stream of files, a sixth of the users after the other."""
+    folder = scratch(spark, "samples")
+    for part in range(BATCHES):  # one write after the other, so the files have the order of the batches
+        rows.where(F.col("user_id") % BATCHES == part).repartition(FILES).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(folder)
+
+
+@query(
+    "stream_stop_by_progress",
+    f"""WITH s AS (SELECT user_id % {BATCHES} AS b, event_type = 'error' AS t, value + CASE WHEN event_type = 'error' AND user_id % {BATCHES} = 2 THEN 400 ELSE 0 END AS value FROM events),
+    i AS (SELECT unnest(range(0, {BATCHES})) AS b),
+    a AS (SELECT i.b, count(*) FILTER (NOT t) AS n_control, avg(value) FILTER (NOT t) AS mc, var_samp(value) FILTER (NOT t) AS vc,
+      count(*) FILTER (t) AS n_treatment, avg(value) FILTER (t) AS mt, var_samp(value) FILTER (t) AS vt FROM i JOIN s ON s.b <= i.b GROUP BY i.b),
+    p AS (SELECT *, vc / n_control AS x, vt / n_treatment AS y FROM a),
+    q AS (SELECT *, (mc - mt) / sqrt(x + y) AS z, (x + y) * (x + y) / (x * x / (n_control - 1) + y * y / (n_treatment - 1)) AS k FROM p),
+    r AS (SELECT *, {t_two_sided_sql("z", "k")} AS p FROM q)
+    SELECT b::BIGINT AS batch_id, n_control, n_treatment, round(z, 6) + 0.0 AS statistic, round(k, 4) AS dof, p < 1e-6 AS significant
+    FROM r WHERE b <= (SELECT coalesce(min(b) FILTER (p < 1e-6), 99) FROM r)""",
+)
+def stream_stop_by_progress(spark, sf):
+    """The cumulative test, stopped by its progress reports; the third batch shifts one group."""
+    shifted = (F.col("event_type") == "error") & (F.col("user_id") % BATCHES == 2)
+    rows = table(spark, sf, "events").withColumn("value", F.col("value") + F.when(shifted, 400).otherwise(0))
+    stream = _batches(spark, rows)
+    path = scratch(spark, "stopped")
+    running = batch_windows.write_batch_windows(
+        stream, F.col("event_type") == "error", "value", path, scratch(spark, "progress"), processing_time="0 seconds"
+    )
+    seen = batch_windows.stop_when_significant(running, path, 1e-6, max_batches=BATCHES, idle_seconds=60)
+    judged = batch_windows.read_batch_windows(spark, path).where(F.col("batch_id") <= seen["batch_id"])
+    results = judged.select("batch_id", "n_control", "n_treatment", "statistic", "dof", (F.col("p_value") < 1e-6).alias("significant"))
+    return rounded(results, 6, dof=4)

@@ -14,9 +14,40 @@ KDE_POINTS = [0.0, 10.0, 25.0, 50.0, 75.0, 100.0, 150.0, 200.0, 300.0, 400.0]
 
 
 def chi2_upper_sql(statistic: str, dof: str) -> str:
-    """Upper χ² tail by the power series of the lower incomplete gamma function."""
+    """Upper χ² tail by the power series of the lower incomplete gamma function.
+
+    The terms are Poisson probabilities with mean statistic / 2 from dof / 2 on, so twelve
+    deviations above the mean (and 400 more) leave nothing out.
+    """
     term = f"exp(({dof} / 2.0 + n) * ln({statistic} / 2.0) - {statistic} / 2.0 - lgamma({dof} / 2.0 + n + 1))"
-    return f"(1 - list_sum(list_transform(range(0, 400), lambda n: {term})))"
+    terms = f"(400 + greatest({statistic} - {dof}, 0) / 2 + 12 * sqrt({statistic} / 2))::INTEGER"
+    return f"(1 - list_sum(list_transform(range(0, {terms}), lambda n: {term})))"
+
+
+def t_two_sided_sql(statistic: str, dof: str) -> str:
+    """Two-sided t tail: the density over t = √ν·tan θ by Simpson's rule, to 12 deviations or π/2."""
+    start, width = f"atan(abs({statistic}) / sqrt({dof}))", f"least(pi() / 2 - atan(abs({statistic}) / sqrt({dof})), 12 / sqrt({dof}))"
+    weight = "(CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+    value = f"exp(({dof} - 1) * ln(greatest(cos({start} + {width} * i / 2000.0), 1e-300)))"
+    scale = f"exp(lgamma(({dof} + 1) / 2) - lgamma({dof} / 2)) / sqrt(pi())"
+    return f"(2 * {scale} * {width} / 6000 * list_sum(list_transform(range(0, 2001), lambda i: {weight} * {value})))"
+
+
+def kolmogorov_sql(z: str, n: str) -> str:
+    """Upper Kolmogorov tail at z = √n·D: the limit law and its terms to n^(−3/2) (Pelz and Good, 1976)."""
+    odd, even = "pow(pi() * (k + 0.5), 2)", "pow(pi() * k, 2)"
+    total = lambda value, at: f"list_sum(list_transform(range(-60, 60), lambda k: ({value}) * exp(-{at} / (2 * {z} * {z}))))"
+    half = "sqrt(pi() / 2)"
+    limit = f"{half} / {z} * {total('1', odd)}"
+    first = f"{half} / (6 * pow({z}, 4)) * {total(f'{odd} - {z} * {z}', odd)}"
+    two = f"6 * pow({z}, 6) + 2 * pow({z}, 4) + (2 * pow({z}, 4) - 5 * {z} * {z}) * {odd} + (1 - 2 * {z} * {z}) * {odd} * {odd}"
+    second = f"{half} / (72 * pow({z}, 7)) * {total(two, odd)} - {half} / (36 * pow({z}, 3)) * {total(even, even)}"
+    three = (
+        f"-30 * pow({z}, 6) - 90 * pow({z}, 8) + (135 * pow({z}, 4) - 96 * pow({z}, 6)) * {odd}"
+        f" + (212 * pow({z}, 4) - 60 * {z} * {z}) * pow({odd}, 2) + (5 - 30 * {z} * {z}) * pow({odd}, 3)"
+    )
+    third = f"{half} / (6480 * pow({z}, 10)) * {total(three, odd)} + {half} / (216 * pow({z}, 6)) * {total(f'3 * {even} * {z} * {z} - {even} * {even}', even)}"
+    return f"(1 - ({limit} + ({first}) / sqrt({n}) + ({second}) / {n} + ({third}) / ({n} * sqrt({n}))))"
 
 
 def normal_cdf_sql(z: str) -> str:
@@ -186,27 +217,28 @@ def chi2_by_feature(spark, sf):
     "ks_normal",
     f"""WITH m AS (SELECT avg(value) AS m, stddev_samp(value) AS s, count(*) AS n FROM events),
     h AS (SELECT (value - m) / s AS z, count(*) AS c FROM events, m GROUP BY 1),
-    w AS (SELECT z, c, sum(c) OVER (ORDER BY z) AS upto, {normal_cdf_sql('z')} AS f FROM h)
-    SELECT 'kolmogorov_smirnov' AS test, round(max(greatest(f - (upto - c) / n::DOUBLE, upto / n::DOUBLE - f)), 6) AS statistic,
-    max(n)::DOUBLE AS dof FROM w, m""",
+    w AS (SELECT z, c, sum(c) OVER (ORDER BY z) AS upto, {normal_cdf_sql('z')} AS f FROM h),
+    d AS (SELECT max(greatest(f - (upto - c) / n::DOUBLE, upto / n::DOUBLE - f)) AS d, max(n)::DOUBLE AS n FROM w, m),
+    q AS (SELECT d, n, d * sqrt(n) AS y FROM d)
+    SELECT 'kolmogorov_smirnov' AS test, round(d, 6) AS statistic, n AS dof, round(greatest({kolmogorov_sql('y', 'n')}, 0), 6) + 0.0 AS p_value FROM q""",
 )
 def ks_normal(spark, sf):
     events = table(spark, sf, "events")
     moments = events.agg(F.struct(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))).scalar()
     z = events.withColumn("_m", moments).select(((F.col("value") - F.col("_m.m")) / F.col("_m.s")).alias("z"))
-    return rounded(hypothesis.ks_normal(z, "z").select("test", "statistic", "dof"))
+    return rounded(hypothesis.ks_normal(z, "z").select("test", "statistic", "dof", "p_value"))
 
 
 @query(
     "welch",
-    """WITH s AS (SELECT event_type = 'error' AS t, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events GROUP BY 1),
-    p AS (SELECT c.m - t.m AS d, c.v / c.n AS a, t.v / t.n AS b, c.n AS nc, t.n AS nt FROM s c, s t WHERE NOT c.t AND t.t)
-    SELECT 'welch_t' AS test, round(d / sqrt(a + b), 6) + 0.0 AS statistic,
-    round((a + b) * (a + b) / (a * a / (nc - 1) + b * b / (nt - 1)), 4) AS dof FROM p""",
+    f"""WITH s AS (SELECT event_type = 'error' AS t, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events GROUP BY 1),
+    p AS (SELECT c.m - t.m AS d, c.v / c.n AS a, t.v / t.n AS b, c.n AS nc, t.n AS nt FROM s c, s t WHERE NOT c.t AND t.t),
+    q AS (SELECT d / sqrt(a + b) AS x, (a + b) * (a + b) / (a * a / (nc - 1) + b * b / (nt - 1)) AS k FROM p)
+    SELECT 'welch_t' AS test, round(x, 6) + 0.0 AS statistic, round(k, 4) AS dof, round({t_two_sided_sql('x', 'k')}, 6) AS p_value FROM q""",
 )
 def welch(spark, sf):
     result = hypothesis.welch_test(table(spark, sf, "events"), F.col("event_type") == "error", "value")
-    return rounded(result.select("test", "statistic", "dof"), 6, dof=4)
+    return rounded(result.select("test", "statistic", "dof", "p_value"), 6, dof=4)
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statweave.queries.registry import query, rounded, scratch
+from statweave.queries.statistics import t_two_sided_sql
 from statweave.sources import text
 from statweave.sources.tables import table
 from statweave.streaming import ab_test
@@ -25,9 +26,10 @@ def _welch_sql(groups: str, source: str) -> str:
     return f"""WITH s AS (SELECT {by} count(*) FILTER (WHERE NOT t) AS n_control, avg(value) FILTER (WHERE NOT t) AS mc, var_samp(value) FILTER (WHERE NOT t) AS vc,
     count(*) FILTER (WHERE t) AS n_treatment, avg(value) FILTER (WHERE t) AS mt, var_samp(value) FILTER (WHERE t) AS vt
     FROM ({source}) GROUP BY {groups or "()"}),
-    p AS (SELECT *, vc / n_control AS a, vt / n_treatment AS b, n_control > 1 AND n_treatment > 1 AS ok FROM s)
-    SELECT {by} n_control, n_treatment, CASE WHEN ok THEN round((mc - mt) / sqrt(a + b), 6) + 0.0 END AS statistic,
-    CASE WHEN ok THEN round((a + b) * (a + b) / (a * a / (n_control - 1) + b * b / (n_treatment - 1)), 4) END AS dof FROM p"""
+    p AS (SELECT *, vc / n_control AS a, vt / n_treatment AS b, n_control > 1 AND n_treatment > 1 AS ok FROM s),
+    q AS (SELECT *, CASE WHEN ok THEN (mc - mt) / sqrt(a + b) END AS x,
+      CASE WHEN ok THEN (a + b) * (a + b) / (a * a / (n_control - 1) + b * b / (n_treatment - 1)) END AS k FROM p)
+    SELECT {by} n_control, n_treatment, round(x, 6) + 0.0 AS statistic, round(k, 4) AS dof, round({t_two_sided_sql("x", "k")}, 6) AS p_value FROM q"""
 
 
 def _run(spark, tests, output_mode: str = "complete"):
@@ -45,7 +47,7 @@ def stream_welch(spark, sf):
     """Final state of the cumulative test over the event stream."""
     results = _run(spark, ab_test.streaming_welch(event_stream(spark, sf), F.col("event_type") == "error", "value"))
     last = results.agg(F.max("batch_id").alias("b")).scalar()
-    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof"), 6, dof=4)
+    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof", "p_value"), 6, dof=4)
 
 
 @query(
@@ -62,7 +64,7 @@ def stream_welch_windows(spark, sf):
     results = _run(spark, tests, "update")
     newest = Window.partitionBy("start").orderBy(F.desc("batch_id"))
     rows = results.withColumn("_n", F.row_number().over(newest)).where("_n = 1").select(
-        F.col("start").cast("timestamp_ntz").alias("start"), "n_control", "n_treatment", "statistic", "dof"
+        F.col("start").cast("timestamp_ntz").alias("start"), "n_control", "n_treatment", "statistic", "dof", "p_value"
     )
     return rounded(rows, 6, dof=4)
 
@@ -76,7 +78,7 @@ def stream_peace_period(spark, sf):
     samples = ab_test.after_peace_period(event_stream(spark, sf), "ts", datetime(2024, 1, 1), DAY, 5)
     results = _run(spark, ab_test.streaming_welch(samples, F.col("event_type") == "error", "value"))
     last = results.agg(F.max("batch_id").alias("b")).scalar()
-    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof"), 6, dof=4)
+    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof", "p_value"), 6, dof=4)
 
 
 @query("stream_text_welch", _welch_sql("", "SELECT event_type = 'error' AS t, value FROM events"))
@@ -88,7 +90,7 @@ def stream_text_welch(spark, sf):
     samples = text.shape_ab_samples(text.stream_lines(spark, folder, 2))
     results = _run(spark, ab_test.streaming_welch(samples, F.col("is_treatment"), "value"))
     last = results.agg(F.max("batch_id").alias("b")).scalar()
-    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof"), 6, dof=4)
+    return rounded(results.where(F.col("batch_id") == last).select("n_control", "n_treatment", "statistic", "dof", "p_value"), 6, dof=4)
 
 
 @query("stream_early_stop")
