@@ -29,7 +29,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per candidate of every document: where it is, its digest, score and decision."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return secrets.scan(docs).select("doc_id", F.explode("_findings").alias("x")).select(
+    return secrets.scan(docs, keep_text=False).select("doc_id", F.explode("_findings").alias("x")).select(
         "doc_id",
         "x.start",
         "x.length",

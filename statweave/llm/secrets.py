@@ -1,8 +1,12 @@
 """Secret scan: candidate strings, a random forest that drops false positives, redaction.
 
 Native: candidates, features and the fitted forest are column expressions over arrays in
-the document's own row, so a scan needs no shuffle, join or row key. The forest is fitted
-by Spark's estimator and then written out as conditional expressions.
+the document's own row, so a scan needs no shuffle, join or row key of texts. Texts are
+searched once: rows that hold a candidate are cut at them, and candidates with their features
+are staged; training, scoring and redaction read what is staged. The work is linear in a
+text's length and its number of candidates (start positions are sums over two levels of
+blocks). The forest is fitted by Spark's estimator and then written out as conditional
+expressions.
 
 Candidates: runs of letters, digits and + / _ - with at least 16 in one of the parts that
 single dots join (a JWT is one candidate); six or more characters without blanks and quotes
@@ -11,18 +15,24 @@ that are assigned to a secret name (= : := => ==, on one line); six or more befo
 outside ``SECRET_WORDS`` is looked at.
 
 Features of a candidate: length, changes of character class, digit, upper-case, vowel and
-distinct-character shares, share covered by dictionary words, hex only, part of a path,
-words before it that name a secret or that name a harmless identifier, assignment, quotes,
-and a path column that looks like tests or examples.
-
-Labelled findings are an argument (the feature columns and ``label``). Without them,
-``seed_labels`` labels the clear cases among the corpus's own candidates by rule (assigned to
-a name such as ``token`` or a known key form: real; letters only, digits only, calls and
-placeholders, parts of a path, named as a commit or checksum: false) and leaves the rest unlabelled.
+distinct-character shares, share covered by dictionary words (the corpus's frequent words and
+some words of identifiers), hex only, part of a path, words before it that name a secret or
+that name a harmless identifier, assignment, quotes, and a path column that looks like tests
+or examples.
+
+Labelled findings are an argument (the feature columns and ``label``). Without them labels
+come from values, not from rows: occurrences that are clear by rule (assigned to a name such as
+``token`` or a known key form: real; letters only, digits only, calls and placeholders, parts
+of a path, named as a commit or checksum: false) vote for their value, and a value whose
+votes agree labels all its occurrences, also those whose own neighbours say nothing (where
+they differ, an occurrence has its own vote or no label). The
+training sample takes distinct pairs of value and features, so a value that fills the corpus
+counts once for each of its contexts; equal hashes are ordered by the features.
 
 Null text gives no findings; repeated rows are scanned alike; an empty table gives no rows.
 A table without candidates of both labels has no forest: then the seed rule alone decides.
-Working columns use names with a leading underscore; others pass through.
+``scan`` adds the column ``_findings`` (a caller's column of that name is replaced); all other
+columns pass through under whatever name.
 """
 
 from __future__ import annotations
@@ -33,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statweave.llm.base import Renamed
+from statweave.plans.staging import stage_table
 
 SECRET_WORDS = "token secret password passwd pwd passphrase apikey api_key access_key private_key auth credential bearer"
 HARMLESS_WORDS = "commit sha sha1 sha256 md5 hash checksum digest uuid guid revision etag integrity example sample dummy test"
@@ -84,13 +95,25 @@ def _share(text: Column, kept: str) -> Column:
     return F.length(F.regexp_replace(text, kept, "")) / F.length(text)
 
 
+def coverage(value: Column, dictionary: str) -> Column:
+    """Share of characters inside words of the dictionary."""
+    return 1 - F.length(F.regexp_replace(F.lower(value), _among(dictionary), "")) / F.length(value)
+
+
+def frequent_words(docs: DataFrame, text: str = "text", most: int = 200, least: int = 50) -> str:
+    """The corpus's most frequent words of four to twelve ASCII letters, counted over all texts, with at least ``least`` occurrences."""
+    words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), "[^a-z]+")).alias("word"))
+    counted = words.where(F.length("word").between(4, 12)).groupBy("word").count()
+    counted = counted.where(F.col("count") >= least)
+    return " ".join(r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(most).collect())
+
+
 def features(value: Column, before: Column, after: Column, path: Column) -> dict[str, Column]:
     classes = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]+", "l"), "[A-Z]+", "U"), "[0-9]+", "d"),
         r"[+/_\-=]+",
         "s",
     )
-    covered = F.regexp_replace(F.lower(value), _among(DICTIONARY), "")
     near = F.lower(before)
     yes = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     return {
@@ -100,7 +123,7 @@ def features(value: Column, before: Column, after: Column, path: Column) -> dict
         "upper": _share(value, "[^A-Z]"),
         "vowels": _share(value, "[^aeiouAEIOU]"),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.length(value),
-        "covered": 1 - F.length(covered) / F.length(value),
+        "covered": coverage(value, DICTIONARY),
         "hex": yes(value.rlike("^[0-9a-fA-F]+$")),
         "in_path": yes(before.rlike(r"[/\\.:]$") | after.rlike(r"^[/\\.]?[A-Za-z0-9]") | value.contains("/") | value.rlike(r"^[A-Za-z_\-]{1,15}\.|\.[A-Za-z_\-]{1,15}(\.|$)")),
         "named": yes(
@@ -114,69 +137,70 @@ def features(value: Column, before: Column, after: Column, path: Column) -> dict
     }
 
 
-def with_candidates(docs: DataFrame, text: str = "text", path: str | None = "source", context: int = 40) -> DataFrame:
+SPAN = 128  # entries of a block of the running sum of lengths
+LEAST = 6  # characters of the shortest candidate
+
+
+def with_candidates(
+    docs: DataFrame, text: str = "text", path: str | None = "source", context: int = 40, dictionary: str | None = None
+) -> DataFrame:
     """Add ``_found``: an array of (start, value, features); start counts code points from 0.
 
-    The ``context`` characters before and after a candidate may hold other candidates.
+    The ``context`` characters before and after a candidate may hold other candidates. Every
+    array is built in one go over its entries: the text's pieces (between, value, between, …),
+    their ends of ``context`` characters, and running sums of their lengths by blocks.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    some = whole.rlike(CANDIDATE)
-    none_text = F.array().cast("array<string>")
-    values = F.when(some, F.regexp_extract_all(whole, F.lit(CANDIDATE), F.lit(0))).otherwise(none_text)
-    between = F.when(some, F.split(whole, CANDIDATE, -1)).otherwise(none_text)
     place = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
-    df = docs.withColumns({"_values": values, "_between": between, "_place": place})
-    pieces = lambda first: F.zip_with(
-        "_values", F.slice("_between", first, F.size("_values")), lambda v, b: F.struct(v.alias("v"), b.alias("b"))
-    )
-    places = F.aggregate(
-        pieces(1),
-        F.struct(
-            F.lit(0).cast("bigint").alias("at"),
-            F.lit("").alias("seen"),
-            F.array().cast("array<struct<start:bigint,before:string>>").alias("out"),
-        ),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["b"]) + F.length(p["v"])).alias("at"),
-            F.substring(F.concat(acc["seen"], p["b"], p["v"]), -context, context).alias("seen"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(p["b"])).alias("start"),
-                        F.substring(F.concat(acc["seen"], p["b"]), -context, context).alias("before"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    afters = F.aggregate(
-        F.reverse(pieces(2)),
-        F.struct(F.lit("").alias("seen"), F.array().cast("array<string>").alias("out")),
-        lambda acc, p: F.struct(
-            F.substring(F.concat(p["v"], p["b"], acc["seen"]), 1, context).alias("seen"),
-            F.concat(F.array(F.substring(F.concat(p["b"], acc["seen"]), 1, context)), acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    zipped = F.arrays_zip(F.col("_places").alias("p"), F.col("_values").alias("value"), F.col("_afters").alias("after"))
-    found = F.transform(
-        zipped,
-        lambda x: F.struct(
-            x["p"]["start"].alias("start"), x["value"].alias("value"), x["p"]["before"].alias("before"), x["after"].alias("after")
-        ),
+    none = F.array().cast("array<string>")
+    df = docs.withColumn("_place", place)
+    df = df.withColumn("_values", F.when(whole.rlike(CANDIDATE), F.regexp_extract_all(whole, F.lit(CANDIDATE), F.lit(0))).otherwise(none))
+    some = F.size("_values") > 0
+    df = df.withColumn("_between", F.when(some, F.split(whole, CANDIDATE, -1)).otherwise(none))
+    pairs = F.transform("_values", lambda v, i: F.array(F.get("_between", i), v))
+    df = df.withColumn("_pieces", F.when(some, F.concat(F.flatten(pairs), F.array(F.element_at("_between", -1)))).otherwise(none))
+    df = df.withColumns(
+        {
+            "_tails": F.transform("_pieces", lambda p: F.substring(p, -context, context)),
+            "_heads": F.transform("_pieces", lambda p: F.substring(p, 1, context)),
+            "_sizes": F.transform("_pieces", lambda p: F.length(p).cast("bigint")),
+        }
     )
+    total = lambda array: F.aggregate(array, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    blocks = F.sequence(F.lit(0), F.floor((F.size("_sizes") - 1) / SPAN).cast("int"))
+    sums = F.transform(blocks, lambda b: total(F.slice("_sizes", b * SPAN + 1, F.lit(SPAN))))
+    # columns that a lambda reads are named twice, so that they are not computed again inside it
+    df = df.withColumn("_sums", F.when(F.size("_sizes") > 0, sums).otherwise(F.array().cast("array<bigint>")))
+    before_block = F.transform("_sums", lambda s, b: total(F.slice("_sums", F.lit(1), b)))
+    df = df.withColumn("_starts", F.when(F.size("_sums") > 0, before_block).otherwise(F.array().cast("array<bigint>")))
+    reach = 2 * (context // LEAST + 1)
+
+    def found(value: Column, i: Column) -> Column:
+        at = 2 * i + 1  # the value's place among the pieces, from 0; the text before it is one place earlier
+        block = F.floor(at / SPAN).cast("int")
+        first = F.greatest(at - reach, F.lit(1))
+        return F.struct(
+            (F.get("_starts", block) + total(F.slice("_sizes", block * SPAN + 1, at - block * SPAN))).alias("start"),
+            value.alias("value"),
+            F.substring(F.array_join(F.slice("_tails", first, at - first + 1), ""), -context, context).alias("before"),
+            F.substring(F.array_join(F.slice("_heads", at + 2, F.lit(reach + 1)), ""), 1, context).alias("after"),
+        )
+
     empty = F.array().cast("array<struct<start:bigint,value:string,before:string,after:string>>")
-    raw = df.withColumns({"_places": places, "_afters": afters}).withColumn(
-        "_raw", F.when(F.size("_values") > 0, found).otherwise(empty)
-    )
-    featured = lambda c: F.struct(
-        c["start"].alias("start"),
-        c["value"].alias("value"),
-        F.struct(*[x.alias(n) for n, x in features(c["value"], c["before"], c["after"], F.col("_place")).items()]).alias("f"),
+    ready = some & (F.size("_starts") > 0) & (F.size("_sizes") > 0) & (F.size("_tails") > 0) & (F.size("_heads") > 0)
+    df = df.withColumn("_raw", F.when(ready, F.transform("_values", found)).otherwise(empty))
+
+    def featured(c: Column) -> Column:
+        named = features(c["value"], c["before"], c["after"], F.col("_place"))
+        if dictionary:
+            named["covered"] = coverage(c["value"], dictionary)
+        return F.struct(
+            c["start"].alias("start"), c["value"].alias("value"), F.struct(*[x.alias(n) for n, x in named.items()]).alias("f")
+        )
+
+    return df.withColumn("_found", F.transform("_raw", featured)).drop(
+        "_values", "_between", "_place", "_pieces", "_tails", "_heads", "_sizes", "_sums", "_starts", "_raw"
     )
-    return raw.withColumn("_found", F.transform("_raw", featured)).drop("_values", "_between", "_place", "_places", "_afters", "_raw")
 
 
 def seed_labels(value: Column, f: Column) -> Column:
@@ -228,27 +252,43 @@ def fit_forest(labelled: DataFrame, trees: int = 15, depth: int = 5, seed: int =
     return score
 
 
+def labelled_findings(found: DataFrame) -> DataFrame:
+    """Distinct (value, features) with ``label``: that of the value, or the own vote where a value's votes differ."""
+    each = found.select(F.explode("_found").alias("c")).select("c.value", "c.f.*", seed_labels(F.col("c.value"), F.col("c.f")).alias("vote"))
+    contexts = stage_table(each.distinct())
+    votes = contexts.where("vote IS NOT NULL").groupBy("value").agg(F.min("vote").alias("_low"), F.max("vote").alias("_high"))
+    label = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("vote"))
+    return contexts.join(votes, "value").withColumn("label", label).where("label IS NOT NULL").drop("vote", "_low", "_high")
+
+
 def training_findings(found: DataFrame, per_label: int = 5000) -> DataFrame:
-    """Seed-labelled findings, at most ``per_label`` of each label, chosen by their hash."""
-    each = found.select(F.explode("_found").alias("c")).select(
-        "c.value", "c.f.*", seed_labels(F.col("c.value"), F.col("c.f")).alias("label")
-    )
+    """At most ``per_label`` labelled findings of each label, chosen by the hash of their value."""
+    each = labelled_findings(found)
     parts = [
-        each.where(F.col("label") == label).orderBy(F.xxhash64("value"), *FEATURES).limit(per_label) for label in (0, 1)
+        each.where(F.col("label") == label).orderBy(F.xxhash64("value"), "value", *FEATURES).limit(per_label) for label in (0, 1)
     ]
     return parts[0].unionByName(parts[1]).drop("value")
 
 
-def scan(
-    docs: DataFrame,
-    text: str = "text",
-    path: str | None = "source",
-    labelled: DataFrame | None = None,
-    threshold: float = 0.5,
-) -> DataFrame:
-    """``docs`` with ``_findings``: an array of (start, length, value, score, secret)."""
-    found = with_candidates(docs, text, path)
-    forest = fit_forest((labelled if labelled is not None else training_findings(found)).persist())
+def held_out_figures(found: DataFrame, per_label: int = 5000, threshold: float = 0.5) -> DataFrame:
+    """One row n, positive, precision, recall: a forest fitted on four fifths of the values, judged on the others."""
+    each = stage_table(labelled_findings(found).withColumn("_fold", F.pmod(F.xxhash64("value", F.lit(11)), F.lit(5))))
+    parts = [each.where((F.col("_fold") > 0) & (F.col("label") == label)).orderBy(F.xxhash64("value"), "value", *FEATURES).limit(per_label) for label in (0, 1)]
+    forest = fit_forest(parts[0].unionByName(parts[1]))
+    score = forest(F.struct(*FEATURES)) if forest else F.lit(0.0)
+    said, real = score >= threshold, F.col("label") == 1
+    return each.where("_fold = 0").agg(
+        F.count("*").alias("n"),
+        F.count_if(real).alias("positive"),
+        F.try_divide(F.count_if(said & real), F.count_if(said)).alias("precision"),
+        F.try_divide(F.count_if(said & real), F.count_if(real)).alias("recall"),
+    )
+
+
+def _judged(docs: DataFrame, text: str, path: str | None, kept: list[str], labelled: DataFrame | None, threshold: float) -> DataFrame:
+    """The columns ``kept`` of ``docs``, staged, with ``_findings``."""
+    found = stage_table(with_candidates(docs, text, path, dictionary=f"{DICTIONARY} {frequent_words(docs, text)}").select(*kept, "_found"))
+    forest = fit_forest(labelled if labelled is not None else stage_table(training_findings(found)))
     by_rule = lambda value, f: F.coalesce(seed_labels(value, f), F.lit(0)).cast("double")
 
     def finding(c: Column) -> Column:
@@ -258,31 +298,40 @@ def scan(
         )
 
     judged = found.withColumn("_findings", F.transform("_found", finding)).drop("_found")
-    return judged.withColumn(
-        "_findings", F.transform("_findings", lambda x: x.withField("secret", x["score"] >= threshold))
-    )
+    return judged.withColumn("_findings", F.transform("_findings", lambda x: x.withField("secret", x["score"] >= threshold)))
+
+
+def scan(
+    docs: DataFrame,
+    text: str = "text",
+    path: str | None = "source",
+    labelled: DataFrame | None = None,
+    threshold: float = 0.5,
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` (without ``text`` if it is not to be kept) with ``_findings``: an array of (start, length, value, score, secret)."""
+    own = Renamed(docs)
+    names = [n for n in own.names if n != "_findings" and (keep_text or n != text)]
+    judged = _judged(own.df, own.name(text), own.name(path) if path else None, [own.name(n) for n in names], labelled, threshold)
+    return judged.toDF(*names, "_findings")
 
 
 def redact(
-    docs: DataFrame, text: str = "text", path: str | None = "source", mark: str = "[secret]", **options
+    docs: DataFrame,
+    text: str = "text",
+    path: str | None = "source",
+    mark: str = "[secret]",
+    labelled: DataFrame | None = None,
+    threshold: float = 0.5,
 ) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; the same columns, all rows kept."""
     own = Renamed(docs)
     place = own.name(path) if path in docs.columns else None
-    scanned = scan(own.df, own.name(text), place, **options)
-    scanned = scanned.withColumn("_bad", F.filter("_findings", lambda x: x["secret"]))
+    judged = _judged(own.df, own.name(text), place, own.safe, labelled, threshold)
     whole = F.col(own.name(text))
-    cut = F.aggregate(
-        "_bad",
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.struct(
-            (x["start"] + x["length"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.substring(whole, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")),
-                F.lit(mark),
-            ).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(whole, (acc["at"] + 1).cast("int"), F.length(whole))),
-    )
-    return own.back(scanned.withColumn(own.name(text), F.when(F.size("_bad") > 0, cut).otherwise(whole)))
+    # only a text with a secret is cut again: its pieces between candidates and, in turn, the mark or the value
+    some = F.exists("_findings", lambda x: x["secret"])
+    cut = judged.withColumn("_between", F.when(some, F.split(whole, CANDIDATE, -1)))
+    told = F.transform("_findings", lambda x, i: F.concat(F.get("_between", i), F.when(x["secret"], F.lit(mark)).otherwise(x["value"])))
+    rebuilt = F.concat(F.array_join(told, ""), F.element_at("_between", -1))
+    return own.back(cut.withColumn(own.name(text), F.when(F.col("_between").isNotNull(), rebuilt).otherwise(whole)))

@@ -1,6 +1,7 @@
 """URL filters, secret scans and chat formatting on small fixtures, edge cases included."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +208,53 @@ def test_forest_learns_given_labels(spark):
     right = rows.select((score(F.struct(*FEATURES)) > 0.5).cast("int").alias("p"), "label").where("p = label").count()
     assert right >= 390
     assert secrets.fit_forest(rows.where("label = 1")) is None
+
+
+def test_many_candidates_in_one_text(spark):
+    import time
+
+    values = [f"{i:06d}{KEY[:20]}" for i in range(100_000)]
+    text = "ü " + ", ".join(values)
+    df = spark.createDataFrame([(1, text, "src", 0.5, "keep")], DOCS)
+    secrets.with_candidates(df.withColumn("text", F.substring("text", 1, 5000))).count()
+    began = time.monotonic()
+    row = secrets.with_candidates(df).select(F.transform("_found", lambda c: c["start"]).alias("s"), F.transform("_found", lambda c: c["value"]).alias("v")).first()
+    assert row.v == values and row.s == [2 + 28 * i for i in range(100_000)]
+    assert time.monotonic() - began < 90
+
+
+def test_copies_do_not_fill_the_training_sample(spark):
+    texts = [f'token = "{KEY}"'] * 300 + [f'token = "{KEY[i:] + KEY[:i]}"' for i in range(1, 30)] + [f"commit {KEY[:i]}0f{KEY[i:]}" for i in range(20)]
+    df = spark.createDataFrame([(i, t, "src", 0.5, "keep") for i, t in enumerate(texts)], DOCS)
+    found = secrets.with_candidates(df)
+    assert secrets.training_findings(found, 100).where("label = 1").count() == 30
+    figures = secrets.held_out_figures(found).first()
+    assert figures.precision == figures.recall == 1.0 and figures.n > 3
+
+
+def test_a_value_labels_all_its_occurrences(spark):
+    other = KEY[5:] + KEY[:5]
+    texts = [f'token = "{KEY}"', f"it was {KEY} then", f"commit {other}", f"token={other}"]
+    df = spark.createDataFrame([(i, t, "src", 0.5, "keep") for i, t in enumerate(texts)], DOCS)
+    rows = secrets.labelled_findings(secrets.with_candidates(df)).collect()
+    assert sorted((r.value == KEY, r.named, r.label) for r in rows) == [(False, 0.0, 0), (False, 1.0, 1), (True, 0.0, 1), (True, 1.0, 1)]
+
+
+def truth_findings(rng):
+    """Texts around values whose truth is known to the writer, not to the scan."""
+    hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    mixed = lambda n: "".join(rng.choice("ABCDEFGHabcdefghijk0123456789") for _ in range(n))
+    real = ['token = "{}"', "api_key: {}", "password={}", "export SECRET={}", "auth token {}", 'client_secret := "{}"']
+    false = ["commit {}", "sha256 {}", "uuid: {}", "checksum {} ok", "see a/b/{}/c", "revision {} of it"]
+    return [(rng.choice(real).format(v := rng.choice([hexed(40), mixed(24), mixed(32)])), v, True) for _ in range(200)] + [
+        (rng.choice(false).format(v := rng.choice([hexed(40), hexed(64), mixed(24)])), v, False) for _ in range(200)
+    ]
+
+
+def test_forest_on_findings_of_known_truth(spark):
+    rows = truth_findings(random.Random(2))
+    df = spark.createDataFrame([(i, "plain words " + t + " and more", "src", 0.5, "k") for i, (t, _, _) in enumerate(rows)], DOCS)
+    said = {r.doc_id: any(f.secret and rows[r.doc_id][1] in f.value for f in r._findings) for r in secrets.scan(df).collect()}
+    caught = sum(said[i] for i, r in enumerate(rows) if r[2])
+    wrong = sum(said[i] for i, r in enumerate(rows) if not r[2])
+    assert caught >= 0.9 * 200 and wrong <= 0.1 * 200
