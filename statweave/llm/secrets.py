@@ -272,6 +272,7 @@ def training_findings(found: DataFrame, per_label: int = 5000) -> DataFrame:
 
 def held_out_figures(found: DataFrame, per_label: int = 5000, threshold: float = 0.5) -> DataFrame:
     """One row n, positive, precision, recall: a forest fitted on four fifths of the values, judged on the others."""
+    found = stage_table(found.select("_found"))
     each = stage_table(labelled_findings(found).withColumn("_fold", F.pmod(F.xxhash64("value", F.lit(11)), F.lit(5))))
     parts = [each.where((F.col("_fold") > 0) & (F.col("label") == label)).orderBy(F.xxhash64("value"), "value", *FEATURES).limit(per_label) for label in (0, 1)]
     forest = fit_forest(parts[0].unionByName(parts[1]))
