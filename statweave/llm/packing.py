@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statweave.llm.base import chunks, text_bytes
-from statweave.llm.tokens import WordEncoder
+from statweave.llm.tokens import process_encoder
 from statweave.plans.staging import stage_table
 
 SLOT_ROWS = 50_000
@@ -38,7 +38,7 @@ def token_lengths(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     schema = docs.select(F.col(key), F.lit(0).cast("bigint").alias("_tokens")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = process_encoder(path)
         for batch in batches:
             texts = [v or b"" for v in batch.column(1).to_pylist()]
             count = np.ones(len(texts), np.int64)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
@@ -27,10 +29,18 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
     return values[at], many
 
 
+def process_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process, whose memo later tasks of the process go on using."""
+    home = sys.modules.setdefault("_process_encoders", types.ModuleType("_process_encoders"))
+    if path not in home.__dict__:
+        home.__dict__[path] = WordEncoder(path)
+    return home.__dict__[path]
+
+
 class WordEncoder:
-    """Ids of texts; holds a bounded memo of words."""
+    """Ids of texts; holds a bounded memo of words, from which the rarely used ones go first."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         # Spark runs one task per core; threads of a task's own cost CPU time and memory
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -40,11 +50,22 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.ids, self.sizes, self.uses = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        """Keep the words used often, half of the limit at most, when the memo is over its limit."""
+        if len(self.words) <= self.words.limit:
+            return
+        least = max(2, int(np.partition(self.uses, -(self.words.limit // 2))[-(self.words.limit // 2)]) + 1)
+        kept = np.flatnonzero(self.uses >= least)
+        names = list(self.words)
+        self.ids, self.sizes = gather(self.ids, self.sizes, kept)
+        self.uses = self.uses[kept] // 2
+        self.words.clear()
+        self.words.update((names[w], i) for i, w in enumerate(kept.tolist()))
 
     def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if self.words.trim():
-            self._forget()
+        self._trim()
         numbers, sizes = self.words.number([ENDING.sub(rb" \1", t).split() for t in texts])
         fresh = [w.decode("utf-8", "replace") for w in self.words.take_fresh()]
         if fresh:
@@ -54,6 +75,9 @@ class WordEncoder:
             place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(fresh))
             ids, many = gather(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)), place)
             self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, many])
+        uses = np.bincount(numbers, minlength=len(self.sizes))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         return numbers, sizes
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from oracle_check import compare, duck
 from statweave.llm import catalog, context_tree, decontaminate, near_dedup, packing, quality, token_files, tokens, toxicity
+from statweave.sources.tables import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -473,3 +474,28 @@ def test_language_model_edges(spark):
     assert unseen[0].train_tokens == 0 and unseen[0].n_known == 0
     assert unseen[0].score == pytest.approx(-(3 * 9 + 1) * math.log10(2)) and unseen[1].score == unseen[2].score
     assert context_tree.score_report(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_packed_numbers_round_trip():
+    rng = np.random.default_rng(2)
+    for width in (1, 7, 16, 17, 32):
+        values = rng.integers(0, 2**width, 333, dtype=np.uint64).astype(np.uint32)
+        data = token_files.pack_bits(values, width)
+        assert len(data) == -(-333 * width // 8) and (token_files.unpack_bits(data, width, 333) == values).all()
+    assert len(token_files.unpack_bits(b"", 3, 0)) == 0
+
+
+def test_encoder_memo_drops_rare_words_only():
+    rng = np.random.default_rng(6)
+    encoder, fresh = tokens.WordEncoder(BPE, limit=300), tokens.WordEncoder(BPE)
+    for _ in range(40):
+        texts = [" ".join(f"w{n}," for n in np.concatenate([rng.integers(0, 50, 60), rng.integers(0, 100_000, 20)])).encode() for _ in range(5)]
+        got, want = encoder.encode(texts, 1), fresh.encode(texts, 1)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    assert len(encoder.words) <= 300 + 200 and sum(f"w{n},".encode() in encoder.words for n in range(50)) > 40
+
+
+def test_shards_are_smaller_than_two_byte_ids(spark, sf):
+    shards = token_files.write_shards(table(spark, sf, "documents"), BPE)
+    size = shards.agg(F.sum(F.octet_length("symbols") + F.octet_length("rules") + F.octet_length("lengths"))).first()[0]
+    assert size < 2 * sum(r.n_tokens for r in token_files.read_documents(shards).collect())
