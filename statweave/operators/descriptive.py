@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
 from statweave.plans.prefix_sum import key_totals, running_totals
+from statweave.plans.staging import stage_table
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -73,7 +74,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     df = df.dropna(subset=list(columns))
     if method == "spearman":
         sums = {(i, j): _rank_correlation(i, j) for i, j in combinations(columns, 2)}
-        return average_ranks(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
+        return rank_rows(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
     pairs = {(i, j): _correlation(i, j) for i, j in combinations(columns, 2)}
     return df.agg(_pair_rows(pairs, columns).alias("m")).select(F.inline("m"))
 
@@ -103,6 +104,26 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked
 
 
+def rank_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Like ``average_ranks`` without the values, by one ranking of all columns together.
+
+    The rows become long, (column, value) is counted and ranked over one range partitioning,
+    and the ranks meet the long rows in one join, whose rows are put together again by their
+    number: as many shuffles for any number of columns. Every column has the same number of
+    rows, so its ranks begin after the rows of the columns before it.
+    """
+    rows = stage_table(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna().withColumn("_row", F.monotonically_increasing_id()))
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    long = rows.select("_row", F.explode(cells).alias("_cell"))
+    running = running_totals(key_totals(long, "_cell", {"n": F.lit(1).cast("bigint")}), "_cell", ["n"])
+    each = F.col("total_n") / len(columns)
+    middle = F.col("cum_n") - (F.col("n") - 1) / 2.0 - (each + 1) / 2.0 - F.col("_cell.c") * each
+    ranked = long.join(running.select("_cell", middle.alias("_rank")), "_cell")
+    return ranked.groupBy("_row").agg(
+        *[F.max(F.when(F.col("_cell.c") == i, F.col("_rank"))).alias(f"_rank_{c}") for i, c in enumerate(columns)]
+    )
+
+
 def _rank_correlation(x: str, y: str) -> Column:
     a, b = F.col(f"_rank_{x}"), F.col(f"_rank_{y}")
     return F.try_divide(F.sum(a * b), F.sqrt(F.sum(a * a) * F.sum(b * b)))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statweave.operators import pooled_isotonic, recommendation
+from statweave.operators.kernel_table import kernel_density_table
+from statweave.operators.power_iteration import power_iteration_steps
 from statweave.operators.sequence_growth import grow_patterns
-from statweave.queries.models import daily_sequences, part_ratings, pattern_text
+from statweave.queries.models import daily_sequences, part_ratings, pattern_text, trade_edges
 from statweave.queries.registry import query, rounded, scratch
 from statweave.queries.statistics import t_two_sided_sql
 from statweave.sources.tables import table
@@ -138,3 +140,40 @@ def stream_stop_by_progress(spark, sf):
     judged = batch_windows.read_batch_windows(spark, path).where(F.col("batch_id") <= seen["batch_id"])
     results = judged.select("batch_id", "n_control", "n_treatment", "statistic", "dof", (F.col("p_value") < 1e-6).alias("significant"))
     return rounded(results, 6, dof=4)
+
+
+@query(
+    "kde_table",
+    """WITH p AS (SELECT c_custkey, c_acctbal / 20 AS y FROM customer), n AS (SELECT count(value) AS n FROM events)
+    SELECT c_custkey, round(sum(exp(-pow(value - y, 2) / (2 * 9.0))) / (n * 3.0 * sqrt(2 * pi())), 9) + 0.0 AS density
+    FROM p, events, n GROUP BY c_custkey, y, n""",
+)
+def kde_table(spark, sf):
+    """Density of the events' values at a point of every customer."""
+    points = table(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") / 20).alias("y"))
+    found = kernel_density_table(table(spark, sf, "events"), "value", points, "y", 3.0)
+    return rounded(found.select("c_custkey", "density"), 9)
+
+
+_STEP = """s{n} AS (SELECT e.i AS id, sum(e.a * v.value) AS value FROM e JOIN v{m} v ON v.id = e.j GROUP BY e.i),
+    v{n} AS (SELECT id, value / (SELECT sum(value) FROM s{n}) AS value FROM s{n})"""
+
+
+@query(
+    "power_iteration_steps",
+    f"""WITH p AS (SELECT least(c_nationkey, s_nationkey)::BIGINT AS a, greatest(c_nationkey, s_nationkey)::BIGINT AS b, count(*)::DOUBLE AS w
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+      WHERE c_nationkey <> s_nationkey GROUP BY 1, 2),
+    b AS (SELECT a AS i, b AS j, w FROM p UNION ALL SELECT b, a, w FROM p),
+    d AS (SELECT i AS id, sum(w) AS degree FROM b GROUP BY i),
+    e AS (SELECT i, j, w / degree AS a FROM b JOIN d ON d.id = b.i),
+    v0 AS (SELECT id, degree / (SELECT sum(degree) FROM d) AS value FROM d),
+    {", ".join(_STEP.format(n=n, m=n - 1) for n in (1, 2, 3))},
+    every AS ({" UNION ALL ".join(f"SELECT {n}::INTEGER AS iteration, id, value FROM v{n}" for n in range(4))})
+    SELECT iteration, id, round(value, 10) AS value,
+    round(sum(abs(value - old)) OVER (PARTITION BY iteration), 10) + 0.0 AS change FROM (
+      SELECT q.*, o.value AS old FROM every q LEFT JOIN every o ON o.id = q.id AND o.iteration = q.iteration - 1)""",
+)
+def power_iteration_steps_query(spark, sf):
+    """Three steps on the graph of trade between nations."""
+    return rounded(power_iteration_steps(trade_edges(spark, sf), 3), 10)

@@ -9,8 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statweave.operators import mining, pooled_isotonic, recommendation, supervised
+from statweave.operators import descriptive, mining, pooled_isotonic, recommendation, supervised
 from statweave.operators.hypothesis import welch_test
+from statweave.operators.kernel_table import error_bound, kernel_density_table
+from statweave.operators.power_iteration import power_iteration_steps
 from statweave.operators.sequence_growth import grow_patterns
 from statweave.streaming import batch_windows
 
@@ -160,3 +162,59 @@ def test_progress_stops_a_significant_stream(spark, tmp_path):
     assert seen == {"batches": 3, "significant": True, "batch_id": 2}
     seen = batch_windows.stop_when_significant(start(str(tmp_path / "b")), str(tmp_path / "b"), 1e-6, max_batches=2, idle_seconds=60)
     assert seen == {"batches": 2, "significant": False, "batch_id": 1} and not spark.streams.active
+
+
+def test_density_of_a_table_of_points(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(0, 3, 3000), rng.gamma(2, 20, 2000), np.full(2000, 7.0)])
+    points = np.concatenate([rng.uniform(-40, 300, 400), [7.0, 7.0, 1e6]])
+    samples = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+    asked = spark.createDataFrame([(i, float(y), 1) for i, y in enumerate(points)] + [(9999, None, 1)], "id int, y double, _cell int")
+    found = {r.id: r.density for r in kernel_density_table(samples, "x", asked, "y", 2.5).collect()}
+    exact = np.exp(-((points[:, None] - values) ** 2) / (2 * 2.5**2)).mean(axis=1) / (2.5 * np.sqrt(2 * np.pi))
+    assert found.pop(9999) is None and len(found) == len(points)
+    worst = max(abs(found[i] - exact[i]) for i in found)
+    assert worst <= 1.01 * error_bound() / (2.5 * np.sqrt(2 * np.pi)) + 1e-15
+    rough = {r.id: r.density for r in kernel_density_table(samples, "x", asked, "y", 2.5, order=4, reach=3.0).collect()}
+    assert max(abs(rough[i] - exact[i]) for i in found) <= error_bound(reach=3.0, order=4) / (2.5 * np.sqrt(2 * np.pi))
+    none = kernel_density_table(samples.limit(0), "x", asked.where("id < 3"), "y")
+    assert [r.density for r in none.collect()] == [None] * 3
+    assert kernel_density_table(samples, "x", asked.limit(0), "y").count() == 0
+
+
+@pytest.mark.parametrize("split", [2, 1000])
+def test_power_iteration_equals_the_matrix_product(spark, split):
+    rng = random.Random(2)
+    edges = [(0, j, 1.0 + j % 3) for j in range(1, 40)] + [(rng.randrange(40), rng.randrange(40), rng.random()) for _ in range(60)]
+    edges += [(None, 3, 1.0), (5, 5, 9.0), (6, 7, None), (8, 9, -1.0)]
+    df = spark.createDataFrame(edges, "src long, dst long, weight double").repartition(3)
+    matrix = np.zeros((40, 40))
+    for a, b, w in edges:
+        if None not in (a, b, w) and a != b and w > 0:
+            matrix[a, b] += w
+            matrix[b, a] += w
+    degree = matrix.sum(axis=1)
+    vector, rows = degree / degree.sum(), power_iteration_steps(df, 4, split=split).collect()
+    for step in range(5):
+        own = sorted((r.id, r.value, r.change) for r in rows if r.iteration == step)
+        assert [v for _, v, _ in own] == pytest.approx(vector.tolist())
+        after = matrix @ vector / degree
+        after /= after.sum()
+        if step < 4:
+            change = {r.change for r in rows if r.iteration == step + 1}
+            assert len(change) == 1 and change.pop() == pytest.approx(np.abs(after - vector).sum())
+        vector = after
+    assert power_iteration_steps(df, 50, tolerance=1e-3).agg(F.max("iteration")).first()[0] < 50
+    assert power_iteration_steps(df.limit(0)).count() == 0
+
+
+def test_rank_matrix_in_one_ranking(spark):
+    rng = random.Random(1)
+    rows = [(rng.randrange(9), rng.random(), float(rng.randrange(3)), rng.choice([None, 1, 2])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d int").repartition(4)
+    names = ["a", "b", "c", "d"]
+    together = descriptive.rank_rows(df, names).agg(*[F.sum(F.col(f"_rank_{i}") * F.col(f"_rank_{j}")) for i in names for j in names]).first()
+    apart = descriptive.average_ranks(df, names).agg(*[F.sum(F.col(f"_rank_{i}") * F.col(f"_rank_{j}")) for i in names for j in names]).first()
+    assert tuple(together) == pytest.approx(tuple(apart))
+    exchanges = lambda n: descriptive.rank_rows(df, names[:n])._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert exchanges(2) == exchanges(4)
