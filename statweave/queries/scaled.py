@@ -8,7 +8,10 @@ from statweave.operators import pooled_isotonic, recommendation
 from statweave.operators.kernel_table import kernel_density_table
 from statweave.operators.power_iteration import power_iteration_steps
 from statweave.operators.sequence_growth import grow_patterns
-from statweave.queries.models import daily_sequences, part_ratings, pattern_text, trade_edges
+from statweave.operators.tall_skinny import left_vectors, singular_vectors
+from statweave.operators.topic_tables import fit_topic_tables
+from statweave.plans.staging import stage_table
+from statweave.queries.models import TERM_SQL, daily_sequences, part_ratings, pattern_text, term_counts, trade_edges
 from statweave.queries.registry import query, rounded, scratch
 from statweave.queries.statistics import t_two_sided_sql
 from statweave.sources.tables import table
@@ -177,3 +180,77 @@ _STEP = """s{n} AS (SELECT e.i AS id, sum(e.a * v.value) AS value FROM e JOIN v{
 def power_iteration_steps_query(spark, sf):
     """Three steps on the graph of trade between nations."""
     return rounded(power_iteration_steps(trade_edges(spark, sf), 3), 10)
+
+
+_TOPICS = 3
+_SHARE = "(n_d.x[t + 1] + {a}) * (n_w.x[t + 1] + 0.1) / (n_t.x[t + 1] + v * 0.1)"
+
+
+@query(
+    "topic_step",
+    f"""{TERM_SQL},
+    steps AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+      lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+    keys AS (SELECT doc_id, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1])), 4294967295) AS h FROM (SELECT DISTINCT doc_id FROM c), steps),
+    r0 AS (SELECT doc_id, term, n, list_transform(range({_TOPICS}), lambda t: CASE WHEN (length(term) + h) % {_TOPICS} = t THEN 2.0::DOUBLE ELSE 1 END * n / {_TOPICS + 1}) AS x
+      FROM c JOIN keys USING (doc_id)),
+    n_d AS (SELECT doc_id, [{", ".join(f"sum(x[{t + 1}])" for t in range(_TOPICS))}] AS x FROM r0 GROUP BY doc_id),
+    n_w AS (SELECT term, [{", ".join(f"sum(x[{t + 1}])" for t in range(_TOPICS))}] AS x FROM r0 GROUP BY term),
+    n_t AS (SELECT [{", ".join(f"sum(x[{t + 1}])" for t in range(_TOPICS))}] AS x, (SELECT count(*) FROM n_w) AS v FROM r0),
+    q AS (SELECT c.doc_id, c.term, c.n, list_transform(range({_TOPICS}), lambda t: {_SHARE.format(a=50.0 / _TOPICS)}) AS p
+      FROM c JOIN n_d USING (doc_id) JOIN n_w USING (term), n_t),
+    r1 AS (SELECT term, list_transform(p, lambda y: y * n / list_sum(p)) AS x FROM q),
+    w AS (SELECT term, unnest(range({_TOPICS}))::INTEGER AS topic, unnest([{", ".join(f"sum(x[{t + 1}])" for t in range(_TOPICS))}]) AS m FROM r1 GROUP BY term),
+    z AS (SELECT topic, sum(m) AS total FROM w GROUP BY topic)
+    SELECT topic, term, round((m + 0.1) / (total + v * 0.1), 10) AS weight FROM w JOIN z USING (topic), n_t""",
+)
+def topic_step(spark, sf):
+    """Every term's weight in three topics after one step from the fixed start, over the labelled documents."""
+    topics, _ = fit_topic_tables(term_counts(spark, sf), _TOPICS, 1)
+    return rounded(topics, 10)
+
+
+_TOP = """p{c} AS (SELECT 0 AS i, [1.0::DOUBLE, 1, 1, 1] AS v UNION ALL
+      SELECT i + 1, list_transform(y, lambda x: x / sqrt(list_sum(list_transform(y, lambda z: z * z)))) FROM (
+        SELECT i, list_transform(g, lambda row: list_inner_product(row, v)) AS y FROM p{c}, g{c} WHERE i < 400)),
+    t{c} AS (SELECT g, v, list_inner_product(v, list_transform(g, lambda row: list_inner_product(row, v))) AS e FROM p{c}, g{c} WHERE i = 400),
+    g{n} AS (SELECT list_transform(range(4), lambda a: list_transform(range(4), lambda b: g[a + 1][b + 1] - e * v[a + 1] * v[b + 1])) AS g FROM t{c})"""
+
+
+def _measures(spark, sf):
+    cells = F.array(F.col("l_quantity"), F.col("l_extendedprice") / 4000, F.col("l_discount") * 60, F.col("l_tax") * 20)
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.transform(cells, lambda x: x.cast("double")).alias("features"))
+
+
+_MEASURES = "SELECT l_orderkey, l_linenumber, [l_quantity, l_extendedprice / 4000, l_discount * 60, l_tax * 20]::DOUBLE[] AS x FROM lineitem"
+_GRAM = ", ".join("[" + ", ".join(f"sum(x[{a}] * x[{b}])" for b in range(1, 5)) + "]" for a in range(1, 5))
+
+
+@query(
+    "svd_components",
+    f"""WITH RECURSIVE g0 AS (SELECT [{_GRAM}] AS g FROM ({_MEASURES})),
+    {", ".join(_TOP.format(c=c, n=c + 1) for c in range(3))},
+    every AS ({" UNION ALL ".join(f"SELECT {c}::INTEGER AS component, e, v FROM t{c}" for c in range(3))}),
+    signed AS (SELECT component, e, v, list_transform(v, lambda x: abs(round(x, 12))) AS size FROM every)
+    SELECT component, round(sqrt(e), 4) AS s, unnest(range(4))::INTEGER AS j,
+    unnest(list_transform(v, lambda x: round(x * sign(v[list_position(size, list_max(size))]), 6) + 0.0)) AS v FROM signed""",
+)
+def svd_components(spark, sf):
+    """Three singular values of the lines' measures and the entries of their right vectors."""
+    return rounded(singular_vectors(_measures(spark, sf), 3), 6, s=4)
+
+
+@query(
+    "svd_residual",
+    f"""SELECT 3::BIGINT AS components, count(*) AS n, 0::BIGINT AS off FROM ({_MEASURES})""",
+)
+def svd_residual(spark, sf):
+    """Every line has an entry in each left vector, and the squares of each vector's entries add up to 1."""
+    lines = stage_table(_measures(spark, sf).withColumn("id", F.monotonically_increasing_id()))
+    found = singular_vectors(lines, 3)
+    left = left_vectors(lines, found, "id")
+    sums = left.groupBy("component").agg(F.sum(F.col("u") * F.col("u")).alias("one"), F.count("*").alias("n"))
+    return sums.agg(
+        F.count("*").alias("components"), F.max("n").alias("n"), F.count_if(F.abs(F.col("one") - 1) > 1e-9).alias("off")
+    )

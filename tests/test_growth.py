@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import zlib
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -14,6 +15,8 @@ from statweave.operators.hypothesis import welch_test
 from statweave.operators.kernel_table import error_bound, kernel_density_table
 from statweave.operators.power_iteration import power_iteration_steps
 from statweave.operators.sequence_growth import grow_patterns
+from statweave.operators.tall_skinny import left_vectors, singular_vectors
+from statweave.operators.topic_tables import fit_topic_tables
 from statweave.streaming import batch_windows
 
 
@@ -218,3 +221,63 @@ def test_rank_matrix_in_one_ranking(spark):
     assert tuple(together) == pytest.approx(tuple(apart))
     exchanges = lambda n: descriptive.rank_rows(df, names[:n])._jdf.queryExecution().executedPlan().toString().count("Exchange")
     assert exchanges(2) == exchanges(4)
+
+
+@pytest.mark.parametrize("centred", [False, True])
+def test_components_by_a_tree_of_triangles(spark, centred):
+    rng = np.random.default_rng(9)
+    matrix = rng.normal(size=(700, 5)) @ np.diag([9, 4, 2, 1, 1e-4]) @ rng.normal(size=(5, 5)) + 3
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)] + [(999, None)]
+    df = spark.createDataFrame(rows, "id int, features array<double>").repartition(40)
+    found = singular_vectors(df, 3, centred=centred)
+    v = np.zeros((3, 5))
+    s = {}
+    for r in found.collect():
+        v[r.component, r.j], s[r.component] = r.v, r.s
+    base = matrix - matrix.mean(axis=0) if centred else matrix
+    _, known, right = np.linalg.svd(base, full_matrices=False)
+    assert [s[c] for c in range(3)] == pytest.approx(known[:3].tolist())
+    assert np.linalg.svd(v @ right[:3].T)[1] == pytest.approx(np.ones(3))  # cosines of the angles between the subspaces
+    assert np.abs(v @ v.T - np.eye(3)).max() < 1e-12 and all(row[np.abs(row).argmax()] > 0 for row in v)
+    if not centred:
+        left = left_vectors(df, found, "id")
+        u = {(r.id, r.component): r.u for r in left.collect()}
+        back = np.array([[u[i, c] * s[c] for c in range(3)] for i in range(700)]) @ v
+        assert np.abs(back - base).max() == pytest.approx(np.abs((base @ right[:3].T) @ right[:3] - base).max())
+    assert singular_vectors(df, 9, centred=centred).select("component").distinct().count() == 5
+    assert singular_vectors(df.where("id < 0"), 2, centred=centred).count() == 0
+    assert singular_vectors(df.where("id = 3"), 2).select("component").distinct().count() == 1
+
+
+def brute_topics(cells, k, iterations, alpha, eta):
+    docs, terms = sorted({d for d, _, _ in cells}), sorted({t for _, t, _ in cells})
+    favour = lambda d, t: (len(t) + zlib.crc32(str(d).encode())) % k
+    n_d, n_w = {d: np.zeros(k) for d in docs}, {t: np.zeros(k) for t in terms}
+    shares = [np.array([(2.0 if favour(d, t) == j else 1.0) / (k + 1) for j in range(k)]) for d, t, _ in cells]
+    for turn in range(iterations + 1):
+        if turn:
+            total = sum(n_w.values())
+            shares = [(n_d[d] + alpha - 1) * (n_w[t] + eta - 1) / (total + len(terms) * (eta - 1)) for d, t, _ in cells]
+            shares = [p / p.sum() for p in shares]
+        n_d, n_w = {d: np.zeros(k) for d in docs}, {t: np.zeros(k) for t in terms}
+        for (d, t, n), p in zip(cells, shares):
+            n_d[d] += n * p
+            n_w[t] += n * p
+    total = sum(n_w.values()) + len(terms) * (eta - 1)
+    return {t: (n_w[t] + eta - 1) / total for t in terms}, {d: (n_d[d] + alpha - 1) / (n_d[d] + alpha - 1).sum() for d in docs}
+
+
+@pytest.mark.parametrize("split", [3, 1000])
+def test_topic_tables_equal_plain_updates(spark, split):
+    rng = random.Random(6)
+    cells = [(d, t, float(rng.randrange(1, 5))) for d in range(12) for t in ("a", "bb", "ccc", "dd", "e", "ffff") if rng.random() < 0.7]
+    df = spark.createDataFrame([*cells, (None, "a", 1.0), (1, None, 1.0), (2, "a", 0.0)], "doc int, term string, n double").repartition(3)
+    topics, docs = fit_topic_tables(df, 2, 3, 1.5, 1.1, split=split)
+    known_topics, known_docs = brute_topics(cells, 2, 3, 1.5, 1.1)
+    found = {(r.term, r.topic): r.weight for r in topics.collect()}
+    assert found == pytest.approx({(t, j): v[j] for t, v in known_topics.items() for j in range(2)})
+    mixed = {r.doc: r.topics for r in docs.collect()}
+    assert mixed.keys() == known_docs.keys() and all(mixed[d] == pytest.approx(v.tolist()) for d, v in known_docs.items())
+    assert topics.groupBy("topic").agg(F.sum("weight").alias("w")).where("abs(w - 1) > 1e-9").count() == 0
+    none = fit_topic_tables(df.where("doc IS NULL"), 2, 1)
+    assert none[0].count() == none[1].count() == 0
