@@ -1,9 +1,10 @@
 """Token ids of whole texts by a public tokenizer, one call for many distinct words.
 
 The tokenizer never joins across white space, so a text's ids are its words' ids one after
-the other. Words are cut at ASCII white space; a full stop or comma that ends a word of
-ASCII letters is a token run of its own in this tokenizer and is cut off as well, so that
-a word has one entry in the memo. The tokenizer's file must exist on every node.
+the other. Words are cut at ASCII white space and, as this tokenizer's runs of letters end
+there, between a letter (ASCII or Latin-1) and an ASCII mark other than the apostrophe, so
+that a word has one entry in the memo whatever follows it. Texts with a special token's opening
+are cut at white space only. The tokenizer's file must exist on every node.
 """
 
 from __future__ import annotations
@@ -18,7 +19,25 @@ import numpy as np
 from statweave.llm.base import WordTable, per_text
 
 MARK = "\x01"  # stands between words that are encoded in one call
-ENDING = re.compile(rb"(?<=[A-Za-z])([.,])(?!\S)")
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+ENDING = re.compile(rb"([!-&(-/:-@\[-`{-~])(?:(?<=[A-Za-z].)|(?<=" + _LATIN + rb".))")
+LETTERS = re.compile(rb"(?:[A-Za-z]|" + _LATIN + rb")+")
+OPENING = b"<|"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256, 257, …"""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+ALPHABET = byte_alphabet()
+
+
+def cut(text: bytes) -> list[bytes]:
+    """The words of a text."""
+    return text.split() if OPENING in text else ENDING.sub(rb" \1", text).split()
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,10 +85,11 @@ class WordEncoder:
 
     def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         self._trim()
-        numbers, sizes = self.words.number([ENDING.sub(rb" \1", t).split() for t in texts])
-        fresh = [w.decode("utf-8", "replace") for w in self.words.take_fresh()]
-        if fresh:
-            plain = np.array([w.isascii() and w.isalpha() for w in fresh])
+        numbers, sizes = self.words.number([cut(t) for t in texts])
+        raw = self.words.take_fresh()
+        if raw:
+            plain = np.array([LETTERS.fullmatch(w) is not None for w in raw])
+            fresh = [w.decode("utf-8", "replace") for w in raw]
             parts = [self._letters([w for w, p in zip(fresh, plain) if p]), self._encoded([w for w, p in zip(fresh, plain) if not p])]
             place = np.empty(len(fresh), np.int64)  # where each word's ids are among the two parts
             place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(fresh))
@@ -81,9 +101,10 @@ class WordEncoder:
         return numbers, sizes
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """ASCII letters are one token run, which only lower-casing changes: the merges alone are left to do."""
+        """Letters are one token run, which only lower-casing and the byte alphabet change: the merges alone are left to do."""
         tokenize = self.tokenizer.model.tokenize
-        found = [[t.id for t in tokenize(w.lower())] for w in words]
+        spelt = [w if (w := v.lower()).isascii() else w.encode().decode("latin-1").translate(ALPHABET) for v in words]
+        found = [[t.id for t in tokenize(w)] for w in spelt]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
 

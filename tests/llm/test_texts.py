@@ -499,3 +499,14 @@ def test_shards_are_smaller_than_two_byte_ids(spark, sf):
     shards = token_files.write_shards(table(spark, sf, "documents"), BPE)
     size = shards.agg(F.sum(F.octet_length("symbols") + F.octet_length("rules") + F.octet_length("lengths"))).first()[0]
     assert size < 2 * sum(r.n_tokens for r in token_files.read_documents(shards).collect())
+
+
+def test_words_are_cut_where_the_tokenizer_cuts():
+    rng = np.random.default_rng(12)
+    pieces = ["word", "Straße", "ÉTÉ", "naïve", "don't", "'s", "…", "x", "!", "?!", "<|", "|>", "<|endoftext|>", ".", ",", "é", "e\u0301", "ﬁ", "İ", "7", "42.5", "×", "÷", "ñ", "日本", "###", "&&", " ", "\n", "\u00a0", "\x85", "’s", "_a", "-", "(", "\x1c"]
+    texts = ["".join(rng.choice(pieces, rng.integers(1, 14))) for _ in range(4000)]
+    whole = Tokenizer.from_file(BPE)
+    ids, sizes = tokens.WordEncoder(BPE).encode([t.encode() for t in texts], 1)
+    at = np.cumsum(sizes) - sizes
+    for t, a, n in zip(texts, at.tolist(), sizes.tolist()):
+        assert ids[a : a + n].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 1], repr(t)
