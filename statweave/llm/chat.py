@@ -2,12 +2,14 @@
 
 Native: only DataFrame expressions, windows and aggregations.
 
-A running token count over a conversation's turns chooses the spans: turns that end in
-the same multiple of the budget form one span, and a turn that crosses a multiple is a
-span of its own, so a span exceeds the budget only if it is one single long turn. Every
-later window repeats the system turn and the turns before it that start within
-``history`` tokens; repeated turns are outside the loss mask, so each assistant text is
-under the mask once.
+The budget holds for a whole window: the repeated system turn, the repeated history and the
+window's own turns. A conversation's room is what the system turn and the history leave of the
+budget (a system turn that leaves little halves the history first). Prefix sums of the turns' tokens choose the spans: a turn
+of more than half the room is a span of its own; between such turns, those that end in the
+same multiple of the room less the longest other turn form one span, which so fits into the
+room. Only a window with a single turn of its own can exceed the budget. Every later window
+repeats the system turn and the turns before it that start within the history; repeated
+turns are outside the loss mask, so each assistant text is under the mask once.
 
 Template: ``<|im_start|>role``, line break, text, ``<|im_end|>``, line break. In roles and
 texts ``&`` is written ``&amp;`` and ``<|`` is written ``&lt;|``, and a line break in a role
@@ -65,20 +67,38 @@ def windows(conversations: DataFrame, budget: int = 512, history: int = 128) ->
         turns.withColumn("tokens", turn_tokens(F.col("text")))
         .withColumns({"ends": F.sum("tokens").over(upto), "pos": F.row_number().over(order).cast("bigint")})
         .withColumn("starts", F.col("ends") - F.col("tokens"))
-        .withColumns({"first": F.floor(F.col("starts") / budget), "last": F.floor((F.col("ends") - 1) / budget)})
-        .withColumn("span", 2 * F.col("last") - (F.col("first") < F.col("last")).cast("bigint"))
         .withColumn("said", said)
     )
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    system_tokens = F.first(F.when(F.col("role") == "system", F.col("tokens")), ignorenulls=True).over(whole)
+    sized = counted.withColumn("left", F.greatest(budget - F.coalesce(system_tokens, F.lit(0)), F.lit(0)))
+    sized = sized.withColumn("history", F.least(F.lit(history).cast("bigint"), F.floor(F.col("left") / 2)))
+    sized = sized.withColumn("room", F.greatest(F.col("left") - F.col("history"), F.lit(1)))
+    sized = sized.withColumn("long", 2 * F.col("tokens") > F.col("room"))
+    longest = F.max(F.when(~F.col("long"), F.col("tokens"))).over(whole)
+    sized = sized.withColumns(
+        {
+            "longs": F.sum(F.col("long").cast("bigint")).over(upto),
+            "cell": F.floor((F.col("ends") - 1) / (F.col("room") - F.coalesce(longest, F.lit(0)))),
+        }
+    )
     by_place = Window.partitionBy("conv_id").orderBy("starts")
+    group = F.struct("longs", "long", "cell")
+    opens = F.coalesce(F.lag(group).over(by_place) != group, F.lit(True))
+    counted = sized.withColumn("opens", opens).withColumn(
+        "span", F.sum(F.col("opens").cast("bigint")).over(by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
     before = by_place.rangeBetween(-history, -1)
     earlier = by_place.rangeBetween(Window.unboundedPreceding, -1)
+    recent = F.collect_list(F.struct("pos", "said", "starts")).over(before)
     placed = counted.withColumns(
         {
-            "opens": F.col("span") != F.coalesce(F.lag("span").over(by_place), F.lit(-1)),
             "system": F.first(F.when(F.col("role") == "system", F.struct("pos", "said")), ignorenulls=True).over(earlier),
-            "recent": F.collect_list(F.struct("pos", "said")).over(before),
+            "near": F.when(F.col("opens"), recent),
         }
     )
+    near = F.filter("near", lambda t: t["starts"] >= F.col("starts") - F.col("history"))
+    placed = placed.withColumn("recent", F.transform(near, lambda t: F.struct(t["pos"].alias("pos"), t["said"].alias("said"))))
     none = F.array().cast(placed.schema["recent"].dataType)
     own_system = F.when(
         F.col("system").isNotNull() & ~F.exists("recent", lambda t: t["pos"] == F.col("system")["pos"]),
@@ -95,7 +115,7 @@ def windows(conversations: DataFrame, budget: int = 512, history: int = 128) ->
     )
     lead = len(START) + 1
     written = lambda t: F.concat(F.lit(START), t["said"]["role"], F.lit("\n"), t["said"]["text"], F.lit(END + "\n"))
-    sized = spans.withColumn("turns", F.concat("context", "own")).withColumns(
+    full = spans.withColumn("turns", F.concat("context", "own")).withColumns(
         {"repeated": F.size("context"), "parts": F.transform("turns", written)}
     )
     # where each turn begins: a running sum of the lengths of the parts
@@ -114,7 +134,7 @@ def windows(conversations: DataFrame, budget: int = 512, history: int = 128) ->
             ),
         ),
     )
-    return sized.withColumn("begins", begins).select(
+    return full.withColumn("begins", begins).select(
         "conv_id",
         F.col("span").alias("window"),
         "repeated",

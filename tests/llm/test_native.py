@@ -258,3 +258,26 @@ def test_forest_on_findings_of_known_truth(spark):
     caught = sum(said[i] for i, r in enumerate(rows) if r[2])
     wrong = sum(said[i] for i, r in enumerate(rows) if not r[2])
     assert caught >= 0.9 * 200 and wrong <= 0.1 * 200
+
+
+@pytest.mark.parametrize("budget, history", [(512, 128), (60, 25), (40, 200)])
+def test_chat_windows_keep_the_budget(spark, budget, history):
+    rng = random.Random(budget)
+    rows = []
+    for conv in range(12):
+        system = rng.choice([0, 5, budget // 2, budget - 20, budget + 50])
+        if system:
+            rows.append((conv, 0, "system", "s " * system, ""))
+        rows += [(conv, t, rng.choice(["user", "assistant"]), "w " * rng.choice([1, 5, 20, budget // 3, budget * 2] if rng.random() < 0.3 else [1, 5, 20]), "") for t in range(1, 60)]
+    cost = lambda part: len(part.split("\n", 1)[1].removesuffix("<|im_end|>\n").split()) + chat.MARKERS
+    several = 0
+    for w in chat.windows(spark.createDataFrame(rows, TURNS), budget, history).collect():
+        turns = w.formatted.split("<|im_start|>")[1:]
+        if len(turns) - w.repeated > 1:
+            assert sum(map(cost, turns)) <= budget
+            several += 1
+        said = [t for t in turns[: w.repeated] if not t.startswith("system")]
+        assert sum(map(cost, said)) <= history
+        if w.repeated and rows[0][0] == w.conv_id and rows[0][2] == "system":
+            assert turns[0].startswith("system")
+    assert several > 10
