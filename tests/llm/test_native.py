@@ -281,3 +281,24 @@ def test_chat_windows_keep_the_budget(spark, budget, history):
         if w.repeated and rows[0][0] == w.conv_id and rows[0][2] == "system":
             assert turns[0].startswith("system")
     assert several > 10
+
+
+def test_url_branches_without_labels_keep_their_own_template(spark):
+    urls = [f"http://h.net/{lang}/{i}" for i in range(30) for lang in ("es", "fr", "en", "de")]
+    rows = judged(spark, urls)
+    by_lang = {}
+    for i, url in enumerate(urls):
+        by_lang.setdefault(url.split("/")[3], set()).add((rows[i].template, rows[i].verdict))
+    assert by_lang["es"] == by_lang["fr"] and {v for _, v in by_lang["es"]} == {"block"}
+    assert by_lang["en"] == by_lang["de"] and {v for _, v in by_lang["en"]} == {"allow"}
+    assert {t for t, _ in by_lang["en"]}.isdisjoint({t for t, _ in by_lang["es"]})
+
+
+def test_url_depth_comes_from_the_data(spark):
+    rules = [url_filter.Rule("d.net/a/b/c/d/e/bad/", "block"), url_filter.Rule("d.net/a/b/c/d/e/good/", "allow")]
+    urls = [f"http://d.net/a/b/c/d/e/{w}/{i}" for i in range(40) for w in ("bad", "good")] + ["http://x.net/" + "s/" * 300, "http://d.net/a"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    rows = {r.page_id: r for r in url_filter.judge_urls(df, rules).collect()}
+    assert rows[0].template == "a/b/c/d/e/bad/{num}" and rows[0].purity > 0.8
+    assert rows[1].template == "a/b/c/d/e/good/{num}" and rows[1].purity < 0.2
+    assert len(rows) == len(urls)
