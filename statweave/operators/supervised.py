@@ -184,12 +184,12 @@ def naive_bayes_parameters(counts: DataFrame, smoothing: float = 1.0) -> tuple[D
     smooth = F.lit(float(smoothing))
     size = F.log(F.col("tokens") + smooth * vocabulary)
     enriched = labels.withColumn("_t", all_docs)
-    prior = enriched.select(
+    prior = stage(enriched.select(
         "label",
         (F.log(F.col("docs") + smooth) - F.log(F.col("_t.d") + smooth * F.col("_t.k"))).alias("log_prior"),
         (F.log(smooth) - size).alias("log_absent"),
         size.alias("log_size"),
-    )
+    ))  # one row per label, read by the pairs, the scores and the driver
     pairs = sums.join(broadcast_if_small(prior, 10_000), "label")
     likelihood = pairs.select("label", "term", (F.log(F.col("n") + smooth) - F.col("log_size")).alias("log_likelihood"))
     return prior.drop("log_size"), likelihood
