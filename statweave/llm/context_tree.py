@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statweave.llm.base import WordTable, ascii_lower, block_count, chunks, mix, per_text, shared, text_bytes
+from statweave.llm.base import Renamed, WordTable, ascii_lower, block_count, chunks, mix, per_text, shared, text_bytes
 from statweave.plans.staging import stage_table
 
 DEPTH = 5
@@ -363,11 +363,14 @@ def _block_scores(schema, others: list[str], train_tokens: int, vocabulary: int)
 def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> tuple[DataFrame, int]:
     """``docs`` without ``text``, with _tokens, _known, _base and _score, and the number of training tokens.
 
-    Rows where ``held_out`` is true (not null) are left out of the training counts.
+    Rows where ``held_out`` is true (not null) are left out of the training counts. Callers'
+    columns may have any name but the four of the result.
     """
-    others = [c for c in docs.columns if c != text]
-    lower = F.coalesce(text_bytes(ascii_lower(F.col(text).cast("string"))), F.lit(b""))
-    source = docs.select(*others, F.coalesce(held_out, F.lit(False)).alias("held_out_"), lower.alias("lower"))
+    kept = [c for c in docs.columns if c != text]
+    own = Renamed(docs.withColumn("held_out_", F.coalesce(held_out, F.lit(False))))
+    others, docs = [own.name(c) for c in kept], own.df
+    lower = F.coalesce(text_bytes(ascii_lower(F.col(own.name(text)).cast("string"))), F.lit(b""))
+    source = docs.select(*others, F.col(own.name("held_out_")).alias("held_out_"), lower.alias("lower"))
     blocks = block_count(source, "lower")
     salted = source.withColumn("block", F.pmod(F.xxhash64("lower", *others), F.lit(blocks)))
     inputs = salted.select("block", "lower", F.col("held_out_").alias("held_out"))
@@ -390,7 +393,7 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> tuple[
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _block_scores(schema, others, int(totals[0]), int(totals[1])), schema
     )
-    return scored, int(totals[0])
+    return scored.toDF(*kept, "_tokens", "_known", "_base", "_score"), int(totals[0])
 
 
 def score_report(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,13 +79,14 @@ def packed(
     lengths: DataFrame, key: str = "doc_id", tokens: str = "_tokens", max_tokens: int = 2048, buckets: int = 12, budget: int = 65_536
 ) -> DataFrame:
     """One row per piece: key, piece, start, length, bucket_length, batch (numbered per bucket)."""
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(tokens) - 1) / max_tokens))
+    rows = lengths.select(F.col(key).alias("_key"), F.col(tokens).alias("_tokens"))
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_tokens") - 1) / max_tokens))
     cut = stage_table(
-        lengths.select(key, tokens, F.explode(pieces).alias("piece")).select(
-            key,
+        rows.select("_key", "_tokens", F.explode(pieces).alias("piece")).select(
+            "_key",
             "piece",
             (F.col("piece") * max_tokens).alias("start"),
-            F.least(F.lit(max_tokens).cast("bigint"), F.col(tokens) - F.col("piece") * max_tokens).alias("length"),
+            F.least(F.lit(max_tokens).cast("bigint"), F.col("_tokens") - F.col("piece") * max_tokens).alias("length"),
         )
     )
     histogram = cut.groupBy("length").count().collect()
@@ -97,16 +98,16 @@ def packed(
         bucket = F.when(F.col("length") <= high, F.lit(high).cast("bigint")).otherwise(bucket)
         slots = F.when(F.col("length") <= high, F.lit(math.ceil(rows / SLOT_ROWS))).otherwise(slots)
     placed = cut.withColumns(
-        {"bucket_length": bucket, "slot": F.pmod(F.xxhash64(key, "piece"), slots.cast("bigint"))}
+        {"bucket_length": bucket, "slot": F.pmod(F.xxhash64("_key", "piece"), slots.cast("bigint"))}
     )
     totals = placed.groupBy("bucket_length", "slot").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("bucket_length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("bucket_length", "slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("bucket_length", "slot").orderBy(key, "piece")
+    inside = Window.partitionBy("bucket_length", "slot").orderBy("_key", "piece")
     numbered = placed.withColumn("at", F.row_number().over(inside)).join(offsets, ["bucket_length", "slot"])
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("bucket_length")))
     return numbered.select(
-        key,
+        F.col("_key").alias(key),
         "piece",
         "start",
         "length",

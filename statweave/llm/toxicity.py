@@ -12,7 +12,8 @@ the order of a hash, of at most ``max_chars`` characters each. Every text is sco
 
 Null and empty texts score like a window without words: the bias alone. Repeated rows score
 alike; an empty table gives no rows. Without labels of both kinds every score is the share
-of toxic labels (0 without labels). Labels that disagree on one key count as toxic.
+of toxic labels (0 without labels). Labels that disagree on one key count as toxic; equal
+hashes in the sample are ordered by key. Texts of any length are scored whole, in chunks.
 """
 
 from __future__ import annotations
@@ -284,10 +285,12 @@ def train(
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with ``_score``."""
-    others = [c for c in docs.columns if c != text]
-    source = docs.select(*others, text_bytes(F.lower(F.col(text).cast("string"))).alias("_lower"))
-    schema = docs.select(*others, F.lit(0.0).alias("_score")).schema
+    """``docs`` without ``text``, with ``_score``; a caller's column of that name is replaced."""
+    own = Renamed(docs)
+    names = [c for c in own.names if c not in (text, "_score")]
+    others = [own.name(c) for c in names]
+    source = own.df.select(*others, text_bytes(F.lower(F.col(own.name(text)).cast("string"))).alias("_lower"))
+    schema = own.df.select(*others, F.lit(0.0).alias("_score")).schema
     shared = docs.sparkSession.sparkContext.broadcast((model.projected, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +312,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(result)], names=[f.name for f in schema])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*names, "_score")
 
 
 def remove_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:

@@ -510,3 +510,15 @@ def test_words_are_cut_where_the_tokenizer_cuts():
     at = np.cumsum(sizes) - sizes
     for t, a, n in zip(texts, at.tolist(), sizes.tolist()):
         assert ids[a : a + n].tolist() == [*whole.encode(t, add_special_tokens=False).ids, 1], repr(t)
+
+
+def test_clashing_column_names(spark):
+    rows = [(i, f"word{i % 3} again and again {i}", 1, 2, 3.0, "l") for i in range(12)] + [(50, None, 1, 2, 3.0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, block int, _tokens int, _score double, lower string")
+    scored, _ = context_tree.score_texts(df.withColumnRenamed("_tokens", "_row").withColumnRenamed("_score", "shard"), F.col("doc_id") % 2 == 0)
+    assert scored.columns == ["doc_id", "block", "_row", "shard", "lower", "_tokens", "_known", "_base", "_score"] and scored.count() == 13
+    toxic = toxicity.scored(df, toxicity.Model(np.zeros(toxicity.BUCKETS), 0.0))
+    assert toxic.columns == ["doc_id", "block", "_tokens", "lower", "_score"] and {r._score for r in toxic.collect()} == {0.5}
+    lengths = spark.createDataFrame([(i, 10 * i + 1) for i in range(30)], "length long, piece long")
+    out = packing.packed(lengths, key="length", tokens="piece", max_tokens=64)
+    assert out.columns[0] == "length" and out.count() == sum(-(-(10 * i + 1) // 64) for i in range(30))
