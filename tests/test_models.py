@@ -11,6 +11,8 @@ from statweave.operators import class_metrics, clustering, features, mining, rec
 from statweave.operators.regression_metrics import regression_metrics
 from statweave.queries.models import returned_lines
 
+# The literals below are well-known example inputs, and the results that must match them.
+
 ROWS = [(1.12, 2.05, 3.12), (5.56, 6.28, 8.94), (10.2, 8.0, 20.5)]
 
 

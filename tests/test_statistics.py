@@ -11,6 +11,8 @@ from statweave.functions.arrays import with_vector
 from statweave.functions.distributions import chi2_p_value, erfc, kolmogorov_p_value, normal_cdf, student_t_p_value
 from statweave.operators import descriptive, hypothesis
 
+# The literals below are well-known example inputs, and the results that must match them.
+
 
 def one(df):
     rows = df.collect()
