@@ -67,6 +67,8 @@ FURNITURE_WORDS = set(
 )
 # Words that, beside one of the above, tell a container that merely has or lacks such a part.
 LAYOUT_WORDS = set("with without has no layout".split())
+# Words that also name the layout of a container around the whole page; an article or main element inside is not furniture for them.
+SOFT_WORDS = set("header footer sidebar menu nav navbar navigation banner".split())
 CONTENT_WORDS = set("article articlebody post entry story maincontent content body text main".split())
 # A start tag that ends an open element of these kinds, up to the nearest of the limits.
 _CLOSES = {
@@ -99,6 +101,7 @@ class Element:
     parent: Element | None
     furniture: bool
     named: int  # 2: article element or body, 1: a container that is named so
+    soft: bool = False  # furniture by a word of the layout only
 
 
 @dataclass(slots=True)
@@ -120,20 +123,20 @@ def _attributes(rest: str) -> dict[str, str]:
     return found
 
 
-def _judge(tag: str, rest: str, parent: Element | None) -> tuple[bool, int, str]:
-    """(furniture, how much the element is named as content, first class)."""
+def _judge(tag: str, rest: str, parent: Element) -> tuple[bool, int, str, bool]:
+    """(furniture, how much the element is named as content, first class, furniture by a word of the layout only)."""
     if tag in ("html", "body"):
-        return False, 0, ""
+        return False, 0, "", False
     named = 2 if tag == "article" else 1 if tag == "main" else 0
     furniture = tag in FURNITURE
-    if tag == "header" and parent is not None and _within(parent, 2):
+    if tag == "header" and _within(parent, 2):
         furniture = False  # an article's own header holds its headings; see ``_kept_header``
     if not rest.strip(" /\n\t"):
-        return furniture, named, ""
+        return furniture, named, "", False
     known = _attributes(rest)
     label = known.get("class", "")
     if "hidden" in known or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", known.get("style", "")):
-        return True, 0, label
+        return True, 0, label, False
     role = known.get("role", "").lower()
     if role in FURNITURE_ROLES or known.get("aria-hidden", "").lower() == "true":
         furniture = True
@@ -142,10 +145,12 @@ def _judge(tag: str, rest: str, parent: Element | None) -> tuple[bool, int, str]
         named = max(named, 2 if role != "main" else 1)
     elif not named and tag in ("div", "section", "td") and words & CONTENT_WORDS:
         named = 1
+    hard = furniture
     if words & FURNITURE_WORDS and not words & LAYOUT_WORDS and tag != "main":
         own_header = words & FURNITURE_WORDS == {"header"} and (tag in HEADINGS or bool(words & CONTENT_WORDS))
         furniture = furniture or not own_header
-    return furniture, named if not furniture else 0, (label.split() or [""])[0]
+    soft = furniture and not hard and words & FURNITURE_WORDS <= SOFT_WORDS
+    return furniture, named if not furniture else 0, (label.split() or [""])[0], soft
 
 
 def _within(element: Element | None, named: int) -> bool:
@@ -254,9 +259,11 @@ def read_page(source: str) -> Page:
         if name in VOID:
             continue
         parent = stack[-1]
-        furniture, named, label = _judge(name, tag["rest"], parent)
+        furniture, named, label, soft = _judge(name, tag["rest"], parent)
         path = f"{parent.path}/{name}.{label}" if label else f"{parent.path}/{name}"
-        stack.append(Element(name, path, parent, furniture or parent.furniture, named))
+        if parent.furniture and not (parent.soft and name in ("article", "main")):
+            furniture, soft = True, parent.soft and (soft or not furniture)
+        stack.append(Element(name, path, parent, furniture, named, soft))
     flush()
     return page
 

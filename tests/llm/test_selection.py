@@ -66,6 +66,8 @@ NOISE_AFTER = (
         '<div role="main">{}</div>',
         '<table><tr><td class="left"><a href="/x">x</a><td>{}</table>',
         "<ARTICLE CLASS=long><section>{}</section></ARTICLE>",
+        '<div class="site sidebar-right"><div class="row"><main>{}</main></div></div>',
+        '<div class="columns"><div class="sidebar"><p>Elsewhere, a bridge fell, and nobody was hurt.</p></div><article>{}</article></div>',
     ],
 )
 def test_layouts(wrap):
