@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from statweave.operators import clustering, recommendation, sampling, supervised
 from statweave.operators.penalised_logistic import fit_penalised_logistic
-from statweave.queries.models import part_ratings
-from statweave.queries.registry import query, rounded
+from statweave.plans.staging import stage_table
+from statweave.queries.models import part_ratings, stump_rows
+from statweave.queries.registry import query, rounded, scratch
 from statweave.sources.tables import spread, table
 
 RANK, REG = 10, 0.01
@@ -154,3 +157,72 @@ def stratified_bounds(spark, sf):
 
 def _within(counts, rate):
     return counts.withColumn("within", F.abs(F.col("k") - F.col("n") * rate) <= 6 * F.sqrt(F.col("n") * rate * (1 - rate)))
+
+
+TREES = 3
+_LEAVES = f"SELECT unnest(range(0, {TREES}))::INTEGER AS tree_id, (SELECT count(*) FROM lineitem) AS n, 0::BIGINT AS off"
+
+
+def _leaf_rows(spark, model, rows, name):
+    """``id, tree_id, leaf, label, p``: where each row ends in each tree, by the saved nodes, and the leaf's prediction."""
+    nodes = supervised.tree_nodes(model, scratch(spark, name), rows).where("left_child < 0")
+    order = Window.partitionBy("tree_id").orderBy("node_id")
+    leaves = nodes.select("tree_id", (F.row_number().over(order) - 1).alias("leaf"), F.col("prediction").alias("p"))
+    scored = model.setLeafCol("_leaf").transform(supervised.with_vector(rows, "features"))
+    ends = scored.select("id", "label", F.posexplode(vector_to_array("_leaf")).alias("tree_id", "_at"))
+    return ends.select("id", "label", "tree_id", F.col("_at").cast("int").alias("leaf")).join(F.broadcast(leaves), ["tree_id", "leaf"])
+
+
+def _leaf_report(rows, target):
+    """Rows and leaves whose prediction is not the mean of ``target``, per tree."""
+    leaves = rows.groupBy("tree_id", "leaf").agg(F.count("*").alias("c"), F.avg(target).alias("m"), F.first("p").alias("p"))
+    return leaves.groupBy("tree_id").agg(F.sum("c").alias("n"), F.count_if(F.abs(F.col("m") - F.col("p")) > 1e-9).alias("off"))
+
+
+def _numbered_rows(spark, sf, label):
+    return stage_table(stump_rows(spark, sf, label).withColumn("id", F.monotonically_increasing_id()))
+
+
+@query("forest_leaf_means", _LEAVES)
+def forest_leaf_means(spark, sf):
+    """Trees without resampling: every leaf of every tree predicts the mean label of the rows that end in it."""
+    rows = _numbered_rows(spark, sf, F.col("l_quantity") / 10)
+    model = supervised.fit_forest_regressor(rows, TREES, bootstrap=False)
+    return _leaf_report(_leaf_rows(spark, model, rows, "leaves"), F.col("label"))
+
+
+@query("forest_leaf_majorities", _LEAVES)
+def forest_leaf_majorities(spark, sf):
+    """Every leaf of a classifying forest predicts the label that most of its rows have."""
+    rows = _numbered_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    ends = _leaf_rows(spark, supervised.fit_forest_classifier(rows, TREES, bootstrap=False), rows, "leaves")
+    leaves = ends.groupBy("tree_id", "leaf").agg(F.count("*").alias("c"), F.avg("label").alias("m"), F.first("p").alias("p"))
+    wrong = ((F.col("p") == 1) & (F.col("m") < 0.5)) | ((F.col("p") == 0) & (F.col("m") > 0.5))
+    return leaves.groupBy("tree_id").agg(F.sum("c").alias("n"), F.count_if(wrong).alias("off"))
+
+
+def _boosted(ends, y, rest):
+    """Each tree's rows with the target it was fitted to: the label, then what the trees before it leave."""
+    trees = ends.groupBy("id").agg(F.first(y).alias("y"), F.array_sort(F.collect_list(F.struct("tree_id", "leaf", "p"))).alias("t"))
+    sums = [F.lit(0.0)]
+    for i in range(TREES):
+        sums.append(sums[-1] + F.get("t", F.lit(i))["p"] * (1.0 if i == 0 else 0.1))
+    targets = [F.col("y")] + [rest(F.col("y"), sums[i]) for i in range(1, TREES)]
+    return trees.select(F.inline(F.zip_with("t", F.array(*targets), lambda t, x: F.struct(t["tree_id"].alias("tree_id"), t["leaf"].alias("leaf"), t["p"].alias("p"), x.alias("x")))))
+
+
+@query("boosted_leaf_means", _LEAVES)
+def boosted_leaf_means(spark, sf):
+    """Every leaf of every boosted tree predicts the mean of the gradient that the trees before it leave."""
+    rows = _numbered_rows(spark, sf, F.col("l_quantity") / 10)
+    ends = _leaf_rows(spark, supervised.fit_boosted_regressor(rows, TREES), rows, "leaves")
+    return _leaf_report(_boosted(ends, F.col("label"), lambda y, f: 2 * (y - f)), F.col("x"))
+
+
+@query("boosted_class_leaf_means", _LEAVES)
+def boosted_class_leaf_means(spark, sf):
+    """The same for the logistic loss over labels −1 and 1."""
+    rows = _numbered_rows(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    ends = _leaf_rows(spark, supervised.fit_boosted_classifier(rows, TREES), rows, "leaves")
+    signed = _boosted(ends, 2 * F.col("label") - 1, lambda y, f: 4 * y / (1 + F.exp(2 * y * f)))
+    return _leaf_report(signed, F.col("x"))
