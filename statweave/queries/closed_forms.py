@@ -59,7 +59,7 @@ def svm_margin(spark, sf):
     c = lines.agg(F.avg("l_quantity")).first()[0]
     label = (F.col("l_linestatus") == "F").cast("double")
     rows = spread(lines.select("l_linestatus")).select(label.alias("label"), F.array(F.when(label == 1, c).otherwise(-c)).alias("features"))
-    model = supervised.fit_linear_svm(rows, 40)
+    model = supervised.fit_linear_svm(rows, 10)
     return rounded(spark.createDataFrame([(float(model.coefficients[0]),)], "weight double"), 3)
 
 
