@@ -11,7 +11,7 @@ from statweave.sources.tables import table
 
 def test_names():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 @pytest.fixture(scope="module")
