@@ -137,6 +137,7 @@ def features(value: Column, before: Column, after: Column, path: Column) -> dict
     }
 
 
+FEW = 30
 SPAN = 128  # entries of a block of the running sum of lengths
 LEAST = 6  # characters of the shortest candidate
 
@@ -218,15 +219,21 @@ def seed_labels(value: Column, f: Column) -> Column:
 def fit_forest(labelled: DataFrame, trees: int = 15, depth: int = 5, seed: int = 7):
     """A function from a feature struct to the mean leaf probability; None with one label only.
 
-    ``labelled`` has the columns of FEATURES and ``label``.
+    ``labelled`` has the columns of FEATURES and ``label``. Both labels weigh the same, so
+    that a few distinct secrets are not outvoted by many kinds of false findings. With fewer
+    than ``FEW`` findings of a label the trees differ by their features only, since resampled
+    rows would leave many trees without that label.
     """
     data = labelled.select(
         array_to_vector(F.array(*[F.col(n).cast("double") for n in FEATURES])).alias("_v"),
         F.col("label").cast("double").alias("_l"),
     )
-    if data.agg(F.count_distinct("_l")).first()[0] < 2:
+    many = {r["_l"]: r["count"] for r in data.groupBy("_l").count().collect()}
+    if len(many) < 2:
         return None
-    model = RandomForestClassifier(featuresCol="_v", labelCol="_l", numTrees=trees, maxDepth=depth, seed=seed).fit(data)
+    weight = F.when(F.col("_l") == 1, sum(many.values()) / (2 * many.get(1.0, 1))).otherwise(sum(many.values()) / (2 * many.get(0.0, 1)))
+    estimator = RandomForestClassifier(featuresCol="_v", labelCol="_l", weightCol="_w", numTrees=trees, maxDepth=depth, seed=seed, bootstrap=min(many.values()) >= FEW)
+    model = estimator.fit(data.withColumn("_w", weight))
 
     def read(node) -> tuple:
         if node.numDescendants() == 0:
