@@ -86,13 +86,18 @@ def global_prefix_sum(
     return running_totals(totals, key, names, descending, buckets)
 
 
-def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2 … in the order of the unique column ``key``; equal keys are an error."""
+def row_index(df: DataFrame, key: str, name: str = "row_index", buckets: int | None = None, unique: bool = True) -> DataFrame:
+    """Number the rows 0, 1, 2 … in the order of the column ``key``.
+
+    Equal keys are an error; with ``unique=False`` they get consecutive numbers in no given
+    order. Rows of one key meet in one window, so a key with many rows should go on to a
+    column that tells them apart (a struct of both).
+    """
     tagged = bucketed(df, key, buckets)
     offsets = offset_buckets(tagged.withColumn("_one", F.lit(1).cast("bigint")), ["_one"])
     within = Window.partitionBy("_bucket").orderBy(key)
     joined = tagged.join(F.broadcast(offsets), "_bucket")
     place = F.col("_off__one") + F.row_number().over(within) - 1
     twice = F.raise_error(F.lit(f"{key} is not unique")).cast("bigint")
-    number = F.when(F.col(key) == F.lag(key).over(within), twice).otherwise(place)
+    number = F.when(F.col(key) == F.lag(key).over(within), twice).otherwise(place) if unique else place
     return joined.withColumn(name, number).select(*df.columns, name)

@@ -56,8 +56,10 @@ def first_row(spark, sf):
 
 @query("row_index", "SELECT event_id, row_number() OVER (ORDER BY epoch_us(ts)) - 1 AS row_index FROM events")
 def indexed_events(spark, sf):
-    timed = table(spark, sf, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
-    return row_index(timed, "micros").select("event_id", "row_index")
+    """Numbers in the order of time; events of the same microsecond go by their id."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
+    timed = table(spark, sf, "events").select("event_id", F.struct(micros, "event_id").alias("place"))
+    return row_index(timed, "place", unique=False).select("event_id", "row_index")
 
 
 @query(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statweave.operators import relational, sampling
 from statweave.plans.prefix_sum import global_prefix_sum, row_index
 from statweave.plans.staging import ensure_checkpoint_dir, is_small, persisted
+from statweave.queries.catalog import QUERIES
 
 
 def hot_rows(n=3000, seed=1):
@@ -142,3 +143,11 @@ def test_swap_and_first(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     assert relational.swap(df, "x", "y").columns == ["y", "x"]
     assert relational.first_row(spark.range(10)).count() == 1
+
+
+def test_row_index_of_events_at_the_same_time(spark, tmp_path):
+    rows = [(9, 5), (1, 5), (4, 3), (4, 3), (2, 8)]
+    events = spark.createDataFrame(rows, "event_id bigint, s int").select("event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["row_index"](spark, str(tmp_path)).collect())
+    assert got == [(1, 2), (2, 4), (4, 0), (4, 1), (9, 3)]
