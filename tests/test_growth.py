@@ -8,9 +8,10 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import functions as F
 
-from statweave.operators import descriptive, mining, pooled_isotonic, recommendation, supervised
+from statweave.operators import descriptive, mining, pooled_isotonic, recommendation, sequence_growth, supervised
 from statweave.operators.hypothesis import welch_test
 from statweave.operators.kernel_table import error_bound, kernel_density_table
 from statweave.operators.power_iteration import power_iteration_steps
@@ -34,6 +35,19 @@ def test_grown_patterns_equal_prefixspan(spark, support, length):
     assert found == as_sets(mining.sequential_patterns(df, support, length)) and len(found) >= (4 if support < 0.9 else 1)
 
 
+@pytest.mark.parametrize("support, length", [(0.5, 5), (0.15, 4)])
+def test_patterns_of_blocks_equal_the_library(spark, support, length, monkeypatch):
+    for name, value in {"BLOCK": 7, "BLOCKS": 1, "CHUNK": 60, "PASS": 1}.items():
+        monkeypatch.setattr(sequence_growth, name, value)
+    rng = random.Random(length)
+    days = lambda n: [sorted(rng.sample("abcd", rng.randrange(1, 4))) for _ in range(n)]
+    rows = [(days(rng.randrange(1, 6)),) for _ in range(40)] + [(days(70),), (None,)]
+    df = spark.createDataFrame(rows, "sequence array<array<string>>").repartition(3)
+    library = PrefixSpan(minSupport=support, maxPatternLength=length).findFrequentSequentialPatterns(df)
+    found = as_sets(mining.sequential_patterns(df, support, length))
+    assert found == as_sets(library) and len(found) > 10
+
+
 def test_grown_patterns_of_odd_rows(spark):
     rows = [([[1, 1, None], None, [2]],), (None,), ([],), ([[1], [2]],)]
     df = spark.createDataFrame(rows, "sequence array<array<int>>")
@@ -281,3 +295,67 @@ def test_topic_tables_equal_plain_updates(spark, split):
     assert topics.groupBy("topic").agg(F.sum("weight").alias("w")).where("abs(w - 1) > 1e-9").count() == 0
     none = fit_topic_tables(df.where("doc IS NULL"), 2, 1)
     assert none[0].count() == none[1].count() == 0
+
+
+def test_rules_mine_the_baskets_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(items):
+        seen.add(1)
+        return items
+
+    baskets = spark.createDataFrame([(["a", "b"],)] * 6 + [(["a"],)] * 4, "items array<string>")
+    baskets = baskets.select(F.udf(mark, "array<string>")("items").alias("items"))
+    found = mining.rules_from_itemsets(mining.frequent_itemsets(mining.fit_fp_growth(baskets, 0.2)), 0.5).collect()
+    assert {(r.antecedent[0], r.confidence) for r in found} == {("a", 0.6), ("b", 1.0)} and seen.value == 10
+
+
+def test_density_never_broadcasts_the_points(spark, tmp_path):
+    spark.range(300).select("id", (F.col("id") / 10).alias("y")).write.parquet(str(tmp_path / "points"))
+    spark.range(20_000).select((F.col("id") % 97 / 3).alias("x"), F.uuid().alias("other")).write.parquet(str(tmp_path / "samples"))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    found = kernel_density_table(read("samples"), "x", read("points"), "y", 2.0)
+    assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 300
+
+
+def test_rank_matrix_of_few_values_moves_no_row(spark):
+    df = spark.range(500).select((F.col("id") % 7).alias("a"), (F.col("id") % 5 * 2.5).alias("b"), (F.col("id") % 3).alias("c"))
+    matrix = descriptive.correlation_matrix(df, ["a", "b", "c"], "spearman")
+    plan = matrix._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert {(r.i, r.j): r.r for r in matrix.collect()}["a", "a"] == 1.0
+
+
+def test_recommendation_equals_the_library(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(u), int(i), float((u * 7 + i * 3) % 11)) for u in range(60) for i in range(900) if rng.random() < 0.2]
+    model = recommendation.fit_als(spark.createDataFrame(rows, "user int, item int, rating double"), rank=4, iterations=3)
+    theirs = {r.user: [x.rating for x in r.recommendations] for r in model.recommendForAllUsers(5).collect()}
+    mine = recommendation.recommend(model, 5)
+    assert [t for _, t in mine.dtypes] == ["int", "int", "int", "double"]
+    assert mine.count() == 5 * len(theirs)
+    got = {(r.user, r["rank"]): r.rating for r in mine.collect()}
+    assert all(abs(got[u, p + 1] - x) < 1e-4 for u, xs in theirs.items() for p, x in enumerate(xs))
+
+
+def test_items_of_other_directions_are_left_out(spark):
+    """Equal norms leave the norms nothing to cut; centres and radii of blocks do."""
+    rng = np.random.default_rng(5)
+    angle = rng.uniform(0, 2 * np.pi, 6000)
+    items = np.column_stack([np.cos(angle), np.sin(angle)])
+    table = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>")
+    found = recommendation.search_top_items(table(items[:40]), table(items), 5).collect()
+    product = items[:40] @ items.T
+    assert all(np.allclose(r.ratings, np.sort(product[r.user])[::-1][:5]) for r in found) and len(found) == 40
+    assert sum(r.pairs for r in found) < 0.8 * 40 * 6000
+
+
+def test_fewer_item_blocks_give_the_same_factors(spark, monkeypatch):
+    rows = [(u, i, float((u * 7 + i * 3) % 11)) for u in range(40) for i in range(60) if (u + i) % 3 == 0]
+    df = spark.createDataFrame(rows, "user int, item int, rating double")
+    assert recommendation.ITEM_BLOCKS < 10
+    few = {r.id: r.features for r in recommendation.user_factors(recommendation.fit_als(df, 4, 3)).collect()}
+    monkeypatch.setattr(recommendation, "ITEM_BLOCKS", 10)
+    many = {r.id: r.features for r in recommendation.user_factors(recommendation.fit_als(df, 4, 3)).collect()}
+    assert few.keys() == many.keys() and all(np.allclose(few[k], many[k], atol=1e-3) for k in few)
