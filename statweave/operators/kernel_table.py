@@ -19,6 +19,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statweave.plans.staging import is_small, stage_table
+
 CELL, REACH, ORDER = 0.5, 8.0, 14
 
 
@@ -42,6 +44,9 @@ def kernel_density_table(
     placed = given.withColumn("_cell", number(F.col("_x"))).withColumn("_s", (F.col("_x") - middle(F.col("_cell"))) / h)
     cells = placed.groupBy("_cell").agg(*[F.sum(F.pow("_s", F.lit(float(k)))).alias(f"_m{k}") for k in range(order)])
     total = given.agg(F.count("*").alias("n")).first()["n"]
+    cells = stage_table(cells)
+    # points are many rows of few bytes in their file, and 2 · REACH / CELL + 1 times as many here: never the broadcast side
+    cells = F.broadcast(cells) if is_small(cells) else cells.hint("merge")
     numbered = points.withColumn("_id", F.monotonically_increasing_id()).withColumn("_y", F.col(point).cast("double"))
     steps = math.ceil(reach / cell)
     near = numbered.select("_id", "_y", F.explode(F.sequence(number(F.col("_y")) - steps, number(F.col("_y")) + steps)).alias("_cell"))
