@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from statweave.functions.arrays import with_vector
 from statweave.plans.prefix_sum import key_totals, running_totals
-from statweave.plans.staging import stage_table
+from statweave.plans.staging import broadcast_if_small, stage_table
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     df = df.dropna(subset=list(columns))
     if method == "spearman":
         sums = {(i, j): _rank_correlation(i, j) for i, j in combinations(columns, 2)}
-        return rank_rows(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
+        return average_ranks(df, columns).agg(_pair_rows(sums, columns).alias("m")).select(F.inline("m"))
     pairs = {(i, j): _correlation(i, j) for i, j in combinations(columns, 2)}
     return df.agg(_pair_rows(pairs, columns).alias("m")).select(F.inline("m"))
 
@@ -92,15 +92,15 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Ties share their average rank, and the mean rank is subtracted so that later
     sums of squares keep their precision. Each column is ranked over its distinct
-    values. Spark broadcasts a rank table whose measured size is small; else the join
-    shuffles and adaptive execution splits a hot value's partition.
+    values; a rank table counted to be small is broadcast, so that a column of few values
+    moves no row. Else the join shuffles and adaptive execution splits a hot value's partition.
     """
     rows = df.select(*columns).dropna()
     ranked = rows
     for c in columns:
         running = running_totals(key_totals(rows, c, {"n": F.lit(1).cast("bigint")}), c, ["n"])
         middle = F.col("cum_n") - (F.col("n") - 1) / 2.0 - (F.col("total_n") + 1) / 2.0
-        ranked = ranked.join(running.select(c, middle.alias(f"_rank_{c}")), c)
+        ranked = ranked.join(broadcast_if_small(stage_table(running.select(c, middle.alias(f"_rank_{c}")))), c)
     return ranked
 
 
