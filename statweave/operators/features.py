@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, ElementwiseProduct, PCAModel
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -69,7 +69,7 @@ def matrix_product(df: DataFrame, local: np.ndarray, features: str = "features",
     """Each row vector times a local d×k matrix, as ``ARRAY<DOUBLE>``.
 
     A small matrix is written out as JVM expressions; a larger one is applied to
-    whole Arrow batches, where one matrix product does the work of many interpreted
+    whole Arrow batches, buffer to buffer without an object per row, where one matrix product does the work of many interpreted
     array functions. A null vector has a null product.
     """
     values, matrix = as_array(df, features), np.asarray(local, dtype=float)
@@ -77,10 +77,13 @@ def matrix_product(df: DataFrame, local: np.ndarray, features: str = "features",
         products = F.array(*[dot(values, literal_array(column)) for column in matrix.T])
         return df.withColumn(output, F.when(values.isNotNull(), products))
 
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def multiply(rows: pd.Series) -> pd.Series:
-        block = [np.zeros(len(matrix)) if r is None else r for r in rows]
-        return pd.Series(list(np.stack(block) @ matrix) if len(rows) else [])
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def multiply(rows: pa.Array) -> pa.Array:
+        block = np.zeros((len(rows), len(matrix)))
+        given = rows.is_valid().to_numpy(zero_copy_only=False)
+        block[given] = rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(matrix))
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * matrix.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array((block @ matrix).reshape(-1)))
 
     return df.withColumn(output, F.when(values.isNotNull(), multiply(values)))
 

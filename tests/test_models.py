@@ -238,3 +238,13 @@ def test_tree_nodes(spark, lines, tmp_path):
     forest = supervised.fit_forest_classifier(lines, trees=3, depth=2)
     nodes = supervised.tree_nodes(forest, str(tmp_path / "forest"), lines).collect()
     assert {n.tree_id for n in nodes} == {0, 1, 2} and len(nodes) == forest.totalNumNodes
+
+
+def test_matrix_product_goes_from_buffer_to_buffer(spark):
+    rng = np.random.default_rng(2)
+    rows, local = rng.normal(size=(50, 40)), rng.normal(size=(40, 9))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)] + [(99, None)], "id int, features array<double>")
+    product = features.matrix_product(df, local)
+    assert "ArrowEvalPython" in product._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r["product"] for r in product.collect()}
+    assert got[99] is None and np.allclose([got[i] for i in range(50)], rows @ local)
