@@ -17,13 +17,14 @@ RANK, REG = 10, 0.01
 
 
 def _factors(model):
-    users = recommendation.user_factors(model).select(F.col("id").alias("user"), F.col("features").alias("u"))
-    items = recommendation.item_factors(model).select(F.col("id").alias("item"), F.col("features").alias("v"))
+    """The factors in the model's single precision: half the bytes where a row travels with its vector."""
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("v"))
     return users, items
 
 
 def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
 
 
 _PAIRS = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
@@ -34,7 +35,7 @@ def als_stationary(spark, sf):
     """The last half step solves every user's normal equations: Σ (u·v − r)·v + reg·n·u is 0 up to single precision."""
     ratings = part_ratings(spark, sf)
     users, items = _factors(recommendation.fit_als(ratings, RANK, 10, REG))
-    rows = ratings.join(items, "item").join(users, "user").withColumn("e", _dot("u", "v") - F.col("rating"))
+    rows = ratings.join(items, "item").drop("item").join(users, "user").withColumn("e", _dot("u", "v") - F.col("rating"))
     left = [F.sum(F.col("e") * F.get("v", F.lit(j)) + REG * F.get("u", F.lit(j))).alias(f"g{j}") for j in range(RANK)]
     size = [F.sum(F.abs(F.col("rating") * F.get("v", F.lit(j)))).alias(f"s{j}") for j in range(RANK)]
     worst = F.greatest(*[F.abs(F.col(f"g{j}")) / (F.col(f"s{j}") + 1) for j in range(RANK)])
@@ -47,7 +48,8 @@ def als_predictions(spark, sf):
     ratings = part_ratings(spark, sf)
     model = recommendation.fit_als(ratings, RANK, 10, REG)
     users, items = _factors(model)
-    both = recommendation.predict_ratings(model, ratings).join(items, "item").join(users, "user")
+    predicted = recommendation.predict_ratings(model, ratings.select("user", "item"))
+    both = predicted.join(items, "item").drop("item").join(users, "user")
     gap = F.abs(F.col("prediction") - _dot("u", "v"))
     return both.agg(F.count("*").alias("n"), F.count_if(gap > 1e-4).alias("off"))
 
