@@ -8,7 +8,8 @@ is that of its worst window, so a long text does not dilute one insult. Table an
 are trained together; see ``fit`` for how labels of texts become labels of windows.
 
 The fit reads a bounded sample of labelled rows: at most ``per_label`` texts of each label in
-the order of a hash, of at most ``max_chars`` characters each. Every text is scored whole.
+the order of a hash, of at most ``max_chars`` characters each. It runs in one task, so the
+driver meets the model only. Every text is scored whole.
 
 Null and empty texts score like a window without words: the bias alone. Repeated rows score
 alike; an empty table gives no rows. Without labels of both kinds every score is the share
@@ -141,6 +142,18 @@ class _Bags:
         return grams, per_text(many, size)
 
 
+def _run_sums(values: np.ndarray, index: np.ndarray, begin: np.ndarray, rows: int = 1 << 16) -> np.ndarray:
+    """Sums of ``values[index]`` over the runs of ``index`` that begin at ``begin``, some runs at a time."""
+    ends, first = np.append(begin[1:], len(index)), 0
+    out = np.empty((len(begin), values.shape[1]), values.dtype)
+    while first < len(begin):
+        last = max(first + 1, int(np.searchsorted(ends, begin[first] + rows, side="right")))
+        part = index[begin[first] : ends[last - 1]]
+        out[first:last] = np.add.reduceat(values[part], begin[first:last] - begin[first], axis=0)
+        first = last
+    return out
+
+
 def _descend(grams, sizes, target, table, weights, bias, steps: int, rate: float) -> None:
     """Joint descent of table and softmax on some windows, in place.
 
@@ -148,22 +161,23 @@ def _descend(grams, sizes, target, table, weights, bias, steps: int, rate: float
     the windows that ask for it and rare ones stay near zero.
     """
     used, local = np.unique(grams, return_inverse=True)
-    back = np.argsort(local, kind="stable")
-    windows_back = np.repeat(np.arange(len(sizes)), sizes)[back]
+    local = local.astype(np.int32)
+    windows_back = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[np.argsort(local, kind="stable")]
     filled = (np.cumsum(sizes) - sizes)[sizes > 0]
-    back_start = np.searchsorted(local[back], np.arange(len(used)))
+    many = np.bincount(local, minlength=len(used))
+    back_start = np.cumsum(many) - many
     count = np.maximum(sizes, LEAST_BAG)[:, None]
     weight = np.where(target == 1, 0.5 / max(target.sum(), 1), 0.5 / max((1 - target).sum(), 1))[:, None]
     own, moment = table[used], [0.0, 0.0, 0.0]
     for _ in range(steps):
-        summed = np.add.reduceat(own[local], filled, axis=0)
+        summed = _run_sums(own, local, filled)
         mean = np.zeros((len(sizes), DIM))
         mean[sizes > 0] = average(summed, sizes[sizes > 0, None])
         logits = mean @ weights + bias
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         wrong = (odds / odds.sum(axis=1, keepdims=True) - np.column_stack([1 - target, target])) * weight
         to_mean = (wrong @ weights.T) / count
-        gradients = (np.add.reduceat(to_mean.astype(np.float32)[windows_back], back_start, axis=0) + DECAY * own, mean.T @ wrong, wrong.sum(axis=0))
+        gradients = (_run_sums(to_mean.astype(np.float32), windows_back, back_start) + DECAY * own, mean.T @ wrong, wrong.sum(axis=0))
         for i, (value, gradient) in enumerate(zip((own, weights, bias), gradients)):
             moment[i] = 0.9 * moment[i] + gradient
             value -= rate * moment[i] / (np.sqrt(np.mean(moment[i] ** 2)) + 1e-9)
@@ -207,8 +221,8 @@ def fit(
         chosen = np.unique(np.concatenate([np.flatnonzero(marked), drawn, hard]))
         grams, sizes = bags.bag(chosen)
         keep = (bad + good)[grams] >= MIN_TEXTS
-        owner = np.repeat(np.arange(len(sizes)), sizes)[keep]
-        _descend(grams[keep], np.bincount(owner, minlength=len(sizes)), toxic_window[chosen].astype(float), table, weights, bias, steps, 0.05 / (1 + turn))
+        grams, sizes = grams[keep], per_text(keep.astype(np.int64), sizes)
+        _descend(grams, sizes, toxic_window[chosen].astype(float), table, weights, bias, steps, 0.05 / (1 + turn))
         values = bags.window_values(_projected(table, weights, bad + good))
         cut = float(np.quantile(values[clean], 0.999)) if len(clean) else 0.0
     projected = _projected(table, weights, bad + good)
@@ -240,8 +254,8 @@ def _calibrate(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, usable: Column, per_label: int, max_chars: int
-) -> tuple[list[bytes], np.ndarray, float]:
-    """Texts, their labels and the share of label 1 among all labelled rows.
+) -> tuple[DataFrame, float]:
+    """``_label, _text`` in one ordered partition, and the share of label 1 among all labelled rows.
 
     Keys are chosen first, from keys and labels alone; texts are then fetched for the at
     most ``2 * per_label`` chosen keys, so no text is shuffled to find the sample. A key
@@ -259,12 +273,8 @@ def labelled_sample(
     chosen = stage_table(parts[0].union(parts[1]).select("_key", "_label"))
     source = docs.where(usable & fits).select(F.col(key).alias("_key"), F.lower(text).cast("binary").alias("_text"))
     fetched = source.join(F.broadcast(chosen), "_key").groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
-    sample = fetched.orderBy("_label", F.xxhash64("_key"), "_key").toLocalIterator()  # at most 2 * per_label rows
-    texts, values = [], []
-    for row in sample:
-        texts.append(bytes(row["_text"]))
-        values.append(row["_label"])
-    return texts, np.array(values), counted.get(1, 0) / max(1, sum(counted.values()))
+    sample = fetched.repartition(1).sortWithinPartitions("_label", F.xxhash64("_key"), "_key")  # at most 2 * per_label rows
+    return sample.select("_label", "_text"), counted.get(1, 0) / max(1, sum(counted.values()))
 
 
 def train(
@@ -278,10 +288,21 @@ def train(
     max_chars: int = 50_000,
 ) -> Model:
     usable = F.lit(True) if usable is None else usable
-    texts, values, share = labelled_sample(docs, labels, label, key, text, usable, per_label, max_chars)
-    if len(set(values.tolist())) < 2:
+    sample, share = labelled_sample(docs, labels, label, key, text, usable, per_label, max_chars)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, values = [], []
+        for batch in batches:
+            values += batch.column(0).to_pylist()
+            texts += batch.column(1).to_pylist()
+        if len(set(values)) == 2:
+            model = fit(texts, np.array(values), share=share)
+            yield pa.RecordBatch.from_arrays([pa.array([model.projected.tobytes()], pa.binary()), pa.array([model.bias])], names=["projected", "bias"])
+
+    found = sample.mapInArrow(run, "projected binary, bias double").collect()
+    if not found:
         return Model(np.zeros(BUCKETS), np.log((share + 1e-6) / (1 - share + 1e-6)))
-    return fit(texts, values, share=share)
+    return Model(np.frombuffer(found[0]["projected"]), found[0]["bias"])
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -284,6 +285,18 @@ def test_toxicity_finds_unseen_spellings_and_short_or_odd_texts(spark):
     assert toxicity.remove_toxic(frame(spark, fresh).limit(0), model).count() == 0
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    texts, labels = toxic_rows(count=60)
+    known, fit = spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int"), toxicity.fit
+
+    def inside(*args, **options):
+        assert TaskContext.get() is not None, "the driver holds the texts"
+        return fit(*args, **options)
+
+    monkeypatch.setattr(toxicity, "fit", inside)
+    assert len(toxicity.train(frame(spark, texts), known).projected) == toxicity.BUCKETS
+
+
 def test_toxicity_without_both_labels(spark):
     texts, _ = toxic_rows(count=8)
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
