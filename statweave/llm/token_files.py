@@ -48,23 +48,22 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_pairs: int = MIN_PAIRS) -> tu
     rules, count, least = [], 0, None
     while len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
-        bins = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - BIN_BITS)).astype(np.int32)
-        bins[ends[:-1]] = 1 << BIN_BITS  # pairs that cross a document's end
+        bins = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - BIN_BITS)).astype(np.intp)
+        np.putmask(bins, ends[:-1], 1 << BIN_BITS)  # pairs that cross a document's end
         amount = np.bincount(bins, minlength=(1 << BIN_BITS) + 1)  # no pair occurs more often than its bin
         amount[1 << BIN_BITS] = 0
         top = int(amount.max()) // SHRINK
         least = max(min_pairs, top if least is None else min(top, least))
-        place = np.flatnonzero((amount >= least)[bins])
-        pair = left[place].astype(np.uint64) << np.uint64(32) | right[place]
-        order = np.argsort(pair, kind="stable")
-        ranked = pair[order]
-        start = np.flatnonzero(np.concatenate([np.ones(min(len(pair), 1), bool), ranked[1:] != ranked[:-1]]))
-        times = np.diff(start, append=len(pair))
+        place = np.flatnonzero((amount >= least).take(bins))
+        order, ranked, width = _ranked(left.take(place), right.take(place), base + count)
+        start = np.flatnonzero(np.concatenate([np.ones(min(len(place), 1), bool), ranked[1:] != ranked[:-1]]))
+        times = np.diff(start, append=len(place))
         often = times >= least
-        which = np.empty(len(pair), np.int64)
-        which[order] = np.repeat(np.where(often, np.cumsum(often) - 1, -1), times)
+        which = np.full(len(place), -1)
+        which[order[np.repeat(often, times)]] = np.repeat(np.arange(np.count_nonzero(often)), times[often])
         found = ranked[start[often]]
-        place, which = place[which >= 0], which[which >= 0]
+        hit = np.flatnonzero(which >= 0)
+        place, which = place.take(hit), which.take(hit)
         # of neighbouring candidates every second one is taken, from the left
         head = np.flatnonzero(np.diff(place, prepend=-2) != 1)
         run = np.repeat(head, np.diff(head, append=len(place)))
@@ -85,7 +84,7 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_pairs: int = MIN_PAIRS) -> tu
         keep[at + 1] = False
         ends[at] = ends[at + 1]
         symbols, ends = symbols[keep], ends[keep]
-        rules.append(np.column_stack([(found[chosen] >> np.uint64(32)).astype(np.uint32), found[chosen].astype(np.uint32)]))
+        rules.append(np.column_stack([(found[chosen] >> width).astype(np.uint32), (found[chosen] & ((np.uint64(1) << width) - np.uint64(1))).astype(np.uint32)]))
         count += len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     lengths = np.ones(len(table), np.uint32)
@@ -97,6 +96,22 @@ def repair(ids: np.ndarray, sizes: np.ndarray, min_pairs: int = MIN_PAIRS) -> tu
     return symbols, table, lengths, base
 
 
+def _ranked(left: np.ndarray, right: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """(order, pairs in it, bits of a pair's right half) of symbols up to ``top``; equal pairs in any order.
+
+    Pairs that leave room for their place in 64 bits are sorted with it, which is faster than ``argsort``.
+    """
+    bits, room = top.bit_length(), len(left).bit_length()
+    width = np.uint64(bits if 2 * bits + room <= 64 else 32)
+    pair = left.astype(np.uint64) << width | right
+    if width == 32:
+        order = np.argsort(pair)
+        return order, pair.take(order), width
+    pair = pair << np.uint64(room) | np.arange(len(pair), dtype=np.uint64)
+    pair.sort()
+    return (pair & np.uint64((1 << room) - 1)).astype(np.intp), pair >> np.uint64(room), width
+
+
 def _lengths(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     ruled = symbols >= base
     result = np.ones(len(symbols), np.uint32)
@@ -129,10 +144,13 @@ def pack_bits(values: np.ndarray, width: int) -> bytes:
 
 
 def unpack_bits(data: bytes, width: int, count: int) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little", count=width * count).reshape(count, width)
-    whole = np.zeros((count, 32), np.uint8)
-    whole[:, :width] = bits
-    return np.packbits(whole, axis=1, bitorder="little").view("<u4").reshape(-1)
+    groups = -(-count // 8)  # eight numbers fill ``width`` bytes
+    padded = data + bytes(groups * width - len(data) + 40)
+    out = np.empty((groups, 8), np.uint32)
+    for i in range(8):
+        windows = np.ndarray(groups, "<u8", padded, i * width >> 3, (width,))
+        out[:, i] = windows >> np.uint64(i * width & 7) & np.uint64((1 << width) - 1)
+    return out.reshape(-1)[:count]
 
 
 class ShardReader:

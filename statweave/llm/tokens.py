@@ -13,6 +13,7 @@ import os
 import re
 import sys
 import types
+from itertools import chain
 
 import numpy as np
 
@@ -20,9 +21,13 @@ from statweave.llm.base import WordTable, per_text
 
 MARK = "\x01"  # stands between words that are encoded in one call
 _LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
-ENDING = re.compile(rb"([!-&(-/:-@\[-`{-~])(?:(?<=[A-Za-z].)|(?<=" + _LATIN + rb".))")
 LETTERS = re.compile(rb"(?:[A-Za-z]|" + _LATIN + rb")+")
 OPENING = b"<|"
+# kinds of bytes: 1 letter, 2 mark, 3 first and 4 second byte of a Latin-1 letter
+KINDS = bytes(
+    1 if chr(b).isalpha() and b < 128 else 2 if 33 <= b < 127 and b != 39 and not chr(b).isalnum() else 3 if b == 0xC3
+    else 4 if 0x80 <= b <= 0xBF and b not in (0x97, 0xB7) else 0 for b in range(256)
+)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -35,9 +40,36 @@ def byte_alphabet() -> dict[int, str]:
 ALPHABET = byte_alphabet()
 
 
+def spaced(text: bytes) -> tuple[bytes, np.ndarray]:
+    """The text with a space between every letter and a mark behind it, and where those marks were."""
+    kind = np.frombuffer(text.translate(KINDS), np.uint8)
+    first = (kind[1:] == 2) & (kind[:-1] == 1)
+    if b"\xc3" in text:
+        first[1:] |= (kind[2:] == 2) & (kind[1:-1] == 4) & (kind[:-2] == 3)
+    at = np.flatnonzero(first)
+    if not len(at):
+        return text, at
+    result = np.full(len(kind) + len(at), 32, np.uint8)
+    own = np.ones(len(result), bool)
+    own[at + np.arange(1, len(at) + 1)] = False
+    result[own] = np.frombuffer(text, np.uint8)
+    return result.tobytes(), at
+
+
 def cut(text: bytes) -> list[bytes]:
     """The words of a text."""
-    return text.split() if OPENING in text else ENDING.sub(rb" \1", text).split()
+    return text.split() if OPENING in text else spaced(text)[0].split()
+
+
+def cut_all(texts: list[bytes]) -> list[list[bytes]]:
+    """The words of every text; those without an opening are spaced in one go."""
+    plain = [b"" if OPENING in t else t for t in texts]
+    joined, at = spaced(b"\n".join(plain))
+    sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+    start = np.cumsum(sizes + 1) - sizes - 1
+    first = (start + np.searchsorted(at, start)).tolist()
+    last = (start + sizes + np.searchsorted(at, start + sizes)).tolist()
+    return [joined[f:e].split() if p else t.split() for f, e, p, t in zip(first, last, plain, texts)]
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,10 +117,10 @@ class WordEncoder:
 
     def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         self._trim()
-        numbers, sizes = self.words.number([cut(t) for t in texts])
+        numbers, sizes = self.words.number(cut_all(texts))
         raw = self.words.take_fresh()
         if raw:
-            plain = np.array([LETTERS.fullmatch(w) is not None for w in raw])
+            plain = np.array([w.isalpha() or LETTERS.fullmatch(w) is not None for w in raw])
             fresh = [w.decode("utf-8", "replace") for w in raw]
             parts = [self._letters([w for w, p in zip(fresh, plain) if p]), self._encoded([w for w, p in zip(fresh, plain) if not p])]
             place = np.empty(len(fresh), np.int64)  # where each word's ids are among the two parts
@@ -106,7 +138,7 @@ class WordEncoder:
         spelt = [w if (w := v.lower()).isascii() else w.encode().decode("latin-1").translate(ALPHABET) for v in words]
         found = [[t.id for t in tokenize(w)] for w in spelt]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""

@@ -535,3 +535,43 @@ def test_clashing_column_names(spark):
     lengths = spark.createDataFrame([(i, 10 * i + 1) for i in range(30)], "length long, piece long")
     out = packing.packed(lengths, key="length", tokens="piece", max_tokens=64)
     assert out.columns[0] == "length" and out.count() == sum(-(-(10 * i + 1) // 64) for i in range(30))
+
+
+def test_words_are_cut_alike_one_by_one_and_together():
+    latin = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+    ending = re.compile(rb"([!-&(-/:-@\[-`{-~])(?:(?<=[A-Za-z].)|(?<=" + latin + rb".))")
+    draw = np.random.default_rng(3)
+    letters = list("aZ.,'!~ é×÷ÿÀ_9\n@[`{ăß日<|")
+    texts = ["".join(draw.choice(letters, draw.integers(0, 14))).encode() for _ in range(4000)]
+    expected = [t.split() if b"<|" in t else ending.sub(rb" \1", t).split() for t in texts]
+    assert tokens.cut_all(texts) == expected == [tokens.cut(t) for t in texts]
+    assert tokens.cut_all([]) == []
+
+
+@pytest.mark.parametrize("top", [40, 1 << 20, (1 << 32) - 1])
+def test_pairs_are_ranked_with_and_without_their_place(top):
+    draw = np.random.default_rng(5)
+    left, right = (draw.choice(np.array([0, 1, 2, top - 1], np.uint32), 700) for _ in range(2))
+    order, ranked, width = token_files._ranked(left, right, top)
+    got = [(int(p) >> int(width), int(p) & ((1 << int(width)) - 1)) for p in ranked]
+    assert got == sorted(zip(left.tolist(), right.tolist()))
+    assert got == list(zip(left[order].tolist(), right[order].tolist())) and sorted(order.tolist()) == list(range(700))
+    order, ranked, _ = token_files._ranked(left[:0], right[:0], top)
+    assert len(order) == len(ranked) == 0
+
+
+def test_a_shard_reads_back_whole():
+    draw = np.random.default_rng(6)
+    ids = np.tile(draw.integers(2, 40, 300), 9).astype(np.uint32)
+    for values, sizes in ((ids, [len(ids)]), (ids[:0], []), (np.full(5000, 7, np.uint32), [4000, 1000])):
+        symbols, rules, lengths, base = token_files.repair(values, np.array(sizes, np.int64))
+        reader = token_files.ShardReader(symbols.astype("<u4").tobytes(), rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), base)
+        assert np.array_equal(reader.all(), values)
+
+
+@pytest.mark.parametrize("width", [1, 2, 7, 8, 9, 17, 25, 31, 32])
+def test_packed_numbers_read_back(width):
+    for count in (0, 1, 7, 8, 9, 1001):
+        values = np.random.default_rng(count).integers(0, 1 << width, count).astype(np.uint32)
+        got = token_files.unpack_bits(token_files.pack_bits(values, width), width, count)
+        assert got.dtype == np.uint32 and np.array_equal(got, values)
