@@ -34,8 +34,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from statweave.llm.base import Renamed, WordTable, ascii_lower, chunks, mix, text_bytes
+from statweave.llm.base import Renamed, WordTable, chunks, mix, text_bytes
 from statweave.plans.staging import stage_table
 
 SLOTS, BANDS = 160, 32
@@ -128,10 +129,10 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def signed(docs: DataFrame, text: str, words: int, slots: int, bands: int) -> DataFrame:
     """Staged ``docs`` with _row, _fp (null without words), _n and _bands."""
-    source = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_lower", text_bytes(ascii_lower(F.col(text).cast("string")))
-    )
-    kept = [c for c in source.columns if c != "_lower"]
+    source = docs.withColumn("_row", F.monotonically_increasing_id())
+    kept, place = source.columns, source.columns.index(text)
+    if docs.schema[text].dataType != T.StringType():  # a string travels to Python once and is lowered there
+        source, place = source.withColumn("_string", F.col(text).cast("string")), len(kept)
     schema = source.select(
         *kept,
         F.lit(b"").alias("_fp"),
@@ -143,7 +144,7 @@ def signed(docs: DataFrame, text: str, words: int, slots: int, bands: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            texts = [v or b"" for v in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = [v.lower() if v else b"" for v in batch.column(place).cast(pa.binary()).to_pylist()]
             prints = [xxhash.xxh3_128_digest(b" ".join(w)) if (w := t.split()) else None for t in texts]
             sizes, keys = [], []
             for first, last in chunks(texts):
@@ -151,7 +152,7 @@ def signed(docs: DataFrame, text: str, words: int, slots: int, bands: int) -> Da
                 sizes.extend(map(len, sets))
                 found = band_keys(super_minhash(sets, slots), bands)
                 keys.extend(found[i] if len(s) else found[i][:0] for i, s in enumerate(sets))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            columns = [batch.column(i) for i in range(len(kept))]
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             columns += [
@@ -261,12 +262,12 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def verified(candidates: DataFrame, words: int, percent: int) -> DataFrame:
-    """Edges (a, b) of a forest inside each group: rows _group, _left, _right, _id, _lower."""
+    """Edges (a, b) of a forest inside each group: rows _group, _left, _right, _id, _text."""
 
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("_id").to_numpy()
         shingler, sets = Shingler(words), []
-        texts = table.column("_lower").to_pylist()
+        texts = [t.lower() for t in table.column("_text").to_pylist()]
         for first, last in chunks(texts):
             sets.extend(shingler.sets(texts[first:last]))
         group = linked(sets, percent)
@@ -319,7 +320,7 @@ def classes(
             F.greatest("part", "other").alias("_right"),
         )
     )
-    texts = rows.select(F.col("_row").alias("_id"), text_bytes(ascii_lower(F.col(text).cast("string"))).alias("_lower"))
+    texts = rows.select(F.col("_row").alias("_id"), text_bytes(F.col(text)).alias("_text"))
     links = components(stage_table(verified(texts.join(spread, "_id"), words, percent)))
     labelled = nodes.select("_fp", "_id", "_place").join(
         links.select(F.col("id").alias("_id"), "label"), "_id", "left"

@@ -240,6 +240,18 @@ def test_near_duplicates_with_repeated_and_null_keys(spark):
     assert near_dedup.near_dedup(df.limit(0)).count() == 0
 
 
+def test_a_text_travels_to_python_once_and_is_lowered_there(spark, monkeypatch):
+    df = frame(spark, ["One TWO three Ä", "one two THREE Ä", "one two three ä", None]).select("doc_id", "text", F.lit(17).alias("number"))
+    monkeypatch.setattr(near_dedup, "stage_table", lambda staged: staged)
+    for column, sent in (("text", [*df.columns, "_row"]), ("number", [*df.columns, "_row", "_string"])):
+        rows = near_dedup.signed(df, column, 2, near_dedup.SLOTS, near_dedup.BANDS)
+        plan = rows._jdf.queryExecution().analyzed().children().head()
+        assert [plan.output().apply(i).name() for i in range(plan.output().size())] == sent
+    prints = {r.doc_id: r["_fp"] for r in near_dedup.signed(df, "text", 2, near_dedup.SLOTS, near_dedup.BANDS).collect()}
+    assert prints[0] == prints[1] != prints[2] and prints[3] is None
+    assert {r["_n"] for r in rows.collect()} == {1}
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(2)
     for shared in (0, 300, 450, 500):
