@@ -359,3 +359,28 @@ def test_fewer_item_blocks_give_the_same_factors(spark, monkeypatch):
     monkeypatch.setattr(recommendation, "ITEM_BLOCKS", 10)
     many = {r.id: r.features for r in recommendation.user_factors(recommendation.fit_als(df, 4, 3)).collect()}
     assert few.keys() == many.keys() and all(np.allclose(few[k], many[k], atol=1e-3) for k in few)
+
+
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_few_new_ratings_are_sorted_like_all(few, monkeypatch):
+    monkeypatch.setattr(recommendation, "FEW", few)
+    draw = np.random.default_rng(4)
+    best, owner = -np.sort(-draw.integers(0, 9, (50, 5)).astype(float), axis=1), np.arange(250).reshape(50, 5)
+    best[:3], owner[:3] = -np.inf, np.iinfo(np.int64).max
+    product, ids = draw.integers(0, 12, (50, 30)).astype(float), draw.permutation(30) + 1_000
+    rating, item = recommendation._bettered(best, owner, product, ids, best.min(axis=1))
+    for row in range(50):
+        every = sorted(zip((-best[row]).tolist() + (-product[row]).tolist(), owner[row].tolist() + ids.tolist()))
+        assert sorted(zip((-rating[row]).tolist(), item[row].tolist())) == every[:5]
+
+
+def test_users_are_dealt_over_tasks_by_their_pairs(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    users, items = draw.normal(size=(60, 3)), draw.normal(size=(80, 3))
+    tables = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>").coalesce(1) for m in (users, items)]
+    expected = {u: np.lexsort((np.arange(80), -(items @ users[u])))[:4].tolist() for u in range(60)}
+    search, tasks = recommendation._search, []
+    monkeypatch.setattr(recommendation, "TASK_PAIRS", 1_000)
+    monkeypatch.setattr(recommendation, "_search", lambda state, *rest: tasks.append(state.rdd.getNumPartitions()) or search(state, *rest))
+    rows = recommendation.search_top_items(*tables, k=4).collect()
+    assert tasks == [5] and {r.user: list(r["items"]) for r in rows} == expected
