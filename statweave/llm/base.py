@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,13 @@ class WordTable(dict):
         numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
         return numbers, sizes
 
+    def number_array(self, words: pa.Array) -> np.ndarray:
+        """Word numbers of an array of words; each distinct word of it is looked up once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)  # much faster than to_pylist
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
+        return numbers.take(coded.indices.to_numpy())
+
 
 def per_text(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of ``numbers`` over consecutive runs of the given sizes (0 for an empty run)."""

@@ -248,11 +248,17 @@ def write_shards(
 
         for batch in batches:
             texts = [v or b"" for v in batch.column("bytes").to_pylist()]
-            for first, last in chunks(texts, min(1 << 20, shard_tokens)):
+            for first, last in chunks(texts, 4 * shard_tokens):  # in many texts at once fewer words are looked up
                 ids, sizes = encoder.encode(texts[first:last], end)
-                held.append((batch.column("key").slice(first, last - first), ids, sizes))
-                if sum(len(i) for _, i, _ in held) >= shard_tokens:
-                    yield flush()
+                ends, done = np.cumsum(sizes), 0
+                while done < len(sizes):  # a shard ends with the document that fills it
+                    begin = int(ends[done] - sizes[done])
+                    room = shard_tokens - sum(len(i) for _, i, _ in held)
+                    stop = min(len(sizes), int(np.searchsorted(ends, begin + room)) + 1)
+                    held.append((batch.column("key").slice(first + done, stop - done), ids[begin : ends[stop - 1]], sizes[done:stop]))
+                    done = stop
+                    if sum(len(i) for _, i, _ in held) >= shard_tokens:
+                        yield flush()
         if held:
             yield flush()
 

@@ -16,6 +16,7 @@ import types
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from statweave.llm.base import WordTable, per_text
 
@@ -23,10 +24,10 @@ MARK = "\x01"  # stands between words that are encoded in one call
 _LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
 LETTERS = re.compile(rb"(?:[A-Za-z]|" + _LATIN + rb")+")
 OPENING = b"<|"
-# kinds of bytes: 1 letter, 2 mark, 3 first and 4 second byte of a Latin-1 letter
+# kinds of bytes: 1 letter, 2 mark, 3 first and 4 second byte of a Latin-1 letter, 5 white space
 KINDS = bytes(
     1 if chr(b).isalpha() and b < 128 else 2 if 33 <= b < 127 and b != 39 and not chr(b).isalnum() else 3 if b == 0xC3
-    else 4 if 0x80 <= b <= 0xBF and b not in (0x97, 0xB7) else 0 for b in range(256)
+    else 4 if 0x80 <= b <= 0xBF and b not in (0x97, 0xB7) else 5 if b == 32 or 9 <= b <= 13 else 0 for b in range(256)
 )
 
 
@@ -40,36 +41,38 @@ def byte_alphabet() -> dict[int, str]:
 ALPHABET = byte_alphabet()
 
 
-def spaced(text: bytes) -> tuple[bytes, np.ndarray]:
-    """The text with a space between every letter and a mark behind it, and where those marks were."""
-    kind = np.frombuffer(text.translate(KINDS), np.uint8)
-    first = (kind[1:] == 2) & (kind[:-1] == 1)
-    if b"\xc3" in text:
-        first[1:] |= (kind[2:] == 2) & (kind[1:-1] == 4) & (kind[:-2] == 3)
-    at = np.flatnonzero(first)
-    if not len(at):
-        return text, at
-    result = np.full(len(kind) + len(at), 32, np.uint8)
-    own = np.ones(len(result), bool)
-    own[at + np.arange(1, len(at) + 1)] = False
-    result[own] = np.frombuffer(text, np.uint8)
-    return result.tobytes(), at
+def cut_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, and the number of words of each text."""
+    text = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    kind = np.frombuffer(text.tobytes().translate(KINDS), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes + 1)
+    first = kind == 2
+    first[1:] &= (kind[:-1] == 1) | (kind[:-1] == 4) & np.concatenate([[False], kind[:-2] == 3])[: len(kind) - 1]
+    first[:1] = False
+    for i in [i for i, t in enumerate(texts) if OPENING in t]:
+        first[ends[i] - sizes[i] - 1 : ends[i]] = False
+    inside = kind != 5
+    first[:1] |= inside[:1]
+    first[1:] |= inside[1:] & ~inside[:-1]
+    start = np.flatnonzero(first)
+    # white space goes, so that a word's bytes end where the next word's begin
+    offsets = np.append(start, len(text)) - np.searchsorted(np.flatnonzero(~inside), np.append(start, len(text)))
+    data = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text[inside])]
+    many = np.diff(np.searchsorted(start, ends), prepend=0)
+    return pa.Array.from_buffers(pa.binary(), len(start), data), many
 
 
-def cut(text: bytes) -> list[bytes]:
-    """The words of a text."""
-    return text.split() if OPENING in text else spaced(text)[0].split()
+def cut_all(texts: list[bytes]) -> list[list[bytes]]:
+    """The words of every text."""
+    words, many = cut_words(texts)
+    flat, ends = words.to_pylist(), np.cumsum(many).tolist()
+    return [flat[e - n : e] for e, n in zip(ends, many.tolist())]
 
 
-def cut_all(texts: list[bytes]) -> list[list[bytes]]:
-    """The words of every text; those without an opening are spaced in one go."""
-    plain = [b"" if OPENING in t else t for t in texts]
-    joined, at = spaced(b"\n".join(plain))
-    sizes = np.fromiter(map(len, plain), np.int64, len(plain))
-    start = np.cumsum(sizes + 1) - sizes - 1
-    first = (start + np.searchsorted(at, start)).tolist()
-    last = (start + sizes + np.searchsorted(at, start + sizes)).tolist()
-    return [joined[f:e].split() if p else t.split() for f, e, p, t in zip(first, last, plain, texts)]
+def cut(text: bytes) -> list[bytes]:
+    """The words of a text."""
+    return cut_all([text])[0]
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +120,8 @@ class WordEncoder:
 
     def _numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         self._trim()
-        numbers, sizes = self.words.number(cut_all(texts))
+        words, sizes = cut_words(texts)
+        numbers = self.words.number_array(words)
         raw = self.words.take_fresh()
         if raw:
             plain = np.array([w.isalpha() or LETTERS.fullmatch(w) is not None for w in raw])

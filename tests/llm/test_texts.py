@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from oracle_check import compare, duck
 from statweave.llm import catalog, context_tree, decontaminate, near_dedup, packing, quality, token_files, tokens, toxicity
+from statweave.llm.base import WordTable
 from statweave.sources.tables import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -587,3 +588,31 @@ def test_packed_numbers_read_back(width):
         values = np.random.default_rng(count).integers(0, 1 << width, count).astype(np.uint32)
         got = token_files.unpack_bits(token_files.pack_bits(values, width), width, count)
         assert got.dtype == np.uint32 and np.array_equal(got, values)
+
+
+def test_each_distinct_word_of_a_chunk_is_looked_up_once():
+    looked = []
+
+    class Counting(WordTable):
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    texts = [b"to be or not to be", b"", b"be that as it may", b"caf\xc3\xa9, to\tbe"]
+    table, plain = Counting(), WordTable()
+    words, many = tokens.cut_words(texts)
+    numbers = table.number_array(words)
+    expected, sizes = plain.number([tokens.cut(t) for t in texts])
+    assert numbers.tolist() == expected.tolist() and many.tolist() == sizes.tolist()
+    assert table.take_fresh() == plain.take_fresh() and len(looked) == len(set(looked)) == len(plain)
+    assert len(table.number_array(tokens.cut_words([])[0])) == 0
+
+
+def test_a_shard_ends_with_the_document_that_fills_it(spark):
+    texts = [f"word{i} " * (1 + i % 9) for i in range(300)]
+    shards = collections.defaultdict(list)
+    for r in token_files.write_shards(frame(spark, texts), BPE, shard_tokens=100).orderBy("part", "shard").collect():
+        shards[r.part].append(r)
+    for rows in shards.values():
+        assert [r.first for r in rows] == np.cumsum([0, *[sum(r.sizes) for r in rows]])[:-1].tolist()
+        assert all(sum(r.sizes[:-1]) < 100 <= sum(r.sizes) for r in rows[:-1])
