@@ -4,6 +4,7 @@ import json
 import os
 import random
 import zlib
+from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -11,13 +12,23 @@ import pytest
 from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import functions as F
 
-from statweave.operators import descriptive, mining, pooled_isotonic, recommendation, sequence_growth, supervised
+from statweave.operators import (
+    clustering,
+    descriptive,
+    mining,
+    pooled_isotonic,
+    recommendation,
+    sequence_growth,
+    supervised,
+    topic_blocks,
+)
 from statweave.operators.hypothesis import welch_test
 from statweave.operators.kernel_table import error_bound, kernel_density_table
 from statweave.operators.power_iteration import power_iteration_steps
 from statweave.operators.sequence_growth import grow_patterns
 from statweave.operators.tall_skinny import left_vectors, singular_vectors
 from statweave.operators.topic_tables import fit_topic_tables
+from statweave.queries import models
 from statweave.streaming import batch_windows
 
 
@@ -297,6 +308,82 @@ def test_topic_tables_equal_plain_updates(spark, split):
     assert none[0].count() == none[1].count() == 0
 
 
+def drawn_topics(counts, k, iterations, alpha, eta, seed):
+    """The model over all pairs at once, from the numbers that are drawn for each row of a block."""
+    index = {(r.block, r.place): r.term_index for r in counts.places.collect()}
+    docs, terms, times, shares = [], [], [], []
+    for r in counts.blocks.orderBy("block", "part").collect():
+        sizes, places = np.frombuffer(r.sizes, np.int32), np.frombuffer(r.terms, np.int32)
+        for size in sizes:
+            docs += [docs[-1] + 1 if docs else 0] * size
+        terms += [index[r.block, p] for p in places]
+        times += np.frombuffer(r.times, f"u{len(r.times) // len(places)}").tolist()
+        shares.append(np.random.default_rng([seed, r.block, r.part]).random((len(places), k)))
+    docs, terms, times, shares = np.array(docs), np.array(terms), np.array(times), np.concatenate(shares)
+    for turn in range(iterations + 1):
+        if turn:
+            shares = (n_d[docs] + alpha - 1) * (n_w[terms] + eta - 1) / (n_w.sum(axis=0) + len(n_w) * (eta - 1))
+        shares = shares / shares.sum(axis=1, keepdims=True) * times[:, None]
+        n_d, n_w = np.zeros((docs.max() + 1, k)), np.zeros((terms.max() + 1, k))
+        np.add.at(n_d, docs, shares)
+        np.add.at(n_w, terms, shares)
+    return docs, n_w / n_w.sum(axis=0)
+
+
+@pytest.mark.parametrize("part, block, places", [(7, 40, 10), (1 << 19, 4_000_000, 500_000)])
+def test_topic_blocks_equal_plain_updates(spark, part, block, places, monkeypatch):
+    for name, value in {"PART": part, "BLOCK": block, "PLACES": places}.items():
+        monkeypatch.setattr(topic_blocks, name, value)
+    rng = random.Random(8)
+    texts = [[rng.choice("abcdefghijkl") * rng.randrange(1, 4) for _ in range(rng.randrange(30))] for _ in range(40)] + [["a"] * 300, ["b"] * 70_000]
+    df = spark.createDataFrame([*[(t,) for t in texts], (None,), ([],)], "words array<string>").repartition(3)
+    counts = topic_blocks.term_blocks(df)
+    known = Counter(w for t in texts for w in t)
+    assert [(r.term, r.term_index, r.n) for r in counts.terms.orderBy("term_index").collect()] == [
+        (w, i, n) for i, (w, n) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0])))
+    ]
+    docs, weights = drawn_topics(counts, 3, 4, 1.5, 1.1, 5)
+    assert docs.max() + 1 == sum(1 for t in texts if t) and (counts.blocks.select("block").distinct().count() > 4) == (part == 7)
+    model = topic_blocks.fit_topic_blocks(counts, 3, 4, 5, 1.5, 1.1)
+    rows = model.terms.collect()
+    found = {(r.topic, r.term_index): r.weight for r in rows}
+    assert len(rows) == len(found) == 3 * len(known)
+    assert found == pytest.approx({(j, t): w[j] for t, w in enumerate(weights) for j in range(3)})
+    best = {(r.topic, r.term_index) for r in clustering.topic_terms(model, 2).collect()}
+    assert best == {(j, int(t)) for j in range(3) for t in np.argsort(-weights[:, j])[:2]}
+
+
+def test_topic_blocks_fit_as_well_as_the_library(spark):
+    """Two kinds of documents are told apart by both, in the same shares."""
+    rng, places = random.Random(3), {w: i for i, w in enumerate("abcdefgh")}
+    texts = [[rng.choice("abcd" if i % 2 else "efgh") for _ in range(300)] for i in range(30)]
+    own = clustering.fit_lda(topic_blocks.term_blocks(spark.createDataFrame([(t,) for t in texts], "words array<string>")), 2, 30)
+    vectors = spark.createDataFrame([([float(t.count(w)) for w in places],) for t in texts], "features array<double>")
+    library = clustering.topic_terms(clustering.fit_lda(vectors, 2, 30)).collect()
+    names = {r.term_index: r.term for r in topic_blocks.term_blocks(spark.createDataFrame([(t,) for t in texts], "words array<string>")).terms.collect()}
+    by_topic = lambda rows: sorted([sorted((w, round(x, 2)) for t, w, x in rows if t == j) for j in range(2)])
+    assert by_topic([(r.topic, names[r.term_index], r.weight) for r in clustering.topic_terms(own).collect()]) == by_topic(
+        [(r.topic, "abcdefgh"[r.term_index], r.weight) for r in library]
+    )
+
+
+def test_topics_of_documents_gather_no_vocabulary(spark, tmp_path):
+    """Null and empty texts have no words; the settings of the session stay as they were; no vocabulary is collected."""
+    texts = ["one two two", "Two three", None, "", "one four, FOUR four 5", "7 8"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get(topic_blocks.CLEANUP, None)
+    rows = models.lda_topics(spark, str(tmp_path)).collect()
+    assert sorted((r.topic, r.term_index) for r in rows) == [(j, t) for j in range(3) for t in range(4)]
+    assert all(sum(r.weight for r in rows if r.topic == j) == pytest.approx(1.0) for j in range(3))
+    again = {(r.topic, r.term_index): r.weight for r in models.lda_topics(spark, str(tmp_path)).collect()}
+    assert again == pytest.approx({(r.topic, r.term_index): r.weight for r in rows})
+    assert spark.conf.get(topic_blocks.CLEANUP, None) == before
+    counts = models.counted(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert [tuple(r) for r in counts.terms.orderBy("term_index").collect()] == [("four", 0, 3), ("two", 1, 3), ("one", 2, 2), ("three", 3, 1)]
+    none = spark.createDataFrame([(None,)], "words array<string>")
+    assert clustering.fit_lda(topic_blocks.term_blocks(none), 2, 1).terms.count() == 0
+
+
 def test_rules_mine_the_baskets_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
