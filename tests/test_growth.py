@@ -313,11 +313,11 @@ def drawn_topics(counts, k, iterations, alpha, eta, seed):
     index = {(r.block, r.place): r.term_index for r in counts.places.collect()}
     docs, terms, times, shares = [], [], [], []
     for r in counts.blocks.orderBy("block", "part").collect():
-        sizes, places = np.frombuffer(r.sizes, np.int32), np.frombuffer(r.terms, np.int32)
+        sizes, places, n = (topic_blocks.unpacked(x) for x in (r.sizes, r.terms, r.times))
         for size in sizes:
             docs += [docs[-1] + 1 if docs else 0] * size
         terms += [index[r.block, p] for p in places]
-        times += np.frombuffer(r.times, f"u{len(r.times) // len(places)}").tolist()
+        times += n.tolist()
         shares.append(np.random.default_rng([seed, r.block, r.part]).random((len(places), k)))
     docs, terms, times, shares = np.array(docs), np.array(terms), np.array(times), np.concatenate(shares)
     for turn in range(iterations + 1):
@@ -357,9 +357,9 @@ def test_topic_blocks_fit_as_well_as_the_library(spark):
     """Two kinds of documents are told apart by both, in the same shares."""
     rng, places = random.Random(3), {w: i for i, w in enumerate("abcdefgh")}
     texts = [[rng.choice("abcd" if i % 2 else "efgh") for _ in range(300)] for i in range(30)]
-    own = clustering.fit_lda(topic_blocks.term_blocks(spark.createDataFrame([(t,) for t in texts], "words array<string>")), 2, 30)
+    own = clustering.fit_lda(topic_blocks.term_blocks(spark.createDataFrame([(t,) for t in texts], "words array<string>")), 2, 15)
     vectors = spark.createDataFrame([([float(t.count(w)) for w in places],) for t in texts], "features array<double>")
-    library = clustering.topic_terms(clustering.fit_lda(vectors, 2, 30)).collect()
+    library = clustering.topic_terms(clustering.fit_lda(vectors, 2, 15)).collect()
     names = {r.term_index: r.term for r in topic_blocks.term_blocks(spark.createDataFrame([(t,) for t in texts], "words array<string>")).terms.collect()}
     by_topic = lambda rows: sorted([sorted((w, round(x, 2)) for t, w, x in rows if t == j) for j in range(2)])
     assert by_topic([(r.topic, names[r.term_index], r.weight) for r in clustering.topic_terms(own).collect()]) == by_topic(
