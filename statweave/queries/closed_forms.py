@@ -27,6 +27,11 @@ def _dot(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _added(counts):
+    """One row of counts from those of every round."""
+    return counts.agg(F.sum("n").alias("n"), F.sum("off").alias("off"))
+
+
 _PAIRS = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
 
@@ -48,10 +53,14 @@ def als_predictions(spark, sf):
     ratings = part_ratings(spark, sf)
     model = recommendation.fit_als(ratings, RANK, 10, REG)
     users, items = _factors(model)
-    predicted = recommendation.predict_ratings(model, ratings.select("user", "item"))
-    both = predicted.join(items, "item").drop("item").join(users, "user")
-    gap = F.abs(F.col("prediction") - _dot("u", "v"))
-    return both.agg(F.count("*").alias("n"), F.count_if(gap > 1e-4).alias("off"))
+
+    def judged(part):
+        predicted = recommendation.predict_ratings(model, part)
+        both = predicted.join(items, "item").drop("item").join(users, "user")
+        gap = F.abs(F.col("prediction") - _dot("u", "v"))
+        return both.agg(F.count("*").alias("n"), F.count_if(gap > 1e-4).alias("off"))
+
+    return _added(recommendation.in_rounds(ratings.select("user", "item"), "user", judged))
 
 
 @query("svm_margin", "SELECT round(1 / avg(l_quantity), 3) AS weight FROM lineitem")
