@@ -16,7 +16,7 @@ from statweave.operators.regression_metrics import regression_metrics
 from statweave.operators.sampling import hash_split
 from statweave.operators.topic_blocks import term_blocks
 from statweave.plans.prefix_sum import row_index
-from statweave.plans.staging import stage, stage_table
+from statweave.plans.staging import stage, stage_table, without_old_shuffles
 from statweave.queries.registry import query, rounded, scratch
 from statweave.sources import text
 from statweave.sources.models import coefficients_table, load_model, save_model
@@ -428,12 +428,14 @@ def isotonic_points(spark, sf):
 
 def part_ratings(spark, sf):
     """How much each customer bought of each part, staged for the passes of training and evaluation."""
-    return stage_table(
+    rated = (
         table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
         .agg((F.sum("l_quantity") / 10 - 2.5).alias("rating"))
     )
+    with without_old_shuffles(spark):
+        return stage_table(rated)
 
 
 @query("als_ratings")
