@@ -40,11 +40,15 @@ def als_stationary(spark, sf):
     """The last half step solves every user's normal equations: Σ (u·v − r)·v + reg·n·u is 0 up to single precision."""
     ratings = part_ratings(spark, sf)
     users, items = _factors(recommendation.fit_als(ratings, RANK, 10, REG))
-    rows = ratings.join(items, "item").drop("item").join(users, "user").withColumn("e", _dot("u", "v") - F.col("rating"))
-    left = [F.sum(F.col("e") * F.get("v", F.lit(j)) + REG * F.get("u", F.lit(j))).alias(f"g{j}") for j in range(RANK)]
-    size = [F.sum(F.abs(F.col("rating") * F.get("v", F.lit(j)))).alias(f"s{j}") for j in range(RANK)]
-    worst = F.greatest(*[F.abs(F.col(f"g{j}")) / (F.col(f"s{j}") + 1) for j in range(RANK)])
-    return rows.groupBy("user").agg(*left, *size).agg(F.count("*").alias("n"), F.count_if(worst > 1e-3).alias("off"))
+
+    def judged(part):
+        rows = part.join(items, "item").drop("item").join(users, "user").withColumn("e", _dot("u", "v") - F.col("rating"))
+        left = [F.sum(F.col("e") * F.get("v", F.lit(j)) + REG * F.get("u", F.lit(j))).alias(f"g{j}") for j in range(RANK)]
+        size = [F.sum(F.abs(F.col("rating") * F.get("v", F.lit(j)))).alias(f"s{j}") for j in range(RANK)]
+        worst = F.greatest(*[F.abs(F.col(f"g{j}")) / (F.col(f"s{j}") + 1) for j in range(RANK)])
+        return rows.groupBy("user").agg(*left, *size).agg(F.count("*").alias("n"), F.count_if(worst > 1e-3).alias("off"))
+
+    return _added(recommendation.in_rounds(ratings, "user", judged))
 
 
 @query("als_predictions", f"SELECT count(DISTINCT (o_custkey, l_partkey)) AS n, 0::BIGINT AS off {_PAIRS}")
